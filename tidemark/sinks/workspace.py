@@ -1,0 +1,25 @@
+"""Where tables, checkpoints and stages of a run are written."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder under the one the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session may go without that setting; a cluster must name a
+    folder all executors can reach.
+    """
+    base = spark.conf.get(CHECKPOINT_DIR, None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
+        base = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set(CHECKPOINT_DIR, base)
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
