@@ -7,11 +7,11 @@ row, so a body needs no shuffle to be parsed, judged or counted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.specs import ROUTES
 
-PUSH_SCHEMA = T.StructType.fromDDL(
+PUSH_SCHEMA = (
     "object_type string, content_type string, body string, company_id string, "
     "received_at timestamp_ntz, seq bigint"
 )

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import types as T
-
 TEXT = "string"
 FLAG = "boolean"
 WHOLE = "int"
@@ -58,11 +56,11 @@ class TableSpec:
         return [c for c in self.columns if c not in self.keys]
 
     @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(", ".join(f"`{c}` {self.type_of(c)}" for c in self.columns))
+    def schema(self) -> str:
+        return ", ".join(f"`{c}` {self.type_of(c)}" for c in self.columns)
 
     @property
-    def feed_schema(self) -> T.StructType:
+    def feed_schema(self) -> str:
         """Schema for reading a landed extract; date-like fields arrive as text."""
         by_field = {self.source_of(c): c for c in self.columns}
         fields, owner = [], []
@@ -77,7 +75,7 @@ class TableSpec:
             fields.append(f"Owner struct<{', '.join(owner)}>")
         if self.ts_col and self.ts_col not in self.extract:
             fields.append(f"`{self.ts_col}` {TEXT}")
-        return T.StructType.fromDDL(", ".join(fields))
+        return ", ".join(fields)
 
     def with_tenant(self, column: str = "CompanyId") -> "TableSpec":
         """The same table with the tenant as a column and part of the key."""
