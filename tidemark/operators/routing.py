@@ -10,10 +10,15 @@ from tidemark.specs import ROUTES
 
 
 def route_records(parsed: DataFrame, *keep: str) -> DataFrame:
-    """One row per accepted record: ``route``, ``pos`` in its body, ``fields``, and ``keep``."""
-    return parsed.filter(F.col("status") == "accepted").select(
-        "route", *keep, F.posexplode("records").alias("pos", "r")
-    ).select("route", *keep, "pos", F.col("r.fields").alias("fields"))
+    """One row per accepted record: ``route``, ``pos`` in its body, ``fields``, and ``keep``.
+
+    Bodies without records are removed after the explode: a filter before it
+    would be pushed below the parse and make it run twice.
+    """
+    exploded = parsed.select("route", *keep, F.posexplode_outer("records").alias("pos", "r"))
+    return exploded.filter(F.col("pos").isNotNull()).select(
+        "route", *keep, "pos", F.col("r.fields").alias("fields")
+    )
 
 
 def push_outcomes(parsed: DataFrame, *keep: str) -> DataFrame:

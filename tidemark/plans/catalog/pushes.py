@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.operators import push_outcomes, route_records
 from tidemark.plans.catalog.registry import Tables, query
 from tidemark.sources import json_records, parse_bodies, soap_records
-from tidemark.sources.payloads import json_document
 
 
 def escaped(text: Column) -> Column:
@@ -45,13 +44,9 @@ def order_soap(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_orderstatus", body.alias("body"))
 
 
-def record_rows(df: DataFrame, key: str) -> DataFrame:
-    """Parsed records with two of their fields."""
-    return df.select(key, F.posexplode("records").alias("pos", "r")).select(
-        key, "pos", F.col("r.type").alias("type"),
-        F.try_element_at("r.fields", F.lit("Id")).alias("id"),
-        F.try_element_at("r.fields", F.lit("Name")).alias("name"),
-    )
+def exploded(df: DataFrame, key: str) -> DataFrame:
+    out = df.select(key, F.posexplode_outer("records").alias("pos", "r"))
+    return out.filter(F.col("pos").isNotNull())
 
 
 @query(
@@ -63,9 +58,8 @@ UNION ALL SELECT o_orderkey, 1, 'Account', CAST(o_custkey AS VARCHAR), NULL, 1,
     name="soap_records",
 )
 def soap_order_records(t: Tables) -> DataFrame:
-    parsed = order_soap(t).select("o_orderkey", soap_records(F.col("body")).alias("records"))
     values = F.map_values("r.fields")
-    return parsed.select("o_orderkey", F.posexplode("records").alias("pos", "r")).select(
+    return exploded(soap_records(order_soap(t)), "o_orderkey").select(
         "o_orderkey", "pos", F.col("r.type").alias("type"),
         F.try_element_at("r.fields", F.lit("Id")).alias("id"),
         F.try_element_at("r.fields", F.lit("Name")).alias("name"),
@@ -98,8 +92,7 @@ UNION ALL SELECT o_orderkey, 1, CAST(o_custkey AS VARCHAR), NULL, NULL FROM orde
 
 @query(_JSON_ROWS)
 def json_envelope(t: Tables) -> DataFrame:
-    parsed = order_json(t).select("o_orderkey", json_records(json_document(F.col("body"))).alias("records"))
-    return parsed.select("o_orderkey", F.posexplode("records").alias("pos", "r")).select(
+    return exploded(json_records(order_json(t)), "o_orderkey").select(
         "o_orderkey", "pos",
         F.try_element_at("r.fields", F.lit("Id")).alias("id"),
         F.try_element_at("r.fields", F.lit("Name")).alias("name"),

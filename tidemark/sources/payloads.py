@@ -20,144 +20,150 @@ RECORDS = "array<struct<fields: map<string,string>, type: string>>"
 
 _XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
 
+# JSON values a caller would call empty.
+_EMPTY_JSON = r'^\s*(?:\[\s*\]|\{\s*\}|""|null|false|-?0(?:\.0+)?(?:[eE][+-]?\d+)?)\s*\z'
 
-def _notifications(body: Column, sobject: str) -> Column:
+
+def _sobjects(body: Column, sobject: str) -> Column:
+    """All ``sObject`` elements of a SOAP body, read as ``sobject``."""
     schema = f"Body struct<notifications: struct<Notification: array<struct<sObject: array<{sobject}>>>>>"
-    parsed = F.from_xml(body, schema, _XML_OPTIONS)
-    return parsed["Body"]["notifications"]["Notification"]
+    notifications = F.from_xml(body, schema, _XML_OPTIONS)["Body"]["notifications"]["Notification"]
+    return F.flatten(F.transform(notifications, lambda n: n["sObject"]))
+
 
+# The functions below take and give DataFrames and name each costly parse in a
+# step of its own: the optimizer keeps a step whose columns are used more than
+# once, where a nested expression would be evaluated at each use.
 
-def soap_records(body: Column) -> Column:
-    """Records of all notifications of a SOAP body; NULL if there is none or it is malformed.
+
+def soap_records(df: DataFrame, body: str = "body", into: str = "records") -> DataFrame:
+    """Add the records of all notifications of a SOAP body; NULL if there is none or it is malformed.
 
     The object type is the child element ``type``, else the ``type`` attribute
-    without its prefix. An empty element is a null value.
+    without its prefix; a body whose records all have the child is not read a
+    second time for attributes. An empty element is a null value.
     """
-    fields = F.flatten(F.transform(_notifications(body, "map<string,string>"), lambda n: n["sObject"]))
-    attributes = F.flatten(
-        F.transform(_notifications(body, "struct<_type: string>"), lambda n: n["sObject"])
+    kept = df.columns
+    staged = df.withColumn("__fields", _sobjects(F.col(body), "map<string,string>"))
+    untyped = F.exists("__fields", lambda f: ~F.map_contains_key(f, "type"))
+    staged = staged.withColumn(
+        "__pairs",
+        F.arrays_zip(
+            F.col("__fields").alias("fields"),
+            F.when(untyped, _sobjects(F.col(body), "struct<_type: string>"))
+            .otherwise(F.array().cast("array<struct<_type: string>>"))
+            .alias("attributes"),
+        ),
     )
-    pairs = F.arrays_zip(fields.alias("fields"), attributes.alias("attributes"))
 
     def record(pair: Column) -> Column:
-        values = F.transform_values(pair["fields"], lambda _, v: F.when(v != "", v))
-        child = F.try_element_at(values, F.lit("type"))
+        child = F.try_element_at(pair["fields"], F.lit("type"))
         attribute = F.substring_index(pair["attributes"]["_type"], ":", -1)
         return F.struct(
-            F.map_filter(values, lambda k, _: k != "type").alias("fields"),
-            F.coalesce(child, attribute).alias("type"),
+            F.transform_values(
+                F.map_filter(pair["fields"], lambda k, _: k != "type"), lambda _, v: F.when(v != "", v)
+            ).alias("fields"),
+            F.coalesce(F.when(child != "", child), attribute).alias("type"),
         )
 
-    records = F.transform(pairs, record)
-    return F.when(F.size(records) > 0, records)
-
+    found = F.when(F.size("__pairs") > 0, F.transform("__pairs", record))
+    return staged.select(*kept, found.alias(into))
 
-def json_document(body: Column) -> Column:
-    """The body as a variant; NULL unless it is exactly one JSON value."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
-    whole = F.try_variant_get(wrapped, "$", "array<variant>")
-    return F.when(F.size(whole) == 1, whole[0])
 
+def json_records(df: DataFrame, body: str = "body", into: str = "records") -> DataFrame:
+    """Add the records of a JSON envelope: a list, ``records``, ``data`` or one object.
 
-def _kind(doc: Column, shape: str) -> Column:
-    return F.startswith(F.schema_of_variant(doc), F.lit(shape))
-
-
-def json_records(doc: Column) -> Column:
-    """Records of a JSON envelope: a list, ``records``, ``data`` or one object.
-
-    Nested values stay JSON text. A list entry that is no object gives a record
-    without fields; a bare scalar gives no record.
+    NULL unless the body is exactly one JSON value: it is parsed inside brackets,
+    so that anything after the first value is an error. Nested values stay JSON
+    text. A list entry that is no object gives a record without fields, a bare
+    scalar no record.
     """
-
-    def items(node: Column) -> Column:
-        return F.try_variant_get(node, "$", "array<variant>")
-
-    records = F.try_variant_get(doc, "$.records", "variant")
-    data = F.try_variant_get(doc, "$.data", "variant")
+    kept = df.columns
+    none = F.array().cast("array<variant>")
+    # The first character of valid JSON tells its shape.
+    shape = F.substring(F.ltrim(body, F.lit(" \t\r\n")), 1, 1)
+    staged = df.withColumns({
+        "__doc": F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))),
+        "__shape": shape,
+    })
+
+    def items(path: str) -> Column:
+        return F.coalesce(F.try_variant_get("__doc", path, "array<variant>"), none)
+
+    def holds(key: str) -> Column:
+        return F.try_variant_get("__doc", f"$[0].{key}", "variant").isNotNull()
+
+    single = F.try_variant_get("__doc", "$[1]", "variant").isNull()
     listed = (
-        F.when(_kind(doc, "ARRAY"), items(doc))
-        .when(records.isNotNull(), items(records))
-        .when(data.isNotNull(), items(data))
-        .when(_kind(doc, "OBJECT"), F.array(doc))
+        F.when(F.col("__shape") == "[", items("$[0]"))
+        .when(F.col("__shape") != "{", none)
+        .when(holds("records"), items("$[0].records"))
+        .when(holds("data"), items("$[0].data"))
+        .otherwise(F.array(F.try_variant_get("__doc", "$[0]", "variant")))
+    )
+    staged = staged.select(
+        *kept, F.when(F.col("__doc").isNotNull() & single, listed).alias("__items")
     )
+    fields = F.transform("__items", lambda item: F.try_variant_get(item, "$", "map<string,string>"))
+    staged = staged.select(*kept, fields.alias("__fields"))
 
-    def record(item: Column) -> Column:
-        values = F.try_variant_get(item, "$", "map<string,string>")
+    def record(values: Column) -> Column:
         return F.struct(
             values.alias("fields"), F.try_element_at(values, F.lit("ObjectType")).alias("type")
         )
 
-    return F.coalesce(F.transform(listed, record), F.array().cast(RECORDS))
-
-
-def _json_is_empty(doc: Column) -> Column:
-    """Values a caller would call empty: ``[] {} "" 0 false null``."""
-    shape = F.schema_of_variant(doc)
-    text = F.try_variant_get(doc, "$", "string")
-    number = F.try_variant_get(doc, "$", "double")
-    return (
-        (shape == "VOID")
-        | (_kind(doc, "ARRAY") & (F.size(F.try_variant_get(doc, "$", "array<variant>")) == 0))
-        | (_kind(doc, "OBJECT") & (F.size(F.try_variant_get(doc, "$", "map<string,variant>")) == 0))
-        | ((shape == "STRING") & (text == ""))
-        | ((shape == "BOOLEAN") & (text == "false"))
-        | (F.coalesce(number == 0, F.lit(False)) & (shape != "STRING") & (shape != "BOOLEAN"))
-    )
+    return staged.select(*kept, F.transform("__fields", record).alias(into))
 
 
 def parse_bodies(bodies: DataFrame) -> DataFrame:
     """Parse each pushed body by its content type.
 
-    Adds ``route``, ``object`` (NULL for an unknown route), ``records`` and
-    ``status``: ``accepted``, ``rejected_empty``, ``rejected_parse`` or
-    ``unsupported_type``, in the order a caller would meet them. The first record of a list (or SOAP
-    body) that names its type makes the body typed: then only records of the
-    route's own object count, and the others are kept in ``mismatched``.
+    Adds ``route``, ``object`` (NULL for an unknown route), ``is_xml``, ``status``
+    and ``records``. The status is ``accepted``, ``rejected_empty``,
+    ``rejected_parse`` or ``unsupported_type``, judged in this order: body, then
+    route. If the first record of a list or SOAP body names its type, the body is
+    typed: then only records of the route's own object count, and the others are
+    kept in ``mismatched``.
     """
-    content_type = F.lower(F.coalesce(F.col("content_type"), F.lit("")))
+    content_type = F.lower(F.coalesce("content_type", F.lit("")))
     is_xml = F.contains(content_type, F.lit("xml")) | F.contains(content_type, F.lit("soap"))
-    empty = F.coalesce(F.col("body"), F.lit("")) == ""
     routes = F.create_map(*[F.lit(x) for pair in ROUTES.items() for x in pair])
-
-    staged = bodies.select(
-        "*",
-        F.lower("object_type").alias("route"),
-        is_xml.alias("is_xml"),
-        F.when(~is_xml, json_document(F.col("body"))).alias("__doc"),
-        F.when(is_xml & ~empty, soap_records(F.col("body"))).alias("__soap"),
+    route = F.lower("object_type")
+
+    staged = bodies.withColumns({
+        "route": route, "object": F.try_element_at(routes, route), "is_xml": is_xml,
+    })
+    # Each parser sees only its own bodies; a NULL is not parsed.
+    staged = staged.withColumns({
+        "__xml": F.when(F.col("is_xml") & (F.col("body") != ""), F.col("body")),
+        "__json": F.when(~F.col("is_xml") & (F.col("body") != ""), F.col("body")),
+    })
+    staged = json_records(soap_records(staged, "__xml", "__soap_records"), "__json", "__json_records")
+    staged = staged.withColumn(
+        "__all", F.when(F.col("is_xml"), F.col("__soap_records")).otherwise(F.col("__json_records"))
+    ).withColumn(
+        "__typed",
+        F.try_element_at(F.col("__all"), F.lit(1))["type"].isNotNull()
+        & (F.col("is_xml") | F.startswith(F.ltrim("body", F.lit(" \t\r\n")), F.lit("["))),
     )
-    doc = F.col("__doc")
-    listed = F.col("is_xml") | _kind(doc, "ARRAY")
-    staged = staged.select(
-        *bodies.columns,
-        "route",
-        F.try_element_at(routes, F.col("route")).alias("object"),
-        "is_xml",
-        F.when(F.col("is_xml"), F.col("__soap")).when(doc.isNotNull(), json_records(doc)).alias("__all"),
+    empty = (F.coalesce("body", F.lit("")) == "") | F.coalesce(
+        ~F.col("is_xml") & F.col("__all").isNotNull() & F.rlike("body", F.lit(_EMPTY_JSON)), F.lit(False)
+    )
+    staged = staged.withColumn(
+        "status",
         F.when(empty, "rejected_empty")
-        .when(F.col("is_xml"), F.when(F.col("__soap").isNull(), "rejected_parse"))
-        .when(doc.isNull(), "rejected_parse")
-        .when(_json_is_empty(doc), "rejected_empty")
-        .alias("__rejected"),
-        F.coalesce(listed, F.lit(False)).alias("__listed"),
+        .when(F.col("__all").isNull(), "rejected_parse")
+        .when(F.col("object").isNull(), "unsupported_type")
+        .otherwise("accepted"),
     )
-    first_type = F.try_element_at(F.col("__all"), F.lit(1))["type"]
-    typed = F.col("__listed") & first_type.isNotNull()
 
     def own(record: Column) -> Column:
-        return ~typed | F.coalesce(record["type"] == F.col("object"), F.lit(False))
+        return F.coalesce(record["type"] == F.col("object"), F.lit(False))
 
-    usable = F.col("__rejected").isNull() & F.col("object").isNotNull()
-    none = F.array().cast(RECORDS)
+    accepted, none = F.col("status") == "accepted", F.array().cast(RECORDS)
+    typed = F.coalesce("__typed", F.lit(False))
     return staged.select(
-        *bodies.columns,
-        "route",
-        "object",
-        "is_xml",
-        F.coalesce(
-            F.col("__rejected"), F.when(F.col("object").isNull(), "unsupported_type"), F.lit("accepted")
-        ).alias("status"),
-        F.when(usable, F.filter("__all", own)).otherwise(none).alias("records"),
-        F.when(usable, F.filter("__all", lambda r: ~own(r))).otherwise(none).alias("mismatched"),
+        *bodies.columns, "route", "object", "is_xml", "status",
+        F.when(~accepted, none).when(typed, F.filter("__all", own)).otherwise(F.col("__all")).alias("records"),
+        F.when(accepted & typed, F.filter("__all", lambda r: ~own(r))).otherwise(none).alias("mismatched"),
     )
