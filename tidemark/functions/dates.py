@@ -16,43 +16,48 @@ _OFFSET = (
 DATE_TEXT = rf"^{_DATE}(?:[Tt]{_TIME}(?:Z|{_OFFSET})?)?\z"
 
 
-def safe_parse_date(text: Column) -> Column:
-    """Strictly parse a CRM date text to naive UTC; anything else is NULL.
+def safe_parse_date_sql(text: str) -> str:
+    """SQL of :func:`safe_parse_date` over a SQL expression; wide tables build many of these."""
+    offset = f"regexp_extract({text}, r'[Tt].*?({_OFFSET})\z', 1)"
+    digits = f"replace({offset}, ':', '')"
+
+    def part(start: int, length: int, kind: str) -> str:
+        signed = f"concat(left({offset}, 1), substring({digits}, {start}, {length}))"
+        return f"coalesce(try_cast({signed} AS {kind}), 0)"
+
+    wall = f"try_cast(translate({text}, 't ', 'T0') AS timestamp_ntz)"
+    shift = f"make_dt_interval(0, {part(2, 2, 'int')}, {part(4, 2, 'int')}, {part(6, 9, 'decimal(18,6)')})"
+    return (
+        f"CASE WHEN rlike({text}, r'{DATE_TEXT}') THEN "
+        f"CASE WHEN endswith({text}, 'Z') OR endswith({text}, '+0000') OR {offset} = '' "
+        f"THEN {wall} ELSE {wall} - {shift} END END"
+    )
+
+
+def safe_parse_date(text: str) -> Column:
+    """Strictly parse a date text (a column name or SQL expression) to naive UTC; else NULL.
 
     One anchored pattern decides what is accepted, so that the lenient cast
     behind it never sees a form it should not take. The cast ignores the offset,
     which is then subtracted.
     """
-    wall = F.translate(text, "t ", "T0").try_cast("timestamp_ntz")
-    offset = F.regexp_replace(F.regexp_extract(text, rf"[Tt].*?({_OFFSET})\z", 1), ":", "")
-    sign = F.substring(offset, 1, 1)
+    return F.expr(safe_parse_date_sql(text))
 
-    def part(start: int, length: int) -> Column:
-        return F.concat(sign, F.substring(offset, start, length))
 
-    seconds = F.coalesce(part(6, 9).try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
-    shift = F.make_dt_interval(
-        F.lit(0), part(2, 2).try_cast("int"), part(4, 2).try_cast("int"), seconds
-    )
-    in_utc = F.endswith(text, F.lit("Z")) | F.endswith(text, F.lit("+0000"))
-    return F.when(
-        F.rlike(text, F.lit(DATE_TEXT)),
-        F.when(in_utc | (offset == ""), wall).otherwise(wall - shift),
-    )
-
-
-def instant(column: Column, data_type: T.DataType) -> Column:
+def instant_sql(column: str, data_type: T.DataType) -> str:
     """Any date-like column as naive UTC; other types are NULL."""
     if isinstance(data_type, T.StringType):
-        return safe_parse_date(column)
+        return safe_parse_date_sql(column)
     if isinstance(data_type, (T.TimestampNTZType, T.DateType)):
-        return column.cast("timestamp_ntz")
+        return f"CAST({column} AS timestamp_ntz)"
     if isinstance(data_type, T.TimestampType):
-        seconds = (F.unix_micros(column).cast("decimal(24,0)") / 1000000).cast("decimal(18,6)")
-        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-        zero = F.lit(0)
-        return epoch + F.make_dt_interval(zero, zero, zero, seconds)
-    return F.lit(None).cast("timestamp_ntz")
+        seconds = f"CAST(CAST(unix_micros({column}) AS decimal(24,0)) / 1000000 AS decimal(18,6))"
+        return f"timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, {seconds})"
+    return "CAST(NULL AS timestamp_ntz)"
+
+
+def instant(column: str, data_type: T.DataType) -> Column:
+    return F.expr(instant_sql(column, data_type))
 
 
 def to_millis(ts: Column) -> Column:

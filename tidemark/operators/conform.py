@@ -2,30 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions import instant, safe_parse_date
+from tidemark.functions import instant_sql, safe_parse_date_sql
 from tidemark.specs import TableSpec
 
+# Wide tables: the projections below are built as SQL text, one call per table
+# instead of some calls per column.
 
-def _field(df: DataFrame, path: str) -> tuple[Column, T.DataType] | None:
-    """Column and type of a possibly dotted source path; None if the source lacks it."""
+
+def _quoted(path: str) -> str:
+    return ".".join(f"`{part}`" for part in path.split("."))
+
+
+def _field(df: DataFrame, path: str) -> tuple[str, T.DataType] | None:
+    """SQL and type of a possibly dotted source path; None if the source lacks it."""
     schema: T.DataType = df.schema
     for part in path.split("."):
         if not isinstance(schema, T.StructType) or part not in schema.names:
             return None
         schema = schema[part].dataType
-    return F.col(path), schema
+    return _quoted(path), schema
 
 
-def _typed(column: Column, data_type: T.DataType, kind: str, is_date: bool) -> Column:
+def _typed(column: str, data_type: T.DataType, kind: str, is_date: bool) -> str:
     if is_date:
-        return instant(column, data_type)
+        return instant_sql(column, data_type)
     if data_type.simpleString() == kind:
         return column
-    return column.try_cast(kind) if isinstance(data_type, T.StringType) else column.cast(kind)
+    return f"try_cast({column} AS {kind})"
 
 
 def conform_source(df: DataFrame, spec: TableSpec, *keep: str) -> DataFrame:
@@ -36,82 +43,72 @@ def conform_source(df: DataFrame, spec: TableSpec, *keep: str) -> DataFrame:
     """
     out = []
     for c in spec.columns:
-        found = _field(df, spec.source_of(c))
-        if found is None and spec.source_of(c) != c:
-            found = _field(df, c)
+        found = _field(df, spec.source_of(c)) or _field(df, c)
         kind = spec.type_of(c)
-        value = F.lit(None).cast(kind) if found is None else _typed(*found, kind, c in spec.dates)
-        out.append(value.alias(c))
-    return df.select(*out, *[k for k in keep if k not in spec.columns])
+        value = f"CAST(NULL AS {kind})" if found is None else _typed(*found, kind, c in spec.dates)
+        out.append(f"{value} AS `{c}`")
+    return df.selectExpr(*out, *[f"`{k}`" for k in keep if k not in spec.columns])
 
 
 def conform_payload(df: DataFrame, spec: TableSpec, *keep: str, fields: str = "fields") -> DataFrame:
-    """Pushed records (a map column) as target rows, plus ``present``: the columns each one carries."""
-    record = F.col(fields)
-
-    def value(c: str) -> Column:
-        path = spec.source_of(c)
-        if "." in path:
-            head, leaf = path.split(".")
-            if head in df.columns:
-                return F.col(path).cast("string")
-            nested = F.try_parse_json(F.try_element_at(record, F.lit(head)))
-            return F.try_variant_get(nested, f"$.{leaf}", "string")
-        return F.try_element_at(record, F.lit(path))
+    """Pushed records (a map column) as target rows, plus ``present``: the columns each one carries.
 
-    out = []
+    A dotted source reads a struct column of that name if there is one (an
+    enriched owner), else JSON text in the record.
+    """
+    texts, present = [], []
     for c in spec.columns:
-        kind = spec.type_of(c)
-        text = value(c)
-        out.append((safe_parse_date(text) if c in spec.dates else text.try_cast(kind)).alias(c))
-    heads = {c: spec.source_of(c).split(".")[0] for c in spec.columns}
-    present = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.map_contains_key(record, head)
-                    | (F.col(head).isNotNull() if head in df.columns and head != c else F.lit(False)),
-                    c,
-                )
-                for c, head in heads.items()
-            ]
-        )
-    )
-    return df.select(*out, present.alias("present"), *[k for k in keep if k not in spec.columns])
-
-
-def type_rules(
-    df: DataFrame, spec: TableSpec, get: Callable[[str], Column] | None = None
-) -> dict[str, Column]:
-    """Rules that name a bad row: no key, or a text its column cannot hold.
-
-    Dates are not among them: the date parser turns bad text into NULL.
+        head, _, leaf = spec.source_of(c).partition(".")
+        carried = f"map_contains_key(`{fields}`, '{head}')"
+        if leaf and head in df.columns:
+            text = f"CAST(`{head}`.`{leaf}` AS string)"
+            carried = f"({carried} OR `{head}` IS NOT NULL)"
+        elif leaf:
+            text = f"try_variant_get(try_parse_json(try_element_at(`{fields}`, '{head}')), '$.{leaf}', 'string')"
+        else:
+            text = f"try_element_at(`{fields}`, '{head}')"
+        texts.append(f"{text} AS `{c}`")
+        present.append(f"CASE WHEN {carried} THEN '{c}' END")
+    others = [f"`{k}`" for k in keep if k not in spec.columns]
+    named = df.selectExpr(*texts, f"array_compact(array({', '.join(present)})) AS present", *others)
+    typed = [
+        f"{safe_parse_date_sql(f'`{c}`')} AS `{c}`" if c in spec.dates
+        else _typed(f"`{c}`", T.StringType(), spec.type_of(c), False) + f" AS `{c}`"
+        for c in spec.columns
+    ]
+    return named.selectExpr(*typed, "present", *others)
+
+
+def type_rules(df: DataFrame, spec: TableSpec, fields: str | None = None) -> dict[str, str]:
+    """Rules (SQL) that name a bad row: no key, or a text its column cannot hold.
+
+    Dates are not among them: the date parser turns bad text into NULL. ``fields``
+    names a map column to look in instead of the feed's own columns.
     """
-    rules: dict[str, Column] = {}
+    rules: dict[str, str] = {}
     for c in spec.columns:
         path = spec.source_of(c)
-        if get is not None:
-            raw, kind = get(path), T.StringType()
+        if fields is not None:
+            found = (f"try_element_at(`{fields}`, '{path}')", T.StringType())
         else:
             found = _field(df, path)
-            if found is None:
-                continue
-            raw, kind = found
+        if found is None:
+            continue
+        raw, kind = found
         if c in spec.keys and not spec.null_safe:
-            rules[f"missing_{c}"] = raw.isNull()
+            rules[f"missing_{c}"] = f"{raw} IS NULL"
         if isinstance(kind, T.StringType) and c not in spec.dates and spec.type_of(c) != "string":
-            rules[f"bad_{c}"] = raw.isNotNull() & raw.try_cast(spec.type_of(c)).isNull()
+            rules[f"bad_{c}"] = f"{raw} IS NOT NULL AND try_cast({raw} AS {spec.type_of(c)}) IS NULL"
     return rules
 
 
-def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad rows with ``reasons``: every rule they break, in rule order.
 
     Nothing is dropped: the two parts together are the input.
     """
-    broken = F.array_compact(
-        F.array(*[F.when(F.coalesce(test, F.lit(False)), reason) for reason, test in rules.items()])
-    ) if rules else F.array().cast("array<string>")
+    tests = ", ".join(f"CASE WHEN {test} THEN '{reason}' END" for reason, test in rules.items())
+    broken = F.expr(f"array_compact(array({tests}))" if rules else "CAST(array() AS array<string>)")
     judged = df.withColumn("reasons", broken)
     good = judged.filter(F.size("reasons") == 0).drop("reasons")
     bad = judged.filter(F.size("reasons") > 0)

@@ -46,14 +46,13 @@ def collapse(
     newest = F.struct(F.col(event_col).isNotNull(), event_col, *seq) if event_col else order
     aggregates = []
     if present and last:
-        carried = [
-            F.max_by(
-                F.when(F.array_contains(present, c), F.struct(F.col(c).alias("value"))),
-                F.when(F.array_contains(present, c), newest),
-            ).alias(c)
+        order_sql = f"struct({', '.join(f'`{c}`' for c in seq)})"
+        aggregates += [
+            F.expr(
+                f"max_by(struct(`{c}` AS value), {order_sql}) FILTER (WHERE array_contains(`{present}`, '{c}')) AS `{c}`"
+            )
             for c in last
         ]
-        aggregates += carried
     elif last:
         aggregates.append(F.max_by(F.struct(*last), newest).alias("__last"))
     if first:
@@ -62,12 +61,11 @@ def collapse(
     if not aggregates:
         return source.select(*keys).distinct()
     packed = grouped.agg(*aggregates)
-    out = [F.col(k) for k in keys]
+    out = [f"`{k}`" for k in keys]
     if last:
-        out += [F.col(c) if present else F.col("__last")[c].alias(c) for c in last]
-    if first:
-        out += [F.col("__first")[c].alias(c) for c in first]
-    return packed.select(*out)
+        out += [f"`{c}`" if present else f"__last.`{c}`" for c in last]
+    out += [f"__first.`{c}`" for c in first]
+    return packed.selectExpr(*out)
 
 
 def merge(
@@ -108,15 +106,16 @@ def merge(
     # A NULL key never matches and never joins a group: such rows get a part of
     # their own in the key, unique per row, which also spreads them over tasks.
     apart = null_keys and not null_safe
-    kinds = {f.name: f.dataType for f in target.schema}
-    carry = [c for c in (*(seq or ()), present, event_col) if c and c not in columns and c in source.columns]
-    aligned = source.select(
-        *[
-            (F.col(c).cast(kinds[c]) if c in source.columns else F.lit(None).cast(kinds[c])).alias(c)
-            for c in columns
-        ],
-        *carry,
-    )
+    kinds = {f.name: f.dataType.simpleString() for f in target.schema}
+    given = {f.name: f.dataType.simpleString() for f in source.schema}
+
+    def column(c: str) -> str:
+        if given.get(c) == kinds[c]:
+            return f"`{c}`"
+        return f"CAST({f'`{c}`' if c in given else 'NULL'} AS {kinds[c]}) AS `{c}`"
+
+    extras = dict.fromkeys(c for c in (*(seq or ()), present, event_col) if c in given and c not in kinds)
+    aligned = source.selectExpr(*map(column, columns), *[f"`{c}`" for c in extras])
     group = list(keys)
     if apart:
         unique = _one(seq) if seq else F.struct(*columns)
@@ -128,13 +127,9 @@ def merge(
             aligned, group, seq, last=update, first=fixed, event_col=event_col, present=present
         )
     elif present:
-        aligned = aligned.select(
-            *group,
-            *[
-                F.when(F.array_contains(present, c), F.struct(F.col(c).alias("value"))).alias(c)
-                for c in update
-            ],
-            *fixed,
+        aligned = aligned.selectExpr(
+            *[f"`{c}`" for c in (*group, *fixed)],
+            *[f"CASE WHEN array_contains(`{present}`, '{c}') THEN struct(`{c}` AS value) END AS `{c}`" for c in update],
         )
 
     t, s = target.withColumn("__t", F.lit(True)), aligned.withColumn("__s", F.lit(True))
@@ -142,37 +137,29 @@ def merge(
         t = t.withColumn(
             APART, F.when(_any_null(keys), F.to_json(F.struct(*columns))).otherwise(F.lit(""))
         )
-    t, s = t.alias("t"), s.alias("s")
-
-    def tc(name: str) -> Column:
-        return F.col(f"t.`{name}`")
-
-    def sc(name: str) -> Column:
-        return F.col(f"s.`{name}`")
-
-    match = [tc(k).eqNullSafe(sc(k)) if null_safe else tc(k) == sc(k) for k in group]
-    joined = t.join(s, match, "full_outer")
+    equal = "<=>" if null_safe else "="
+    on = " AND ".join(f"t.`{k}` {equal} s.`{k}`" for k in group)
+    joined = t.alias("t").join(s.alias("s"), F.expr(on), "full_outer")
 
-    in_target, in_source = tc("__t").isNotNull(), sc("__s").isNotNull()
-    applies = in_source
+    in_target, applies = "t.__t IS NOT NULL", "s.__s IS NOT NULL"
     if event_col:
-        new, old = sc(event_col), tc(event_col)
-        stale = in_target & old.isNotNull() & F.coalesce(new < old, F.lit(True))
-        applies = in_source & ~stale
+        new, old = f"s.`{event_col}`", f"t.`{event_col}`"
+        stale = f"{in_target} AND {old} IS NOT NULL AND coalesce({new} < {old}, true)"
+        applies = f"{applies} AND NOT ({stale})"
 
-    def pick(c: str) -> Column:
+    def pick(c: str) -> str:
         if c in keys or c in fixed:
-            return F.when(in_target, tc(c)).otherwise(sc(c))
+            return f"CASE WHEN {in_target} THEN t.`{c}` ELSE s.`{c}` END AS `{c}`"
         if present:
-            return F.when(applies & sc(c).isNotNull(), sc(c)["value"]).otherwise(tc(c))
-        return F.when(applies, sc(c)).otherwise(tc(c))
+            return f"CASE WHEN {applies} AND s.`{c}` IS NOT NULL THEN s.`{c}`.value ELSE t.`{c}` END AS `{c}`"
+        return f"CASE WHEN {applies} THEN s.`{c}` ELSE t.`{c}` END AS `{c}`"
 
-    out = [pick(c).alias(c) for c in columns]
+    out = [pick(c) for c in columns]
     if action:
         out.append(
-            F.when(~in_target, "insert").when(applies, "update").otherwise("keep").alias(action)
+            f"CASE WHEN NOT ({in_target}) THEN 'insert' WHEN {applies} THEN 'update' ELSE 'keep' END AS `{action}`"
         )
-    return joined.select(*out)
+    return joined.selectExpr(*out)
 
 
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str], **options) -> DataFrame:

@@ -39,7 +39,9 @@ def parse_dates(t: Tables) -> DataFrame:
     text = text.when(form == 10, F.concat(F.lit(" "), day)).when(form == 11, "")
     for number, tail in tails.items():
         text = text.when(form == number, F.concat(day, F.lit(tail)))
-    return t.orders.select("o_orderkey", safe_parse_date(text).alias("parsed"))
+    return t.orders.select("o_orderkey", text.alias("text")).select(
+        "o_orderkey", safe_parse_date("text").alias("parsed")
+    )
 
 
 @query(

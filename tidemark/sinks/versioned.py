@@ -128,11 +128,11 @@ class VersionedTable:
         return self._write(self._by_key(self._typed(rows)), base, applied)
 
     def _typed(self, rows: DataFrame, *keep: str) -> DataFrame:
+        given = rows.columns
         columns = [
-            (F.col(c) if c in rows.columns else F.lit(None)).cast(self.spec.type_of(c)).alias(c)
-            for c in self.spec.columns
+            f"CAST({f'`{c}`' if c in given else 'NULL'} AS {self.spec.type_of(c)}) AS `{c}`" for c in self.spec.columns
         ]
-        return rows.select(*columns, *[k for k in dict.fromkeys(keep) if k not in self.spec.columns])
+        return rows.selectExpr(*columns, *[f"`{k}`" for k in dict.fromkeys(keep) if k not in self.spec.columns])
 
     def _by_key(self, rows: DataFrame) -> DataFrame:
         return rows.repartition(*self.spec.keys)

@@ -48,7 +48,7 @@ def project_feed(df: DataFrame, spec: TableSpec, *extra: str) -> DataFrame:
 
 def feed_instant(df: DataFrame, name: str) -> Column:
     """A feed's time column as naive UTC, parsed only when it is text."""
-    return instant(F.col(name), df.schema[name].dataType)
+    return instant(f"`{name}`", df.schema[name].dataType)
 
 
 def full_extract(df: DataFrame, spec: TableSpec, *keep: str, ordered: bool = False) -> DataFrame:

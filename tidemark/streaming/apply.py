@@ -91,7 +91,7 @@ def apply_route(sink: PushSink, route: str, records: DataFrame, batch_id: int) -
     if route == OPPORTUNITIES.name and sink.users is not None:
         owner = F.try_element_at("fields", F.lit("OwnerId"))
         records = enrich_owner(records.withColumn("OwnerId", owner), sink.users()).drop("OwnerId")
-    rules = type_rules(records, spec, lambda path: F.try_element_at("fields", F.lit(path)))
+    rules = type_rules(records, spec, fields="fields")
     good, bad = split_valid(records, rules)
     order = [*ARRIVAL, "pos"]
     # Bad rows first: a batch whose table is committed is not looked at again.
