@@ -18,19 +18,22 @@ DATE_TEXT = rf"^{_DATE}(?:[Tt]{_TIME}(?:Z|{_OFFSET})?)?\z"
 
 def safe_parse_date_sql(text: str) -> str:
     """SQL of :func:`safe_parse_date` over a SQL expression; wide tables build many of these."""
-    offset = f"regexp_extract({text}, r'[Tt].*?({_OFFSET})\z', 1)"
+    offset = f"regexp_extract({text}, r'[Tt].*?({_OFFSET})\\z', 1)"
     digits = f"replace({offset}, ':', '')"
 
     def part(start: int, length: int, kind: str) -> str:
         signed = f"concat(left({offset}, 1), substring({digits}, {start}, {length}))"
         return f"coalesce(try_cast({signed} AS {kind}), 0)"
 
-    wall = f"try_cast(translate({text}, 't ', 'T0') AS timestamp_ntz)"
+    def wall(part: str) -> str:
+        return f"try_cast(translate({part}, 't ', 'T0') AS timestamp_ntz)"
+
+    bare = f"left({text}, length({text}) - length({offset}))"
     shift = f"make_dt_interval(0, {part(2, 2, 'int')}, {part(4, 2, 'int')}, {part(6, 9, 'decimal(18,6)')})"
     return (
         f"CASE WHEN rlike({text}, r'{DATE_TEXT}') THEN "
         f"CASE WHEN endswith({text}, 'Z') OR endswith({text}, '+0000') OR {offset} = '' "
-        f"THEN {wall} ELSE {wall} - {shift} END END"
+        f"THEN {wall(text)} ELSE {wall(bare)} - {shift} END END"
     )
 
 
@@ -38,8 +41,8 @@ def safe_parse_date(text: str) -> Column:
     """Strictly parse a date text (a column name or SQL expression) to naive UTC; else NULL.
 
     One anchored pattern decides what is accepted, so that the lenient cast
-    behind it never sees a form it should not take. The cast ignores the offset,
-    which is then subtracted.
+    behind it never sees a form it should not take. An offset is cut off before
+    the cast and then subtracted.
     """
     return F.expr(safe_parse_date_sql(text))
 
