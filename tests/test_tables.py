@@ -396,3 +396,6 @@ def test_upsert_against_merge(spark, tmp_path):
     t.overwrite(old)
     t.upsert(new)
     assert rows(t.read()) == rows(merge(old, new, ["k"], null_keys=False))
+    t.overwrite(old)
+    t.upsert(new, whole=True)
+    assert rows(t.read()) == rows(merge(old, new, ["k"], null_keys=False))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.conform import conform_source
+from tidemark.operators.merge import collapse
 from tidemark.operators.sizing import measured
 from tidemark.specs import CUSTOM_ATTRIBUTES, CUSTOM_VALUES
 
@@ -15,9 +16,7 @@ SUFFIX = "__c"
 
 def last_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """The last row of each key by ``seq``; combines before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    packed = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), seq).alias("__row"))
-    return packed.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
+    return collapse(df, keys, [seq], last=[c for c in df.columns if c not in keys])
 
 
 def assemble_metadata(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.operators.merge import collapse
 from tidemark.specs import CONFIG_CLASSES
 
 
@@ -28,7 +29,7 @@ def enrich_owner(
     """
     found = users.select(F.col(user_id).alias("__user"), F.struct(*fields).alias("__owner"), *([seq] if seq else []))
     if seq:
-        found = found.groupBy("__user").agg(F.min_by("__owner", seq).alias("__owner"))
+        found = collapse(found, ["__user"], [seq], first=["__owner"])
     joined = records.join(found, records[owner_id] == found["__user"], "left")
     owner = F.when(
         F.coalesce(F.col(owner_id).cast("string"), F.lit("")) != "",
@@ -50,14 +51,13 @@ def latest_with_fallback(
 ) -> DataFrame:
     """Per tenant the newest live row of the preferred class, else of the next class.
 
-    An aggregate rather than a sorted window: it combines before the shuffle, so
-    a tenant with very many rows sends one per task.
+    The ranked window is limited before the shuffle, so a tenant with very many
+    rows sends one per task.
     """
     rank = F.lit(None).cast("int")
     for position, (p, s) in reversed(list(enumerate(classes))):
         rank = F.when((F.col(provider) == p) & (F.col(service) == s), position).otherwise(rank)
     live = rows.filter(F.col(deleted) == 0).withColumn("__rank", rank).filter("__rank is not null")
-    # Largest wins: class first, then the newest (no modification time is oldest), then the id.
-    order = F.struct(-F.col("__rank"), F.col(modified), F.col(tie))
-    best = live.groupBy(by).agg(F.max_by(F.struct(*rows.columns), order).alias("__row"))
-    return best.select("__row.*")
+    best = collapse(live.withColumn("__rank", -F.col("__rank")), [by], ["__rank", modified, tie],
+                    last=[c for c in rows.columns if c != by])
+    return best.select(*rows.columns)

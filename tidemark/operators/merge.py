@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 APART = "__apart"
 
@@ -18,10 +18,6 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _one(columns: Sequence[str]) -> Column:
-    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
-
-
 def collapse(
     source: DataFrame,
     keys: Sequence[str],
@@ -34,16 +30,20 @@ def collapse(
 ) -> DataFrame:
     """One row per key: ``last`` columns from the last row by ``seq``, ``first`` from the first.
 
-    The aggregates combine before the shuffle, so a key that holds a large part
-    of the batch sends one row per task. ``seq`` must order the rows of a key
-    totally. With ``event_col`` the last row is the newest by event time
-    (arrival breaks ties; a null event time counts as oldest). With ``present``,
-    an array column naming the columns a row really carries, each ``last`` column
-    comes from the last row that carries it and is a struct ``(value)``, NULL if
-    no row does.
+    A key that holds a large part of the batch sends one row per task: the ranked
+    window is limited, and the aggregates combine, before the shuffle. ``seq`` must
+    order the rows of a key totally (a NULL comes first). With ``event_col`` the
+    last row is the newest by event time (arrival breaks ties; a NULL event time
+    counts as oldest). With ``present``, an array column naming the columns a row
+    really carries, each ``last`` column comes from the last row that carries it
+    and is a struct ``(value)``, NULL if no row does.
     """
-    order = _one(seq)
-    newest = F.struct(F.col(event_col).isNotNull(), event_col, *seq) if event_col else order
+    newest = [event_col, *seq] if event_col else list(seq)
+    if last and not first and not present:
+        # Only last rows: a limited window is cheaper than packing rows into an aggregate.
+        ranked = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in newest])
+        top = source.withColumn("__rank", F.row_number().over(ranked)).filter("__rank = 1")
+        return top.selectExpr(*[f"`{c}`" for c in (*keys, *last)])
     aggregates = []
     if present and last:
         order_sql = f"struct({', '.join(f'`{c}`' for c in seq)})"
@@ -54,9 +54,9 @@ def collapse(
             for c in last
         ]
     elif last:
-        aggregates.append(F.max_by(F.struct(*last), newest).alias("__last"))
+        aggregates.append(F.max_by(F.struct(*last), F.struct(*newest)).alias("__last"))
     if first:
-        aggregates.append(F.min_by(F.struct(*first), order).alias("__first"))
+        aggregates.append(F.min_by(F.struct(*first), F.struct(*seq)).alias("__first"))
     grouped = source.groupBy(*keys)
     if not aggregates:
         return source.select(*keys).distinct()
@@ -118,7 +118,7 @@ def merge(
     aligned = source.selectExpr(*map(column, columns), *[f"`{c}`" for c in extras])
     group = list(keys)
     if apart:
-        unique = _one(seq) if seq else F.struct(*columns)
+        unique = F.struct(*(seq or columns))
         aligned = aligned.withColumn(APART, F.when(_any_null(keys), F.to_json(F.struct(unique.alias("r")))))
         aligned = aligned.withColumn(APART, F.coalesce(APART, F.lit("")))
         group.append(APART)

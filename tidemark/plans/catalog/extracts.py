@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import iso_text, to_millis, watermark_text
 from tidemark.operators import (
+    collapse,
     conform_source,
     enrich_owner,
-    last_per_key,
     latest_with_fallback,
     merge,
     split_valid,
@@ -61,8 +61,8 @@ def incremental_extract_feed(t: Tables) -> DataFrame:
 )
 def incremental_by_created(t: Tables) -> DataFrame:
     new = incremental_extract(history_feed(t), HISTORY, MID, *LINE_ORDER)
-    rows = conform_source(new, HISTORY, *LINE_ORDER).withColumn("__seq", F.struct(*LINE_ORDER))
-    return plain(last_per_key(rows, HISTORY.keys, "__seq").select(*HISTORY.columns))
+    rows = conform_source(new, HISTORY, *LINE_ORDER)
+    return plain(collapse(rows, HISTORY.keys, LINE_ORDER, last=HISTORY.update_columns).select(*HISTORY.columns))
 
 
 @query(

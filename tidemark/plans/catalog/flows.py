@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import conform_source
+from tidemark.operators.sizing import measured
 from tidemark.plans.catalog.registry import Tables, plain, query
 from tidemark.plans.catalog.standins import LATE, MID, RUN_TS, ident, sql_ident, sql_ts, ts
 from tidemark.plans.sync import (
@@ -159,7 +160,8 @@ def _with_outcome(table: DataFrame, log: DataFrame, report: DataFrame) -> DataFr
         F.col(OPPORTUNITIES.keys[0]).alias("id"), "CompanyId", F.col("StageName").alias("stage"),
         F.col("Amount").alias("amount"), F.col("LastModifiedDate").alias("modified"),
     )
-    return plain(rows.join(marks.join(counts, "CompanyId"), "CompanyId"))
+    # Measured, so that the table is not shuffled by tenant for it.
+    return plain(rows.join(measured(marks.join(counts, "CompanyId")), "CompanyId"))
 
 
 @query(END_TO_END_SQL)

@@ -26,6 +26,7 @@ from tidemark.operators import (
     type_rules,
     unpivot_values,
 )
+from tidemark.operators.sizing import measured
 from tidemark.sinks import VersionedTable
 from tidemark.sources import only_referencing, project_feed, tenant_extract
 from tidemark.sources.extract import feed_instant
@@ -73,9 +74,13 @@ def watermarks(sync_log: DataFrame, table: str | None = None) -> DataFrame:
 
 
 def tenant_marks(companies: DataFrame, sync_log: DataFrame, table: str) -> DataFrame:
-    """One row per tenant to be read, with its watermark if it has one."""
+    """One row per tenant to be read, with its watermark if it has one.
+
+    Measured, because every feed row is joined to it: of unknown size, it would
+    make the planner shuffle the feed by tenant.
+    """
     ids = companies.select(F.col("Id").alias(TENANT)).distinct()
-    return ids.join(watermarks(sync_log, table), TENANT, "left")
+    return measured(ids.join(watermarks(sync_log, table), TENANT, "left"))
 
 
 def common_floor(marks: DataFrame) -> datetime | None:
@@ -215,9 +220,15 @@ def custom_fields(
     )
     scope = [c for c in by if c != "Name"]
     judged = metadata.join(marks.select(*scope, F.col("last_sync").isNull().alias("__full")), scope)
-    found = fields_with_values(judged.filter(~F.col("__full")), values, by)
-    metadata = judged.filter("__full").unionByName(found).drop("__full")
-    return metadata, values
+    full, incremental = marks.agg(
+        F.count_if(F.col("last_sync").isNull()), F.count_if(F.col("last_sync").isNotNull())
+    ).first()
+    kept = judged.filter("__full")
+    if incremental:
+        # Looks through the values, so only if some object or tenant asks for it.
+        found = fields_with_values(judged.filter("not __full"), values, by)
+        kept = kept.unionByName(found) if full else found
+    return kept.drop("__full"), values
 
 
 def upsert_values(target: DataFrame, rows: DataFrame, *, clear_nulls: bool = False, **options) -> DataFrame:

@@ -145,10 +145,13 @@ class VersionedTable:
         event_col: str | None = None,
         present: str | None = None,
         applied: tuple[str, int] | None = None,
+        whole: bool = False,
     ) -> int:
         """Merge a batch and return the version. ``applied=(writer, batch)`` makes a replay a no-op.
 
-        Only the numbers of the touched buckets (at most ``buckets``) reach the driver.
+        Only the numbers of the touched buckets (at most ``buckets``) reach the
+        driver. ``whole`` is for a batch known to touch most of the table: all
+        buckets are rewritten, and the batch is neither kept nor read to find them.
         """
         old = self.pointer()
         if applied and old.applied.get(applied[0], -1) >= applied[1]:
@@ -160,22 +163,32 @@ class VersionedTable:
             null_safe=self.spec.null_safe, null_keys=False,
         )
         if not old.buckets:
-            empty = self.spark.createDataFrame([], self.spec.schema)
-            rows = merge(empty, batch, self.spec.keys, **options)
-            return self._write(self._by_key(rows) if self.spec.null_safe else rows, old, applied)
+            return self._merge_into({}, batch, old, applied, options)
+        if whole:
+            return self._merge_into(old.buckets, batch, old, applied, options)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = [r[0] for r in batch.select(self._bucket()).distinct().collect()]
             if not touched:
                 return self._write(batch.select(*self.spec.columns), old, applied)
-            target = self._read({b: old.buckets[b] for b in touched if b in old.buckets})
-            rows = merge(target, batch, self.spec.keys, **options)
-            # A null-safe join shuffles by other expressions than the bare keys.
-            rows = self._by_key(rows) if self.spec.null_safe else rows
-            return self._write(rows, old, applied)
+            buckets = {b: old.buckets[b] for b in touched if b in old.buckets}
+            return self._merge_into(buckets, batch, old, applied, options)
         finally:
             batch.unpersist()
 
+    def _merge_into(
+        self,
+        buckets: dict[int, str],
+        batch: DataFrame,
+        old: Pointer,
+        applied: tuple[str, int] | None,
+        options: dict,
+    ) -> int:
+        rows = merge(self._read(buckets), batch, self.spec.keys, **options)
+        # A null-safe join shuffles by other expressions than the bare keys.
+        rows = self._by_key(rows) if self.spec.null_safe else rows
+        return self._write(rows, old, applied)
+
     def vacuum(self, keep_versions: int = 2) -> list[str]:
         """Delete pointers before the last ``keep_versions`` and the writes none of the rest uses."""
         names = [n for n in self._names(f"{self.path}/_pointer") if n.endswith(".json")]
