@@ -1,6 +1,7 @@
 """Plans: what reaches the scan, what is shuffled, and what happens to hot keys."""
 
 import re
+import time
 from collections import Counter
 from datetime import datetime
 
@@ -9,18 +10,22 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import (
     collapse,
+    conform_payload,
+    conform_source,
     custom_value_rows,
     enrich_owner,
     latest_with_fallback,
     merge,
     nest_values,
+    route_records,
+    split_valid,
+    type_rules,
     unnest_values,
 )
 from tidemark.operators.merge import APART
 from tidemark.plans.catalog.registry import Tables
 from tidemark.plans.catalog.standins import opportunity_feed
 from tidemark.sources import incremental_extract, only_referencing, parse_bodies
-from tidemark.operators import route_records
 from tidemark.plans.catalog.pushes import event_bodies
 from tidemark.specs import OPPORTUNITIES
 
@@ -70,7 +75,7 @@ def test_merge_shuffles_each_side_once(spark):
 
 
 def test_collapse_combines_before_the_shuffle(spark):
-    hot = spark.range(0, 40_000, 1, 8).select(F.lit("hot").alias("k"), F.col("id").alias("n"), F.lit("v").alias("v"))
+    hot = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") >= 0, "hot").alias("k"), F.col("id").alias("n"), F.lit("v").alias("v"))
     last = collapse(hot, ["k"], ["n"], last=["v", "n"])
     both = collapse(hot, ["k"], ["n"], last=["n"], first=["v"])
     # In a plan text the lower line runs first.
@@ -113,7 +118,7 @@ def test_hot_owner_is_split(spark, conf):
 
 def test_latest_row_combines_before_the_shuffle(spark):
     rows = spark.range(0, 10_000, 1, 8).select(
-        F.lit("hot").alias("CompanyId"), F.col("id").alias("Id"), F.lit(2).alias("ProviderName"),
+        F.when(F.col("id") >= 0, "hot").alias("CompanyId"), F.col("id").alias("Id"), F.lit(2).alias("ProviderName"),
         F.lit(2).alias("ServiceType"), F.lit(0).alias("IsDeleted"),
         F.when(F.col("id") < 9_000, F.lit("2024-01-01").cast("timestamp_ntz")).alias("ModifiedAt"),
     )
@@ -162,3 +167,16 @@ def test_no_python_in_plans(spark):
     for name in ("upsert_full", "payload_dispatch", "safe_parse_date", "custom_field_nested", "sync_end_to_end"):
         text = plan(entry.queries()[name](spark, SF_DIR))
         assert "Python" not in text and "CartesianProduct" not in text, name
+
+
+def test_text_feeds_of_wide_tables_are_planned_quickly(spark):
+    """Validity rules must not multiply in the optimizer."""
+    columns = {OPPORTUNITIES.source_of(c).split(".")[0] for c in OPPORTUNITIES.columns}
+    feed = spark.range(10).select(*[F.col("id").cast("string").alias(c) for c in sorted(columns)])
+    record = spark.range(10).select(F.create_map(F.lit("Id"), F.col("id").cast("string")).alias("fields"), "id")
+    good, _ = split_valid(feed, type_rules(feed, OPPORTUNITIES))
+    pushed, _ = split_valid(record, type_rules(record, OPPORTUNITIES, "fields"))
+    start = time.time()
+    for rows in (conform_source(good, OPPORTUNITIES), conform_payload(pushed, OPPORTUNITIES)):
+        plan(collapse(rows, OPPORTUNITIES.keys, ["Name"], last=OPPORTUNITIES.update_columns))
+    assert time.time() - start < 20
