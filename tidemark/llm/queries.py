@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import simhash
-from tidemark.llm.shared import table
+from tidemark.llm import simhash, token_files
+from tidemark.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL where it can express a query; the others are held against brute force in ``tests/llm``.
@@ -19,6 +19,20 @@ def query(fn):
     return fn
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of whole texts in seekable files, read back from them."""
+    folder = shared_folder(spark, "token-files")
+    manifest = token_files.write(table(sf_dir, "documents", spark), vocabulary("word_bpe_49k.json"), folder)
+    return token_files.digests(manifest)
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
