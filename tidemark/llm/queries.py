@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import simhash, token_files
+from tidemark.llm import byte_bpe, simhash, token_files
 from tidemark.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,19 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(manifest)
 
 
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of whole texts by the rank file, and the bytes they decode to."""
+    import public_tokenizers
+
+    ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(table(sf_dir, "documents", spark), ranks, pattern)
+    return byte_bpe.decode(encoded, ranks, pattern).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
