@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, simhash, token_files
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, simhash, token_files
 from tidemark.llm.shared import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,18 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share content-defined chunks, with what dedup removes from them."""
+    return chunk_dedup.summary(table(sf_dir, "documents", spark))
+
+
+@query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that match benchmark items within the error budget."""
+    return decontaminate.matches(table(sf_dir, "documents", spark), table(sf_dir, "benchmark", spark))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
