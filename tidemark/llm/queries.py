@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, simhash, token_files
-from tidemark.llm.shared import shared_folder, table
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, simhash, token_files, toxicity
+from tidemark.llm.shared import reachable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL where it can express a query; the others are held against brute force in ``tests/llm``.
@@ -15,8 +15,12 @@ SQL: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def vocabulary(name: str) -> str:
@@ -33,6 +37,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(manifest)
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of whole texts by matched clauses."""
+    return toxicity.scores(table(sf_dir, "documents", spark), table(sf_dir, "labels", spark))
+
+
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of whole texts by the rank file, and the bytes they decode to."""

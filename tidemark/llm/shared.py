@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,14 @@ def removed(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, unless the job says where it is."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def lanes(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
