@@ -33,6 +33,8 @@ SAMPLE, VOCABULARY = 8_000, 2_000
 #: is that much likelier there (log-likelihood ratio, log odds).
 LEAST, SHARE, EVIDENCE, ODDS = 4, 0.02, 18.0, 3.5
 BEGINNINGS = (4, 5, 6)
+#: Terms a task keeps at once while counting.
+TERMS = 100_000
 THRESHOLD = 0.7
 
 # Fixed word lists (English, German, French, Spanish).
@@ -198,18 +200,21 @@ def _terms(text: str) -> set[str]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Toxic and other texts per term, added up within the task."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for batch in batches:
+    """Toxic and other texts per term, added up within the task as far as ``TERMS`` terms go; Spark adds up the rest."""
+    seen: dict[str, list[int]] = {}
+
+    def rows() -> pa.RecordBatch:
+        columns = [pa.array(list(seen), pa.string()), *(pa.array([n[k] for n in seen.values()], pa.int64()) for k in (1, 0))]
+        return pa.RecordBatch.from_arrays(columns, ["term", "toxic", "other"])
+
+    for batch in slices(batches, rows=64):
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-            seen[int(label == 1)].update(_terms(text))
-    terms = list(seen[0].keys() | seen[1].keys())
-    for at in range(0, len(terms), 50_000):
-        part = terms[at:at + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.string()), *(pa.array([seen[k][t] for t in part], pa.int64()) for k in (1, 0))],
-            ["term", "toxic", "other"],
-        )
+            for term in _terms(text):
+                seen.setdefault(term, [0, 0])[int(label == 1)] += 1
+            if len(seen) > TERMS:
+                yield rows()
+                seen.clear()
+    yield rows()
 
 
 def learn_vocabulary(sample: DataFrame, toxic: int, other: int) -> tuple[dict[str, float], dict[str, float]]:
