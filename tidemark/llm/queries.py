@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, personal_data, simhash, token_files, toxicity
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, personal_data, quality, simhash, token_files, toxicity
 from tidemark.llm.shared import reachable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(sf_dir, "documents", spark))
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of whole texts, learnt from positives and unlabelled text."""
+    return quality.scores(table(sf_dir, "documents", spark), table(sf_dir, "labels", spark))
+
+
 @query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of whole texts by the rank file, and the bytes they decode to."""

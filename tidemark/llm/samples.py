@@ -35,6 +35,12 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64())], [*batch.schema.names, "mark"])
 
 
+def distinct(rows: DataFrame, *within: str) -> DataFrame:
+    """One row of each group of near copies; only equal values of the columns ``within`` make copies."""
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(_signed, f"{fields}, mark long").dropDuplicates([*within, "mark"]).drop("mark")
+
+
 def labelled(docs: DataFrame, labels: DataFrame, column: str, folds: int, held_out: int, limit: int) -> tuple[DataFrame, dict]:
     """Texts of at most about ``limit`` rows of each class with their ``label``, held-out rows left out; and the class counts.
 
@@ -51,5 +57,5 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, folds: int, held_o
     for c, n in counts.items():
         ids = ids.unionByName(thinned(known.where(F.col("label") == c), n, limit, f"label {c}"))
     rows = texts(docs).join(F.broadcast(ids), "doc_id").select("text", "label")
-    rows = stored(rows.mapInArrow(_signed, "text string, label int, mark long").dropDuplicates(["label", "mark"]).drop("mark"), "labelled")
+    rows = stored(distinct(rows, "label"), "labelled")
     return rows, {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
