@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, personal_data, quality, simhash, token_files, toxicity
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, personal_data, quality, simhash, token_files, toxicity
 from tidemark.llm.shared import reachable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
     found = simhash.near_duplicates(table(sf_dir, "documents", spark), words=3, bits=64, radius=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest rows found for every twentieth vector."""
+    return kmeans_tree.search(table(sf_dir, "embeddings", spark), every=20, k=20)
