@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, personal_data, quality, simhash, token_files, toxicity
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, personal_data, quality, run_index, simhash, token_files, toxicity
 from tidemark.llm.shared import reachable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,16 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(sf_dir, "documents", spark))
 
 
+@query
+def op4_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the 400-byte strings that stand elsewhere too."""
+    found = run_index.dedup(table(sf_dir, "documents", spark))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of whole texts, learnt from positives and unlabelled text."""
