@@ -142,7 +142,9 @@ def blocks(benchmark: DataFrame) -> Iterator[tuple]:
     for b in range(count):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).collect()
         rows = {(r["item_id"], plain(r["text"]).strip()) for r in part}
-        yield tuple(sorted(((i, t) for i, t in rows if t), key=lambda r: (r[0] is None, r[0], r[1])))
+        block = tuple(sorted(((i, t) for i, t in rows if t), key=lambda r: (r[0] is None, r[0], r[1])))
+        if block:
+            yield block
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
