@@ -28,7 +28,7 @@ from tidemark.llm.shared import lanes, slices, stored, texts
 LENGTH, GRAM = 400, 32
 SPAN = LENGTH - GRAM + 1
 #: Different stretches of one anchor that are indexed together, bytes of an index, windows of a block.
-GROUP, INDEX_BYTES, STEP = 500, 1 << 19, 16
+GROUP, INDEX_BYTES, STEP = 200, 1 << 17, 16
 
 _VALUES = np.array([xxhash.xxh64_intdigest(bytes([b]), 3) | 1 for b in range(256)], np.uint64)
 _BASE = 0x9E3779B97F4A7C15
