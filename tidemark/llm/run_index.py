@@ -86,22 +86,18 @@ def _key(data: bytes) -> tuple[int, int]:
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
     for batch in slices(batches, size=1 << 20):
+        found: list[list[np.ndarray]] = []
         for text in batch.column(0).to_pylist():
             data = text.encode("utf-8", "surrogatepass")
             k0, k1 = _key(data)
             for first, last, place, h in stretches(data):
-                if not len(first):
-                    continue
-                whole = [digest(data[a:b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())]
+                whole = np.array([digest(data[a:b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())], np.uint64)
                 n = len(first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, k0)), pa.array(np.full(n, k1)), pa.array(first.astype(np.int32)),
-                        pa.array((last - first).astype(np.int16)), pa.array((place - first).astype(np.int16)),
-                        pa.array(h), pa.array(np.array(whole, np.uint64).view(np.int64)),
-                    ],
-                    ["k0", "k1", "first", "more", "place", "anchor", "whole"],
-                )
+                found.append([np.full(n, k0), np.full(n, k1), first, last - first, place - first, h, whole.view(np.int64)])
+        if found:
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.int64(), pa.int64()]
+            columns = [pa.array(np.concatenate(c), k) for c, k in zip(zip(*found), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["k0", "k1", "first", "more", "place", "anchor", "whole"])
 
 
 ANCHORS = "k0 long, k1 long, first int, more short, place short, anchor long, whole long"
@@ -345,7 +341,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     """``k0, k1, marks``: per text (by digest) with repeated windows, the runs ``a`` to ``b`` of their starts."""
     spark = docs.sparkSession
     long = texts(docs).where(F.octet_length("text") >= LENGTH)
-    rows = long.select("text").mapInArrow(_anchors, ANCHORS)
+    rows = stored(long.select("text").mapInArrow(_anchors, ANCHORS), "anchors")
     kind, place = ["anchor", "whole", "more", "place"], ["k0", "k1", "first"]
     classes = rows.groupBy(*kind).agg(F.count("*").alias("times"), F.min(F.struct(*place)).alias("least"))
     per_anchor = classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("times").alias("all")).where(F.col("all") > 1)
