@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.components import components
 from tidemark.llm.shared import blocks_by_key, lanes, slices, stored, texts
 
-BLOCK = 2048
+#: Points of a block. A cell of up to this many is compared as one tile; guests of a block come in parts of ``PART``.
+BLOCK, PART = 1 << 14, 2048
 SEED = 42
 #: Points without any ``doc_id`` are named from here on, above all real ones.
 NAMELESS = 2**62
@@ -133,15 +134,15 @@ def _tiles(parts: int, radius: int, ratio: float | None):
             a = {k: [x[i:i + 256] for x in v] if k == "w" else v[i:i + 256] for k, v in own.items()}
             lo, hi = np.searchsorted(other["c"], [a["c"][0] - radius, a["c"][-1] + radius + 1])
             lo = max(lo, i) if same else lo
-            if lo >= hi:
-                continue
-            b = {k: [x[lo:hi] for x in v] if k == "w" else v[lo:hi] for k, v in other.items()}
-            near = close(a, b)
-            first, has = near.argmax(axis=0), near.any(axis=0)
-            yield a["id"][first[has]], b["id"][has]
-            rows, cols = np.nonzero(near)
-            merge = np.unique(rows * 256 + first[cols])
-            yield a["id"][merge // 256], a["id"][merge % 256]
+            for at in range(lo, hi, PART):
+                part = slice(at, min(at + PART, hi))
+                b = {k: [x[part] for x in v] if k == "w" else v[part] for k, v in other.items()}
+                near = close(a, b)
+                first, has = near.argmax(axis=0), near.any(axis=0)
+                yield a["id"][first[has]], b["id"][has]
+                rows, cols = np.nonzero(near)
+                merge = np.unique(rows * 256 + first[cols])
+                yield a["id"][merge // 256], a["id"][merge % 256]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine, own = [], None
@@ -185,8 +186,8 @@ def _tiles(parts: int, radius: int, ratio: float | None):
             guests = np.flatnonzero(role == 1)
             if len(guests):
                 yield from closed()
-                for at in range(0, len(guests), BLOCK) if own is not None else ():
-                    yield from found(points(cols, guests[at:at + BLOCK]), False)
+                for at in range(0, len(guests), PART) if own is not None else ():
+                    yield from found(points(cols, guests[at:at + PART]), False)
         yield from closed()
 
     return run
