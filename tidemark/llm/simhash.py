@@ -262,9 +262,9 @@ def first_of_each_group(docs: DataFrame) -> DataFrame:
     kept = stored(
         groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows")), "kept"
     )
-    docs = docs.join(kept.select("kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").unionByName(
-        docs.where("doc_id IS NULL")
-    )
+    # the same join at every size: one shuffle of the documents
+    named = docs.hint("merge").join(kept.select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    docs = named.unionByName(docs.where("doc_id IS NULL"))
     again = kept.where("rows > 1")
     if again.isEmpty():
         return docs
