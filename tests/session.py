@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,7 @@ def local_session(zone: str = "UTC", cpus: str | int | None = None) -> SparkSess
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", os.environ.get("TIDEMARK_SHARED") or tempfile.mkdtemp(prefix="tidemark-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

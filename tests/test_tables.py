@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import merge
 from tidemark.plans import SyncRun, run_custom_fields, run_feed, sync
-from tidemark.plans.sync import check_log
+from tidemark.plans.sync import FeedSource, check_log, sync_all
 from tidemark.sinks import VersionedTable, shared_folder
 from tidemark.sources import read_landed
 from tidemark.specs import (
@@ -170,7 +170,7 @@ def test_a_feed_over_three_runs(spark, tmp_path):
     }
     assert [r[key] for r in run.table(ACCOUNTS).read().collect()] == ["a"]
     bad = spark.read.json(run.quarantine("accounts"))
-    assert bad.first().reasons == ["bad_AnnualRevenue"]
+    assert sorted(r.reasons for r in bad.collect()) == [["bad_AnnualRevenue"], ["unknown_tenant"]]
     log = run.table(SYNC_LOG).read().collect()
     assert [(r.table_name, r.CompanyId, str(r.last_sync_time)) for r in log] == [("accounts", "1", "2024-01-02 00:00:00")]
 
@@ -280,7 +280,7 @@ def test_landed_pages_are_all_read(spark, tmp_path):
         )
     df = read_landed(spark, f"{tmp_path}/*.json", OPPORTUNITIES, "json")
     assert rows(df.select("Id", "Owner.Name", F.col("Amount").cast("string"), "IsWon")) == [
-        ("1", "N", "1.50", True), ("2", "N", "1.50", True)
+        ("1", "N", "1.5", "true"), ("2", "N", "1.5", "true")
     ]
     df.select("Id", "LastModifiedDate").write.option("header", True).csv(f"{tmp_path}/csv")
     (tmp_path / "tasks.json").write_text('{"Id":"1","LastModifiedDate":"2024-01-01"}\n')
@@ -402,3 +402,163 @@ def test_upsert_against_merge(spark, tmp_path):
     t.overwrite(old)
     t.upsert(new, whole=True)
     assert rows(t.read()) == rows(merge(old, new, ["k"], null_keys=False))
+
+
+# What must not get lost -------------------------------------------------------
+
+PUSH = "object_type string, content_type string, body string, company_id string, received_at timestamp_ntz, seq bigint"
+
+
+def test_keyless_rows_are_set_apart(spark, tmp_path):
+    t = table(spark, tmp_path)
+    batch = spark.createDataFrame([(None, "a", 1), (None, "b", 2), (3, "c", 3)], "k bigint, v string, at bigint")
+    t.upsert(batch, seq=["at"])
+    t.upsert(batch, seq=["at"], applied=("w", 0))
+    t.upsert(batch, seq=["at"], whole=True)
+    assert rows(t.read()) == [(3, "c", 3)]
+    assert sorted(r.v for r in t.keyless().collect()) == ["a", "a", "a", "b", "b", "b"]
+
+
+def test_every_row_read_is_stored_or_set_apart(spark, tmp_path):
+    run = SyncRun(spark, str(tmp_path), buckets=4)
+    source = feed(
+        spark, ("good", "1", "A", None, "2024-01-01"), ("blank", "1", "A", None, "2024-02-01 00:00:00"),
+        ("none", "1", "A", None, None), ("lost", None, "A", None, "2024-01-01"), ("other", "9", "A", None, "2024-01-01"),
+        (None, "1", "A", None, "2024-01-01"),
+    )
+    run_feed(run, ACCOUNTS, source, spark.createDataFrame([("1",)], "Id string"), run_ts=datetime(2024, 3, 1))
+    reasons = {json.loads(r.row).get("Id"): r.reasons for r in spark.read.json(run.quarantine("accounts")).collect()}
+    assert reasons == {
+        "blank": ["bad_LastModifiedDate"], "none": ["bad_LastModifiedDate"], "lost": ["missing_tenant"],
+        "other": ["unknown_tenant"], None: ["missing_SalesForceId"],
+    }
+    assert run.table(ACCOUNTS).read().count() == 1
+    wrong = source.withColumn("LastModifiedDate", F.lit(5))
+    with pytest.raises(TypeError):
+        run_feed(run, ACCOUNTS, wrong, spark.createDataFrame([("1",)], "Id string"), run_ts=datetime(2024, 3, 1))
+
+
+def test_landed_text_and_broken_lines_keep_their_text(spark, tmp_path):
+    page = {"CompanyId": "1", "records": [{"Id": "a", "AnnualRevenue": "n/a", "LastModifiedDate": "2024-01-01"}, {"Id": "b", "AnnualRevenue": 1.5, "LastModifiedDate": "2024-01-01"}]}
+    lines = [json.dumps(page), json.dumps({"Id": "c", "CompanyId": "1", "LastModifiedDate": "2024-01-01"}), '{"Id": "d", "CompanyId": "1", "Name']
+    (tmp_path / "in.json").write_text("\n".join(lines) + "\n")
+    run = SyncRun(spark, str(tmp_path / "out"), buckets=4)
+    landed = read_landed(spark, f"{tmp_path}/in.json", ACCOUNTS, "json")
+    run_feed(run, ACCOUNTS, landed, spark.createDataFrame([("1",)], "Id string"), run_ts=datetime(2024, 3, 1))
+    assert sorted((r.SalesForceId, r.AnnualRevenue and float(r.AnnualRevenue)) for r in run.table(ACCOUNTS).read().collect()) == [("b", 1.5), ("c", None)]
+    bad = {json.loads(r.row).get("Id"): r for r in spark.read.json(run.quarantine("accounts")).collect()}
+    assert bad["a"].reasons == ["bad_AnnualRevenue"] and "corrupt" in bad[None].reasons if None in bad else "corrupt" in bad["d"].reasons
+    assert any('"Name' in json.loads(r.row).get("_corrupt_record", "") for r in bad.values())
+
+
+def test_a_tenant_that_lands_later_is_seen(spark, tmp_path):
+    folder = str(tmp_path / "companies")
+    spark.createDataFrame([("1",)], "Id string").write.parquet(folder)
+    run = SyncRun(spark, str(tmp_path / "t"), buckets=4)
+    source = feed(spark, ("a", "1", "A", None, "2024-01-01"), ("b", "2", "B", None, "2024-01-01"))
+    run_feed(run, ACCOUNTS, source, spark.read.parquet(folder), run_ts=datetime(2024, 2, 1))
+    spark.createDataFrame([("2",)], "Id string").write.mode("append").parquet(folder)
+    run_feed(run, ACCOUNTS, source, spark.read.parquet(folder), run_ts=datetime(2024, 2, 2))
+    assert {r.CompanyId for r in run.table(ACCOUNTS).read().collect()} == {"1", "2"}
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_attributes_of_two_tenants_do_not_multiply(spark, tmp_path):
+    run = SyncRun(spark, str(tmp_path), buckets=4)
+    one = metadata(spark, "A")
+    feeds = {k: v.unionByName(v.withColumn("CompanyId", F.lit("2"))) for k, v in one.items()}
+    wide = spark.createDataFrame(
+        [("1", "r", "2024-01-01", "x"), ("2", "r", "2024-01-01", "y")], "CompanyId string, Id string, LastModifiedDate string, A__c string"
+    )
+    companies = spark.createDataFrame([("1",), ("2",)], "Id string")
+    for day in (1, 2, 3):
+        now = wide.withColumn("LastModifiedDate", F.lit(f"2024-01-0{day}"))
+        run_custom_fields(run, feeds, {"Account": now}, companies, run_ts=datetime(2024, 2, day))
+    assert run.table(CUSTOM_ATTRIBUTES).read().count() == 2
+
+
+def test_emptied_values_through_the_runner(spark, tmp_path):
+    run = SyncRun(spark, str(tmp_path), buckets=4)
+    companies = spark.createDataFrame([("1",)], "Id string")
+    wide = "CompanyId string, Id string, LastModifiedDate string, A__c string, B__c string"
+    feeds = metadata(spark, "A", "B")
+    for day, row in ((1, ("x", None)), (2, (None, None)), (3, (None, "z"))):
+        df = spark.createDataFrame([("1", "r", f"2024-01-0{day}", *row)], wide)
+        run_custom_fields(run, feeds, {"Account": df}, companies, run_ts=datetime(2024, 2, day), clear_nulls=True)
+        values = {r.Name: r.Value for r in run.table(CUSTOM_VALUES).read().collect()}
+        assert values == [{"A__c": "x"}, {"A__c": None}, {"A__c": None, "B__c": "z"}][day - 1]
+
+
+def test_a_new_checkpoint_under_the_same_name_loses_nothing(spark, tmp_path):
+    t = table(spark, tmp_path)
+    for i, value in enumerate("ab"):
+        numbers(spark, i * 10, i * 10 + 10, value).write.parquet(str(tmp_path / f"in{i}"))
+        source = spark.readStream.schema("k bigint, v string, at bigint").parquet(str(tmp_path / f"in{i}"))
+        start_upsert_stream(t, source, str(tmp_path / f"c{i}"), writer="w", seq=["at"]).awaitTermination()
+    assert rows(t.read().groupBy("v").count()) == [("a", 10), ("b", 10)]
+
+
+def test_pushes_keep_tenants_apart_and_leave_the_pull_watermark(spark, tmp_path):
+    run = SyncRun(spark, str(tmp_path), buckets=4)
+    source = feed(spark, ("a", "1", "A", None, "2024-02-01T00:00:00Z"), ("a", "2", "B", None, "2024-02-01T00:00:00Z"))
+    companies = spark.createDataFrame([("1",), ("2",)], "Id string")
+    run_feed(run, ACCOUNTS, source, companies, run_ts=datetime(2024, 3, 1))
+    body = json.dumps({"Id": "a", "Name": "pushed"})
+    pushed_rows = [("accounts", "json", body, c, datetime(2024, 4, 1), i) for i, c in enumerate(["1", None, None])]
+    sink = PushSink(run, "push", run_ts=datetime(2024, 4, 1))
+    apply_pushed(sink, spark.createDataFrame(pushed_rows, PUSH), 0)
+    assert rows(run.table(ACCOUNTS).read().select("CompanyId", "SalesForceId", "Name")) == [("1", "a", "pushed"), ("2", "a", "B")]
+    log = {(r.table_name, r.CompanyId): str(r.last_sync_time) for r in run.table(SYNC_LOG).read().collect()}
+    assert log == {
+        ("accounts", "1"): "2024-02-01 00:00:00", ("accounts", "2"): "2024-02-01 00:00:00", ("push:accounts", "1"): "2024-04-01 00:00:00",
+    }
+    statuses = sorted(r.status for r in spark.read.parquet(sink.outcomes()).collect())
+    assert statuses == ["accepted", "rejected_tenant", "rejected_tenant"]
+    assert spark.read.json(run.quarantine("tenantless"), recursiveFileLookup=True).count() == 2
+    with pytest.raises(ValueError, match="other columns or keys"):
+        VersionedTable(spark, f"{run.root}/accounts", ACCOUNTS)
+
+
+def test_two_writers_of_one_log_both_arrive(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = table(spark, tmp_path, buckets=1)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: table(spark, tmp_path, buckets=1).upsert(numbers(spark, i * 10, i * 10 + 10, str(i))), range(4)))
+    assert t.read().count() == 40 and t.version == 4
+
+
+def test_a_feed_is_read_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+    source = feed(spark, ("a", "1", "A", None, "2024-01-01"), ("b", "1", "B", "x", "2024-01-01"))
+    schema = source.schema
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    counted = source.mapInArrow(count, schema)
+    report = run_feed(SyncRun(spark, str(tmp_path), 4), ACCOUNTS, counted, spark.createDataFrame([("1",)], "Id string"), run_ts=datetime(2024, 2, 1))
+    assert report.first().records_processed == 2 and reads.value == 2
+
+
+def test_a_failing_feed_leaves_the_others_alone(spark, tmp_path):
+    run = SyncRun(spark, str(tmp_path), buckets=4)
+    companies = spark.createDataFrame([("1",)], "Id string")
+    good = feed(spark, ("a", "1", "A", None, "2024-01-01"))
+    tasks = spark.createDataFrame(
+        [("t", "o", "1", "2024-01-01"), ("u", "zz", "1", "2024-01-01")], "Id string, WhatId string, CompanyId string, LastModifiedDate string"
+    )
+    deals = spark.createDataFrame([("o", "1", "2024-01-01")], "Id string, CompanyId string, LastModifiedDate string")
+    broken = good.withColumn("LastName", F.raise_error(F.lit("gone away")).cast("string"))
+    feeds = [
+        FeedSource(ACTIVITIES, tasks, related="opportunities"), FeedSource(ACCOUNTS, good), FeedSource(CONTACTS, broken),
+        FeedSource(OPPORTUNITIES, deals),
+    ]
+    report = {r.feed: r for r in sync_all(run, feeds, companies, run_ts=datetime(2024, 2, 1)).collect()}
+    assert {n: (r.success, r.records_processed) for n, r in report.items()} == {
+        "accounts": (True, 1), "opportunities": (True, 1), ACTIVITIES.name: (True, 1), "contacts": (False, 0),
+    }
+    assert "gone away" in report["contacts"].error
+    assert [r.SalesforceId for r in run.table(ACTIVITIES).read().collect()] == ["t"]

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.functions import instant_sql, safe_parse_date_sql
 from tidemark.specs import TableSpec
 
+# Where a reader keeps the text of a line it cannot read.
+CORRUPT = "_corrupt_record"
+
 # Wide tables: the projections below are built as SQL text, one call per table
 # instead of some calls per column.
 
@@ -89,6 +92,8 @@ def type_rules(df: DataFrame, spec: TableSpec, fields: str | None = None) -> dic
     names a map column to look in instead of the feed's own columns.
     """
     rules: dict[str, str] = {}
+    if CORRUPT in df.columns:
+        rules["corrupt"] = f"`{CORRUPT}` IS NOT NULL"
     for c in spec.columns:
         path = spec.source_of(c)
         if fields is not None:
@@ -96,6 +101,8 @@ def type_rules(df: DataFrame, spec: TableSpec, fields: str | None = None) -> dic
         else:
             found = _field(df, path)
         if found is None:
+            if c in spec.keys and not spec.null_safe:
+                rules[f"missing_{c}"] = "true"
             continue
         raw, kind = found
         if c in spec.keys and not spec.null_safe:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 APART = "__apart"
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
@@ -119,7 +119,7 @@ def merge(
     group = list(keys)
     if apart:
         unique = F.struct(*(seq or columns))
-        aligned = aligned.withColumn(APART, F.when(_any_null(keys), F.to_json(F.struct(unique.alias("r")))))
+        aligned = aligned.withColumn(APART, F.when(any_null(keys), F.to_json(F.struct(unique.alias("r")))))
         aligned = aligned.withColumn(APART, F.coalesce(APART, F.lit("")))
         group.append(APART)
     if seq:
@@ -135,7 +135,7 @@ def merge(
     t, s = target.withColumn("__t", F.lit(True)), aligned.withColumn("__s", F.lit(True))
     if apart:
         t = t.withColumn(
-            APART, F.when(_any_null(keys), F.to_json(F.struct(*columns))).otherwise(F.lit(""))
+            APART, F.when(any_null(keys), F.to_json(F.struct(*columns))).otherwise(F.lit(""))
         )
     equal = "<=>" if null_safe else "="
     on = " AND ".join(f"t.`{k}` {equal} s.`{k}`" for k in group)

@@ -30,6 +30,7 @@ def push_outcomes(parsed: DataFrame, *keep: str) -> DataFrame:
                         F.lit(f"; supported: {supported}")))
         .when(F.col("status") == "rejected_empty", "Empty payload")
         .when(F.col("status") == "rejected_parse", "Payload cannot be parsed")
+        .when(F.col("status") == "rejected_tenant", "No tenant given")
     )
     return parsed.select(
         *keep,

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.storagelevel import StorageLevel
+
+from tidemark.workspace import staged
 
 
 def measured(side: DataFrame) -> DataFrame:
-    """Materialise a derived join side once, so the planner sees its true size.
+    """Write a derived join side once and read it back, so the planner sees its true size.
 
-    The planner guesses the size of an aggregate or a join from its inputs and
-    would shuffle the large side by a handful of keys. A cached side has exact
-    statistics: below ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast,
-    above it the join stays a shuffle join. A lost block is computed again.
+    The planner guesses the size of an aggregate or a join from its inputs and would shuffle the large side by a handful of
+    keys. Files have exact sizes: below ``spark.sql.autoBroadcastJoinThreshold`` the side is broadcast, above it the join
+    stays a shuffle join. Nothing is cached, so a later plan over the same inputs reads them anew, and a lost executor
+    loses nothing.
     """
-    side = side.persist(StorageLevel.MEMORY_AND_DISK)
-    side.count()
-    return side
+    return staged(side, "measured")

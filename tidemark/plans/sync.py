@@ -8,6 +8,7 @@ over versioned tables.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
@@ -22,23 +23,23 @@ from tidemark.operators import (
     custom_value_rows,
     fields_with_values,
     merge,
-    split_valid,
     type_rules,
     unpivot_values,
 )
 from tidemark.operators.sizing import measured
 from tidemark.sinks import VersionedTable
-from tidemark.sources import only_referencing, project_feed, tenant_extract
+from tidemark.sources import judged_extract, only_referencing, tenant_extract
 from tidemark.sources.extract import feed_instant
 from tidemark.specs import (
     CUSTOM_ATTRIBUTES,
     CUSTOM_VALUES,
+    FEEDS,
     SYNC_LOG,
+    TENANT,
     TableSpec,
     custom_values_log_key,
 )
-
-TENANT = "CompanyId"
+from tidemark.workspace import staged
 
 
 @dataclass
@@ -109,14 +110,14 @@ def log_updates(
 ) -> DataFrame:
     """New log rows: tenants with rows advance, tenants without do so only on request.
 
-    ``source`` advances to the newest row read, ``run_ts`` to the time of the run.
+    ``source`` advances to the newest row read, ``run_ts`` to the time of the run. A watermark never moves back.
     """
     now = instant_literal(run_ts)
     joined = marks.join(stats, TENANT, "left")
     moved = F.col("records_processed").isNotNull()
     if advance_on_empty:
         moved = moved | F.col("last_sync").isNotNull()
-    new = now if watermark_mode == "run_ts" else F.coalesce("newest", "last_sync")
+    new = F.greatest(now if watermark_mode == "run_ts" else F.col("newest"), F.col("last_sync"))
     return joined.filter(moved).select(
         F.lit(spec_name).alias("table_name"),
         new.alias("last_sync_time"),
@@ -157,7 +158,8 @@ def sync(
     rows of the feed (default: its time column, then the tenant).
     """
     marks = tenant_marks(companies, sync_log, spec.log_key)
-    batch, good, bad = extract_batch(spec, source, marks, related=related, overlap=overlap)
+    judged = judge(spec, source, marks, overlap=overlap)
+    batch, good, bad = extract_batch(spec, judged, related=related)
     stats = extract_stats(batch, spec.ts_col)
     rows, order = batch_rows(spec, good, seq)
     new_target = merge(
@@ -174,20 +176,22 @@ def sync(
     return Synced(new_target, new_log, sync_report(spec.name, stats, marks), bad)
 
 
+def judge(spec: TableSpec, source: DataFrame, marks: DataFrame, *, overlap: timedelta | None = None) -> DataFrame:
+    """The rows of a run with the reasons against them, before any join can drop one."""
+    rules = {reason: test for reason, test in type_rules(source, spec).items() if reason != f"missing_{TENANT}"}
+    return judged_extract(source, spec, marks, rules, floor=common_floor(marks), overlap=overlap)
+
+
 def extract_batch(
-    spec: TableSpec,
-    source: DataFrame,
-    marks: DataFrame,
-    *,
-    related: DataFrame | None = None,
-    overlap: timedelta | None = None,
+    spec: TableSpec, judged: DataFrame, *, related: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    batch = tenant_extract(source, spec.ts_col, marks, floor=common_floor(marks), overlap=overlap)
+    """The batch (rows of a known tenant and time that pass the feed's semi-join), its good rows, and all bad rows."""
+    batch = judged.filter("placed")
     if spec.semi_join and related is not None:
         column, _, parent_key = spec.semi_join
         batch = only_referencing(batch, column, related, parent_key)
-    good, bad = split_valid(batch, type_rules(batch, spec))
-    return batch, good, bad
+    bad = batch.filter(F.size("reasons") > 0).unionByName(judged.filter("NOT placed")).drop("placed")
+    return batch, batch.filter(F.size("reasons") == 0).drop("reasons", "placed"), bad
 
 
 def batch_rows(
@@ -329,6 +333,8 @@ class SyncRun:
     buckets: int = 64
 
     def table(self, spec: TableSpec) -> VersionedTable:
+        """A stored table. Feeds are kept with their tenant, whether pulled or pushed."""
+        spec = spec.with_tenant() if spec.name in FEEDS else spec
         buckets = 1 if spec.name == SYNC_LOG.name else self.buckets
         return VersionedTable(self.spark, f"{self.root}/{spec.name}", spec, buckets)
 
@@ -350,13 +356,16 @@ def run_feed(
 ) -> DataFrame:
     """Run one feed against its tables and return the report.
 
-    Order matters for a restart: rows, then the bad rows, then the log. A run
-    that dies before the log is read again from the old watermark, and the keyed
-    merge makes the repetition harmless.
+    The source is read and judged once, into the shared folder: rows, bad rows,
+    counts and watermark all come from there, whatever arrives meanwhile. Order
+    matters for a restart: rows, then the bad rows, then the log. A run that dies
+    before the log is read again from the old watermark, and the keyed merge
+    makes the repetition harmless.
     """
-    log = run.table(SYNC_LOG)
+    log, spec = run.table(SYNC_LOG), spec.with_tenant()
     marks = tenant_marks(companies, log.read(), spec.log_key)
-    batch, good, bad = extract_batch(spec, source, marks, related=related, overlap=overlap)
+    judged = staged(judge(spec, source, marks, overlap=overlap), f"feed-{spec.name}")
+    batch, good, bad = extract_batch(spec, judged, related=related)
     rows, order = batch_rows(spec, good, seq)
     run.table(spec).upsert(rows, seq=order)
     stamp = run_ts.strftime("%Y%m%dT%H%M%S%f")
@@ -385,6 +394,78 @@ def run_custom_fields(
     log = run.table(SYNC_LOG)
     new = custom_changes(feeds, wide, log.read(), companies, **options)
     run.table(CUSTOM_ATTRIBUTES).upsert(new.attributes)
-    run.table(CUSTOM_VALUES).upsert(new.values, seq=["__at"])
+    values = run.table(CUSTOM_VALUES)
+    values.upsert(emptying_only(values.read(), new.values), seq=["__at"])
     log.upsert(new.sync_log)
     return new.report
+
+
+def emptying_only(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """Long values without the NULLs that would add a row: a NULL may only empty a value that is there, or comes with it."""
+    keys = list(CUSTOM_VALUES.keys)
+    filled = rows.filter(F.col("Value").isNotNull())
+    there = target.select(*keys).unionByName(filled.select(*keys))
+    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    empty = rows.filter(F.col("Value").isNull()).alias("r").join(there.alias("t"), on, "left_semi")
+    return filled.unionByName(empty)
+
+
+@dataclass(frozen=True)
+class FeedSource:
+    """One feed of a run: its rows, and how to run it."""
+
+    spec: TableSpec
+    rows: DataFrame
+    related: str | None = None
+    seq: tuple[str, ...] = ()
+
+
+REPORT = "feed string, CompanyId string, sync_type string, records_processed bigint, last_sync string, success boolean, error string"
+
+
+def sync_all(
+    run: SyncRun,
+    feeds: Sequence[FeedSource],
+    companies: DataFrame,
+    *,
+    run_ts: datetime,
+    custom: tuple[Mapping[str, DataFrame], Mapping[str, DataFrame]] | None = None,
+    workers: int = 4,
+    **options,
+) -> DataFrame:
+    """All feeds of all tenants; returns one report row per feed and tenant.
+
+    Feeds run side by side, each as Spark jobs of its own; a feed that names a ``related`` one waits for it and
+    takes its stored rows as parents. A feed that fails is reported with ``success`` false and its error, and
+    stops neither the others nor their watermarks. ``custom`` holds the feeds and the wide rows of custom fields.
+    """
+    waiting = {f.spec.name: f for f in feeds}
+    done: dict[str, Future] = {}
+    with ThreadPoolExecutor(workers) as pool:
+
+        def one(feed: FeedSource) -> DataFrame:
+            related = None
+            if feed.related:
+                if feed.related in done:
+                    done[feed.related].result()
+                parents = run.table(FEEDS[feed.related]).read()
+                related = parents.withColumnRenamed(FEEDS[feed.related].keys[0], feed.spec.semi_join[2])
+            return staged(
+                run_feed(run, feed.spec, feed.rows, companies, run_ts=run_ts, related=related, seq=feed.seq or None, **options),
+                "report",
+            )
+
+        for name in sorted(waiting, key=lambda n: waiting[n].related is not None):
+            done[name] = pool.submit(one, waiting[name])
+        if custom:
+            done["custom_fields"] = pool.submit(lambda: staged(run_custom_fields(run, *custom, companies, run_ts=run_ts), "report"))
+        parts = [_reported(run.spark, name, future) for name, future in done.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _reported(spark: SparkSession, name: str, future: Future) -> DataFrame:
+    try:
+        return future.result().withColumn("error", F.lit(None).cast("string"))
+    except Exception as broken:  # any failure of a feed is its own
+        lines = str(broken).strip().splitlines() or [type(broken).__name__]
+        return spark.createDataFrame([(name, None, None, 0, None, False, lines[0][:500])], REPORT)

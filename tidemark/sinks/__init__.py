@@ -1,4 +1,4 @@
 from tidemark.sinks.versioned import VersionedTable
-from tidemark.sinks.workspace import shared_folder
+from tidemark.workspace import shared_folder
 
 __all__ = ["VersionedTable", "shared_folder"]

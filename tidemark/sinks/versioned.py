@@ -3,7 +3,8 @@
 Layout: ``<path>/data/<write>/bucket=<b>/*.parquet`` and a pointer
 ``<path>/_pointer/<version>.json`` that maps each bucket to the write it lives
 in. Data files are never changed; a version becomes visible when its pointer
-is renamed into place, which fails if another writer took that number.
+is created, which fails if another writer took that number. Rows without a key
+cannot be merged: they go to ``<path>/keyless``.
 """
 
 from __future__ import annotations
@@ -16,10 +17,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tidemark.operators.merge import merge
+from tidemark.operators.merge import any_null, merge
 from tidemark.specs import TableSpec
 
 BUCKET = "bucket"
+RETRIES = 5
+
+
+class VersionTaken(RuntimeError):
+    """Another writer committed the version first."""
 
 
 @dataclass
@@ -28,10 +34,12 @@ class Pointer:
     buckets: dict[int, str] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
     bucket_count: int | None = None
+    keys: list[str] | None = None
+    columns: list[str] | None = None
 
 
 class VersionedTable:
-    """One table. A single writer at a time; any number of readers.
+    """One table, any number of readers. A writer that loses a race applies its batch to the new version.
 
     ``buckets`` is fixed when the table is created: aim at about 1 GB per bucket,
     and at a multiple of ``spark.sql.shuffle.partitions``. Buckets are the
@@ -42,7 +50,10 @@ class VersionedTable:
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self.bucket_count = self.pointer().bucket_count or buckets
+        known = self.pointer()
+        self.bucket_count = known.bucket_count or buckets
+        if known.keys is not None and (known.keys, known.columns) != (list(spec.keys), list(spec.columns)):
+            raise ValueError(f"{self.path} holds other columns or keys than {spec.name}: {known.keys}, not {list(spec.keys)}")
 
     # -- pointer ---------------------------------------------------------------
 
@@ -61,30 +72,46 @@ class VersionedTable:
             names = [n for n in names if int(n[:-5]) == version]
             if not names:
                 raise ValueError(f"{self.path} has no version {version}")
-        if not names:
-            return Pointer()
-        text = self.spark.read.text(f"{folder}/{names[-1]}", wholetext=True).first()[0]
-        doc = json.loads(text)
-        return Pointer(
-            doc["version"], {int(b): w for b, w in doc["buckets"].items()}, doc["applied"], doc["bucket_count"]
-        )
+        for name in reversed(names):
+            try:
+                doc = json.loads(self._text(f"{folder}/{name}"))
+            except json.JSONDecodeError:
+                if version is not None:
+                    raise
+                continue  # being written just now
+            return Pointer(
+                doc["version"], {int(b): w for b, w in doc["buckets"].items()}, doc["applied"], doc["bucket_count"],
+                doc.get("keys"), doc.get("columns"),
+            )
+        return Pointer()
+
+    def _text(self, file: str) -> str:
+        """A small file through the file system: no job."""
+        fs, path = self._fs(file)
+        stream = fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def _commit(self, pointer: Pointer) -> None:
-        final = f"{self.path}/_pointer/{pointer.version:020d}.json"
-        draft = f"{self.path}/_pointer/.{uuid.uuid4().hex}.draft"
         doc = {
             "version": pointer.version,
             "bucket_count": self.bucket_count,
             "buckets": {str(b): w for b, w in sorted(pointer.buckets.items())},
             "applied": pointer.applied,
+            "keys": list(self.spec.keys),
+            "columns": list(self.spec.columns),
         }
-        fs, draft_path = self._fs(draft)
-        out = fs.create(draft_path, False)
+        fs, path = self._fs(f"{self.path}/_pointer/{pointer.version:020d}.json")
+        try:
+            out = fs.create(path, False)  # only one writer can create a file
+        except Exception as taken:
+            if fs.exists(path):
+                raise VersionTaken(f"version {pointer.version} of {self.path} was written by someone else") from taken
+            raise
         out.write(bytearray(json.dumps(doc).encode()))
         out.close()
-        final_path = self._fs(final)[1]
-        if fs.exists(final_path) or not fs.rename(draft_path, final_path):
-            raise RuntimeError(f"version {pointer.version} of {self.path} was written by someone else")
 
     # -- reading ---------------------------------------------------------------
 
@@ -151,31 +178,49 @@ class VersionedTable:
 
         Only the numbers of the touched buckets (at most ``buckets``) reach the
         driver. ``whole`` is for a batch known to touch most of the table: all
-        buckets are rewritten, and the batch is neither kept nor read to find them.
+        buckets are rewritten. Rows without a key are set apart in ``<path>/keyless``.
+        A batch that loses its version to another writer is merged into that one.
         """
-        old = self.pointer()
-        if applied and old.applied.get(applied[0], -1) >= applied[1]:
-            return old.version
         keep = [c for c in (*(seq or ()), present) if c]
-        batch = self._typed(source, *keep)
+        batch = self._typed(source, *keep).persist(StorageLevel.MEMORY_AND_DISK)
         options = dict(
             update=self.spec.update_columns, seq=seq, event_col=event_col, present=present,
             null_safe=self.spec.null_safe, null_keys=False,
         )
-        if not old.buckets:
-            return self._merge_into({}, batch, old, applied, options)
-        if whole:
-            return self._merge_into(old.buckets, batch, old, applied, options)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            touched = [r[0] for r in batch.select(self._bucket()).distinct().collect()]
-            if not touched:
-                return self._write(batch.select(*self.spec.columns), old, applied)
-            buckets = {b: old.buckets[b] for b in touched if b in old.buckets}
-            return self._merge_into(buckets, batch, old, applied, options)
+            for attempt in range(RETRIES):
+                old = self.pointer()
+                if applied and old.applied.get(applied[0], -1) >= applied[1]:
+                    return old.version
+                try:
+                    return self._upsert(batch, old, applied, options, whole)
+                except VersionTaken:
+                    if attempt + 1 == RETRIES:
+                        raise
         finally:
             batch.unpersist()
 
+    def _upsert(self, batch: DataFrame, old: Pointer, applied: tuple[str, int] | None, options: dict, whole: bool) -> int:
+        keyed = batch
+        keyless = F.lit(False) if self.spec.null_safe else any_null(self.spec.keys)
+        found = batch.select(self._bucket(), keyless.alias("keyless")).distinct().collect()
+        if any(r.keyless for r in found):
+            name = f"{applied[0]}-{applied[1]}".replace("/", "_") if applied else uuid.uuid4().hex
+            batch.filter(keyless).write.mode("overwrite").parquet(f"{self.path}/keyless/{name}")
+            keyed = batch.filter(~keyless)
+        touched = {r[BUCKET] for r in found if not r.keyless}
+        if not touched:
+            return self._write(keyed.select(*self.spec.columns), old, applied)
+        buckets = old.buckets if whole else {b: w for b, w in old.buckets.items() if b in touched}
+        return self._merge_into(buckets, keyed, old, applied, options)
+
+    def keyless(self) -> DataFrame:
+        """Rows set apart because a key column was NULL."""
+        names = self._names(f"{self.path}/keyless")
+        if not names:
+            return self.spark.createDataFrame([], self.spec.schema)
+        return self.spark.read.parquet(*[f"{self.path}/keyless/{n}" for n in names]).select(*self.spec.columns)
+
     def _merge_into(
         self,
         buckets: dict[int, str],

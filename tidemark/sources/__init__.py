@@ -2,6 +2,7 @@ from tidemark.sources.describe import describe_fields
 from tidemark.sources.extract import (
     full_extract,
     incremental_extract,
+    judged_extract,
     only_referencing,
     project_feed,
     read_landed,
@@ -20,6 +21,7 @@ __all__ = [
     "full_extract",
     "incremental_extract",
     "json_records",
+    "judged_extract",
     "only_referencing",
     "parse_bodies",
     "project_feed",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import instant, to_millis
-from tidemark.specs import TableSpec
+from tidemark.specs import TENANT, TableSpec
+
+CORRUPT = "_corrupt_record"
 
 
 def read_landed(
@@ -20,24 +23,28 @@ def read_landed(
     """Every landed page of a feed, with the feed's own schema (nothing is inferred).
 
     Parquet, ORC and Avro carry typed columns, so their schema is taken from the
-    files; text formats get the spec's. ``jdbc`` takes its connection from the
-    options.
+    files; ``jdbc`` takes its connection from the options. In text formats every
+    field is read as text, and a line that cannot be read stays whole in
+    ``_corrupt_record``, so that nothing is lost before it is judged. A JSON page
+    may be a response as it came: ``{"records": [...]}`` gives its records.
     """
     reader = spark.read.format(fmt).options(**options)
     if fmt == "jdbc":
         return reader.load()
-    if fmt in ("json", "csv", "xml"):
-        reader = reader.schema(spec.feed_schema)
-    return reader.load(path)
-
-
-def _has(df: DataFrame, name: str) -> bool:
-    schema: T.DataType = df.schema
-    for part in name.split("."):
-        if not isinstance(schema, T.StructType) or part not in schema.names:
-            return False
-        schema = schema[part].dataType
-    return True
+    if fmt not in ("json", "csv", "xml"):
+        return reader.load(path)
+    fields = {n: k for n, k in spec.text_fields.items() if fmt != "csv" or k == "string"}
+    schema = ", ".join(f"`{n}` {k}" for n, k in fields.items())
+    if fmt != "json":
+        return reader.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).load(path)
+    inner = ", ".join(f"`{n}`: {k}" for n, k in fields.items())
+    pages = reader.schema(f"{schema}, records array<struct<{inner}>>, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).load(path)
+    own = F.struct(*[F.col(f"`{n}`") for n in fields])
+    rows = F.explode(F.when(F.col("records").isNotNull(), F.col("records")).otherwise(F.array(own)))
+    tenant = F.coalesce(F.col("r")[TENANT], F.col("page")).alias(TENANT)
+    return pages.select(rows.alias("r"), F.col(TENANT).alias("page"), CORRUPT).select(
+        *[F.col("r")[n].alias(n) for n in fields if n != TENANT], tenant, CORRUPT
+    )
 
 
 def project_feed(df: DataFrame, spec: TableSpec, *extra: str) -> DataFrame:
@@ -118,3 +125,38 @@ def tenant_extract(
         .filter(F.col("__last_sync").isNull() | (feed_instant(df, ts_col) > bound))
         .drop("__tenant", "__last_sync")
     )
+
+
+def judged_extract(
+    df: DataFrame, spec: TableSpec, watermarks: DataFrame, rules: Mapping[str, str], *, floor: datetime | None = None,
+    overlap: timedelta | None = None, tenant: str = TENANT,
+) -> DataFrame:
+    """The rows a run has to answer for, with ``reasons``: what is wrong with each (none: empty).
+
+    These are the rows newer than their tenant's watermark, and all whose time or tenant cannot be told (``bad_<time>``,
+    ``missing_tenant``, ``unknown_tenant``): they are judged before the tenant join could drop them. ``rules`` are those
+    of the feed's other columns. ``placed`` is true where time and tenant are known.
+    """
+    if df.schema[spec.ts_col].dataType.typeName() not in ("string", "timestamp_ntz", "date", "timestamp"):
+        raise TypeError(f"{spec.ts_col} cannot be read as a time: {df.schema[spec.ts_col].dataType.simpleString()}")
+    back = overlap or timedelta(0)
+    at = feed_instant(df, spec.ts_col)
+    if floor is not None:
+        cut = floor - back
+        bound = F.lit(cut.replace(microsecond=cut.microsecond // 1000 * 1000).isoformat(sep=" ")).cast("timestamp_ntz")
+        df = df.filter(at.isNull() | (at > bound) | F.col(tenant).isNull())
+    marks = watermarks.select(F.col(tenant).alias("__tenant"), F.col("last_sync").alias("__last_sync"))
+    joined = df.join(marks, df[tenant] == marks["__tenant"], "left")
+    at, known = feed_instant(joined, spec.ts_col), F.col("__tenant").isNotNull()
+    new = F.col("__last_sync").isNull() | (at > to_millis(F.col("__last_sync")) - F.lit(back))
+    tests = {
+        **{reason: F.expr(test) for reason, test in rules.items()},
+        f"bad_{spec.ts_col}": at.isNull(),
+        "missing_tenant": F.col(tenant).isNull(),
+        "unknown_tenant": F.col(tenant).isNotNull() & ~known,
+    }
+    reasons = F.array_compact(F.array(*[F.when(test, F.lit(reason)) for reason, test in tests.items()]))
+    return (
+        joined.filter(at.isNull() | ~known | new)
+        .withColumns({"reasons": reasons, "placed": at.isNotNull() & known}).drop("__tenant", "__last_sync")
+    )

@@ -120,8 +120,8 @@ def parse_bodies(bodies: DataFrame) -> DataFrame:
 
     Adds ``route``, ``object`` (NULL for an unknown route), ``is_xml``, ``status``
     and ``records``. The status is ``accepted``, ``rejected_empty``,
-    ``rejected_parse`` or ``unsupported_type``, judged in this order: body, then
-    route. If the first record of a list or SOAP body names its type, the body is
+    ``rejected_parse``, ``unsupported_type`` or ``rejected_tenant``, judged in this
+    order: body, then route, then tenant (where bodies carry ``company_id``). If the first record of a list or SOAP body names its type, the body is
     typed: then only records of the route's own object count, and the others are
     kept in ``mismatched``.
     """
@@ -154,6 +154,7 @@ def parse_bodies(bodies: DataFrame) -> DataFrame:
         F.when(empty, "rejected_empty")
         .when(F.col("__all").isNull(), "rejected_parse")
         .when(F.col("object").isNull(), "unsupported_type")
+        .when(F.col("company_id").isNull() if "company_id" in bodies.columns else F.lit(False), "rejected_tenant")
         .otherwise("accepted"),
     )
 

@@ -11,6 +11,7 @@ RATIO = "double"
 MONEY = "decimal(18,2)"
 INSTANT = "timestamp_ntz"
 DAY = "date"
+TENANT = "CompanyId"
 
 
 @dataclass(frozen=True)
@@ -60,22 +61,18 @@ class TableSpec:
         return ", ".join(f"`{c}` {self.type_of(c)}" for c in self.columns)
 
     @property
-    def feed_schema(self) -> str:
-        """Schema for reading a landed extract; date-like fields arrive as text."""
-        by_field = {self.source_of(c): c for c in self.columns}
-        fields, owner = [], []
+    def text_fields(self) -> dict[str, str]:
+        """Fields of a landed extract as a text format holds them: everything is text, and typed later, where a value
+        that does not fit can be set apart with its reason."""
+        fields: dict[str, str] = {}
         for name in self.extract:
-            target = by_field.get(name, name)
-            kind = TEXT if target in self.dates else self.types.get(target, TEXT)
-            if "." in name:
-                owner.append(f"{name.split('.')[1]}: {kind}")
-                continue
-            fields.append(f"`{name}` {kind}")
-        if owner:
-            fields.append(f"Owner struct<{', '.join(owner)}>")
-        if self.ts_col and self.ts_col not in self.extract:
-            fields.append(f"`{self.ts_col}` {TEXT}")
-        return ", ".join(fields)
+            head, _, leaf = name.partition(".")
+            if leaf:
+                known = fields.get(head, "struct<>")[7:-1]
+                fields[head] = f"struct<{known + ', ' if known else ''}{leaf}: {TEXT}>"
+            else:
+                fields[head] = TEXT
+        return fields | ({self.ts_col: TEXT} if self.ts_col else {}) | {TENANT: TEXT}
 
     def with_tenant(self, column: str = "CompanyId") -> "TableSpec":
         """The same table with the tenant as a column and part of the key."""
@@ -273,7 +270,7 @@ CALL_STAGES = TableSpec(
 CUSTOM_ATTRIBUTES = TableSpec(
     name="custom_attributes",
     object="CustomField",
-    keys=("SalesforceId",),
+    keys=("CompanyId", "SalesforceId"),
     columns=_words("""
         SalesforceId CompanyId ObjectType Name Label Description Fieldtype DataType
         HasUniqueValue IsActive CreatedBy UpdatedBy CreatedAt UpdatedAt

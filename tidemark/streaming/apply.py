@@ -21,7 +21,7 @@ from tidemark.operators import (
 from tidemark.plans.sync import SyncRun, instant_literal, set_apart
 from tidemark.sinks import VersionedTable
 from tidemark.sources import PUSH_SCHEMA, parse_bodies
-from tidemark.specs import FEEDS, OPPORTUNITIES, ROUTES, SYNC_LOG
+from tidemark.specs import FEEDS, OPPORTUNITIES, ROUTES, SYNC_LOG, TENANT
 
 # A body's place in the order of arrival.
 ARRIVAL = ("received_at", "seq")
@@ -37,7 +37,7 @@ def read_bodies(spark: SparkSession, path: str, fmt: str = "json", **options: st
 
 @dataclass
 class PushSink:
-    """Where pushed changes go. ``writer`` names the stream in the tables' pointers."""
+    """Where pushed changes go. ``writer`` and the query id name the stream in the tables' pointers."""
 
     run: SyncRun
     writer: str
@@ -46,47 +46,62 @@ class PushSink:
     present_only: bool = False
 
     def outcomes(self) -> str:
+        """Outcomes of every stream that ran under this name, a folder per query."""
         return f"{self.run.root}/outcomes/{self.writer}"
 
 
+#: Pushes keep a watermark of their own in the log: that of the pulled feed belongs to the pulls.
+PUSHED = "push:"
+
+
+def query_of(batch: DataFrame) -> str:
+    """The id of the streaming query a batch belongs to: batch numbers count within it, and a new checkpoint begins a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 def apply_pushed(sink: PushSink, bodies: DataFrame, batch_id: int) -> None:
     """Apply one batch of bodies. Each write is a no-op or an exact repetition when replayed."""
-    run = sink.run
+    run, query = sink.run, query_of(bodies)
+    place = f"query={query}/batch={batch_id}"
     parsed = parse_bodies(bodies).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         records = route_records(parsed, "company_id", *ARRIVAL)
         routes = [r["route"] for r in parsed.filter("size(records) > 0").select("route").distinct().collect()]
         for route in sorted(r for r in routes if r in ROUTES):
-            apply_route(sink, route, records.filter(F.col("route") == route), batch_id)
+            apply_route(sink, route, records.filter(F.col("route") == route), query, batch_id)
         push_outcomes(parsed, "company_id", *ARRIVAL).write.mode("overwrite").parquet(
-            f"{sink.outcomes()}/batch={batch_id}"
+            f"{sink.outcomes()}/{place}"
+        )
+        tenantless = parsed.filter("status = 'rejected_tenant'").select(
+            F.array(F.lit("missing_tenant")).alias("reasons"), *bodies.columns
         )
+        set_apart(tenantless).write.mode("overwrite").json(f"{run.quarantine('tenantless')}/{sink.writer}/{place}")
         mismatched = parsed.filter("size(mismatched) > 0").select(
             F.array(F.lit("type_mismatch")).alias("reasons"),
             "route", "company_id", *ARRIVAL, "mismatched",
         )
         set_apart(mismatched).write.mode("overwrite").json(
-            f"{run.quarantine('pushed')}/{sink.writer}/batch={batch_id}"
+            f"{run.quarantine('pushed')}/{sink.writer}/{place}"
         )
         now = instant_literal(sink.run_ts)
         moved = records.groupBy("route", "company_id").agg(F.max("received_at").alias("newest"))
         run.table(SYNC_LOG).upsert(
             moved.select(
-                F.col("route").alias("table_name"),
+                F.concat(F.lit(PUSHED), "route").alias("table_name"),
                 F.coalesce("newest", now).alias("last_sync_time"),
                 now.alias("created_at"),
                 F.col("company_id").alias("CompanyId"),
             ),
-            applied=(sink.writer, batch_id),
+            applied=(f"{sink.writer}/{query}", batch_id),
         )
     finally:
         parsed.unpersist()
 
 
-def apply_route(sink: PushSink, route: str, records: DataFrame, batch_id: int) -> None:
-    spec = FEEDS[route]
+def apply_route(sink: PushSink, route: str, records: DataFrame, query: str, batch_id: int) -> None:
+    spec, writer = FEEDS[route], f"{sink.writer}/{query}"
     table = sink.run.table(spec)
-    if table.was_applied(sink.writer, batch_id):
+    if table.was_applied(writer, batch_id):
         return
     if route == OPPORTUNITIES.name and sink.users is not None:
         owner = F.try_element_at("fields", F.lit("OwnerId"))
@@ -96,13 +111,13 @@ def apply_route(sink: PushSink, route: str, records: DataFrame, batch_id: int) -
     order = [*ARRIVAL, "pos"]
     # Bad rows first: a batch whose table is committed is not looked at again.
     set_apart(bad).write.mode("overwrite").json(
-        f"{sink.run.quarantine(spec.name)}/{sink.writer}/batch={batch_id}"
+        f"{sink.run.quarantine(spec.name)}/{sink.writer}/query={query}/batch={batch_id}"
     )
     table.upsert(
-        conform_payload(good, spec, *order),
+        conform_payload(good, spec, "company_id", *order).withColumnRenamed("company_id", TENANT),
         seq=order,
         present="present" if sink.present_only else None,
-        applied=(sink.writer, batch_id),
+        applied=(writer, batch_id),
     )
 
 
@@ -140,7 +155,8 @@ def start_upsert_stream(
 
     def batch(df: DataFrame, batch_id: int) -> None:
         table.upsert(
-            prepare(df) if prepare else df, seq=seq, event_col=event_col, applied=(writer, batch_id)
+            prepare(df) if prepare else df, seq=seq, event_col=event_col,
+            applied=(f"{writer}/{query_of(df)}", batch_id),
         )
 
     return _start(rows, batch, checkpoint, interval)
