@@ -9,17 +9,20 @@ from tidemark.operators.sizing import measured
 from tidemark.plans.catalog.registry import Tables, plain, query
 from tidemark.plans.catalog.standins import LATE, MID, RUN_TS, ident, sql_ident, sql_ts, ts
 from tidemark.plans.sync import (
+    FeedSource,
     SyncRun,
     extract_stats,
     run_feed,
     sync,
+    sync_all as run_all,
     sync_report,
     tenant_marks,
     watermarks,
 )
 from tidemark.sinks import shared_folder
-from tidemark.sources import tenant_extract
-from tidemark.specs import ACCOUNTS, OPPORTUNITIES, SYNC_LOG, USERS
+from tidemark.sources import read_landed, tenant_extract
+from tidemark.specs import ACCOUNTS, ACTIVITIES, CALL_STAGES, CONTACTS, HISTORY, OPPORTUNITIES, SYNC_LOG, USERS
+from tidemark.streaming import PushSink, apply_pushed
 
 
 def companies(t: Tables) -> DataFrame:
@@ -184,3 +187,107 @@ def sync_stored(t: Tables) -> DataFrame:
     run.table(SYNC_LOG).overwrite(sync_log(t, spec.log_key))
     report = run_feed(run, spec, opportunities_by_tenant(t), companies(t), run_ts=RUN_TS)
     return _with_outcome(run.table(spec).read(), run.table(SYNC_LOG).read(), report)
+
+
+# Nothing read is lost: a landed feed with times that do not parse, missing and unknown tenants, broken lines and values
+# that do not fit. Every order is one line of it.
+
+_FATE = """CASE WHEN o_orderkey % 11 = 0 THEN 'corrupt' WHEN o_orderkey % 13 = 0 THEN 'bad_LastModifiedDate'
+     WHEN o_orderkey % 17 = 0 THEN 'missing_tenant' WHEN o_orderkey % 19 = 0 THEN 'unknown_tenant'
+     WHEN o_orderkey % 23 = 0 THEN 'bad_Amount' ELSE 'stored' END"""
+
+
+@query(
+    f"""
+SELECT fate, count(*) AS n_rows FROM (SELECT {_FATE} AS fate FROM orders) GROUP BY fate
+"""
+)
+def feed_quarantine(t: Tables) -> DataFrame:
+    """What becomes of each line of a landed feed: stored, or set apart with its reason."""
+    root = shared_folder(t.spark, "feed-quarantine")
+    fate = F.expr(_FATE)
+    line = F.to_json(F.struct(
+        ident("006", "o_orderkey").alias("Id"),
+        F.when(fate == "missing_tenant", None).when(fate == "unknown_tenant", "nobody").otherwise((F.col("o_custkey") % 25).cast("string")).alias("CompanyId"),
+        F.when(fate == "bad_Amount", "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("Amount"),
+        F.when(fate == "bad_LastModifiedDate", "2024-01-01 00:00:00").otherwise("2024-01-01T00:00:00Z").alias("LastModifiedDate"),
+    ))
+    t.orders.select(F.when(fate == "corrupt", F.concat(F.lit("{"), line)).otherwise(line).alias("value")).write.text(f"{root}/landed")
+    run = SyncRun(t.spark, f"{root}/tables", buckets=8)
+    landed = read_landed(t.spark, f"{root}/landed", OPPORTUNITIES, "json")
+    run_feed(run, OPPORTUNITIES, landed, companies(t), run_ts=RUN_TS)
+    bad = t.spark.read.schema("reasons array<string>, row string").json(run.quarantine(OPPORTUNITIES.name))
+    reason = F.when(F.array_contains("reasons", "corrupt"), "corrupt").otherwise(F.element_at("reasons", 1))
+    fates = bad.select(reason.alias("fate")).unionByName(run.table(OPPORTUNITIES).read().select(F.lit("stored").alias("fate")))
+    return fates.groupBy("fate").agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    f"""
+WITH a AS (SELECT c_custkey AS k, c_nationkey AS tenant, c_name AS name FROM customer),
+p AS (SELECT s_suppkey AS k, s_nationkey AS tenant, s_name AS name FROM supplier)
+SELECT CAST(coalesce(p.tenant, a.tenant) AS VARCHAR) AS "CompanyId", '001' || CAST(coalesce(p.k, a.k) AS VARCHAR) AS id,
+       coalesce(p.name, a.name) AS name, w.pulled
+FROM a FULL JOIN p ON a.k = p.k AND a.tenant = p.tenant
+LEFT JOIN (SELECT DISTINCT tenant, {sql_ts(LATE)} AS pulled FROM a) w ON w.tenant = coalesce(p.tenant, a.tenant)
+"""
+)
+def stream_after_batch(t: Tables) -> DataFrame:
+    """A pull of accounts, then pushes of suppliers on the same tables: tenants stay apart, the pull's watermark stays."""
+    run = SyncRun(t.spark, shared_folder(t.spark, "stream-after-batch"), buckets=8)
+    run_feed(run, ACCOUNTS, accounts_by_tenant(t), companies(t), run_ts=RUN_TS)
+    body = F.to_json(F.struct(ident("001", "s_suppkey").alias("Id"), F.col("s_name").alias("Name")))
+    pushed = t.supplier.select(
+        F.lit("accounts").alias("object_type"), F.lit("application/json").alias("content_type"), body.alias("body"),
+        F.col("s_nationkey").cast("string").alias("company_id"), ts(RUN_TS).alias("received_at"), F.col("s_suppkey").alias("seq"),
+    )
+    apply_pushed(PushSink(run, "pushed", run_ts=RUN_TS), pushed, 0)
+    marks = watermarks(run.table(SYNC_LOG).read(), ACCOUNTS.log_key).select("CompanyId", F.col("last_sync").alias("pulled"))
+    rows = run.table(ACCOUNTS).read().select("CompanyId", F.col(ACCOUNTS.keys[0]).alias("id"), F.col("Name").alias("name"))
+    return rows.join(marks, "CompanyId", "left")
+
+
+_ALL = {
+    "accounts": "SELECT c_nationkey AS tenant FROM customer",
+    "opportunities": "SELECT c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey",
+    ACTIVITIES.name: "SELECT c_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey",
+    HISTORY.name: "SELECT c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey",
+    USERS.name: "SELECT s_nationkey FROM supplier",
+    CALL_STAGES.name: "SELECT p_partkey % 25 FROM part",
+}
+_ALL_SQL = " UNION ALL ".join(f"SELECT '{name}' AS feed, tenant FROM ({sql}) AS f(tenant)" for name, sql in _ALL.items())
+
+
+@query(
+    f"""
+WITH feeds AS ({' UNION ALL '.join(f"SELECT '{name}' AS feed" for name in _ALL)}), rows_read AS ({_ALL_SQL})
+SELECT f.feed, CAST(n_nationkey AS VARCHAR) AS "CompanyId", 'full' AS sync_type, count(r.tenant) AS records_processed, 'true' AS success
+FROM feeds f CROSS JOIN nation LEFT JOIN rows_read r ON r.feed = f.feed AND r.tenant = n_nationkey GROUP BY ALL
+UNION ALL SELECT 'contacts', NULL, NULL, 0, 'false'
+"""
+)
+def sync_all(t: Tables) -> DataFrame:
+    """All feeds of all tenants in one run; one feed fails and is reported, the others go on."""
+    run = SyncRun(t.spark, shared_folder(t.spark, "sync-all"), buckets=8)
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    tenant, late = F.col("c_nationkey").cast("string").alias("CompanyId"), ts(LATE).alias("LastModifiedDate")
+    whole = F.struct(*t.lineitem.columns).alias("line")
+    lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        ident("00T", "l_orderkey", "l_linenumber").alias("Id"), ident("006", "l_orderkey").alias("WhatId"), tenant,
+        F.col("l_returnflag").alias("Status"), F.col("l_shipdate").alias("LastModifiedDate"), whole,
+    )
+    history = orders.select(
+        ident("008", "o_orderkey").alias("Id"), ident("006", "o_orderkey").alias("OpportunityId"), tenant,
+        F.col("o_orderdate").alias(HISTORY.ts_col),
+    )
+    broken = accounts_by_tenant(t).select("Id", "CompanyId", "LastModifiedDate", F.raise_error(F.lit("the feed is gone")).cast("string").alias("LastName"))
+    stages = t.part.select(
+        ident("01J", "p_partkey").alias("Id"), F.col("p_name").alias("MasterLabel"), (F.col("p_partkey") % 25).cast("string").alias("CompanyId"), late,
+    )
+    feeds = [
+        FeedSource(ACCOUNTS, accounts_by_tenant(t)), FeedSource(OPPORTUNITIES, opportunities_by_tenant(t)), FeedSource(CONTACTS, broken),
+        FeedSource(ACTIVITIES, lines, related=OPPORTUNITIES.name, seq=("line",)), FeedSource(HISTORY, history),
+        FeedSource(USERS, users_by_tenant(t)), FeedSource(CALL_STAGES, stages),
+    ]
+    report = run_all(run, feeds, companies(t), run_ts=RUN_TS)
+    return report.select("feed", "CompanyId", "sync_type", "records_processed", F.col("success").cast("string").alias("success"))

@@ -98,7 +98,7 @@ def stream_outcomes(t: Tables) -> DataFrame:
 
 @query(
     """
-SELECT CASE event_type WHEN 'click' THEN 'accounts' WHEN 'view' THEN 'contacts' WHEN 'purchase' THEN 'opportunities'
+SELECT 'push:' || CASE event_type WHEN 'click' THEN 'accounts' WHEN 'view' THEN 'contacts' WHEN 'purchase' THEN 'opportunities'
        ELSE 'users' END AS table_name, max(ts) AS last_sync_time, 'c1' AS "CompanyId"
 FROM events WHERE event_type <> 'error' GROUP BY ALL
 """

@@ -61,7 +61,7 @@ _ACCOUNT_NEW = {
         ACCOUNTS,
         spec_select(ACCOUNTS, _ACCOUNT, "customer"),
         last_rows(
-            spec_select(ACCOUNTS, _ACCOUNT_CHANGE, f"orders WHERE o_orderdate > {sql_ts(LATE)}",
+            spec_select(ACCOUNTS, _ACCOUNT_CHANGE, "orders",
                         "o_orderdate, o_orderkey")
             + " UNION ALL "
             + spec_select(ACCOUNTS, _ACCOUNT_NEW, "supplier", "NULL, s_suppkey"),
@@ -82,7 +82,7 @@ def upsert_full(t: Tables) -> DataFrame:
         ACCOUNTS,
     )
     when = watermark_text(F.col("o_orderdate") + F.expr("INTERVAL 30 HOUR"))
-    changes = t.orders.filter(F.col("o_orderdate") > ts(LATE)).select(
+    changes = t.orders.select(
         ident("001", "o_custkey").alias("Id"),
         F.col("o_orderpriority").alias("Name"),
         F.col("o_orderstatus").alias("Rating"),
@@ -372,7 +372,7 @@ def upsert_composite_partial(t: Tables) -> DataFrame:
 @query(
     f"""
 WITH t AS (SELECT nullif(l_suppkey, 7) AS k, max(l_extendedprice) AS v FROM lineitem
-           WHERE l_shipdate <= {sql_ts(MID)} GROUP BY ALL),
+           GROUP BY ALL),
 s AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k, o_totalprice AS v, o_orderkey AS n FROM orders),
 l AS (SELECT k, arg_max(v, n) AS v FROM s WHERE k IS NOT NULL GROUP BY k)
 SELECT coalesce(l.k, t.k) AS k, coalesce(l.v, t.v) AS v FROM t FULL JOIN l ON t.k = l.k
@@ -382,7 +382,7 @@ UNION ALL SELECT NULL, v FROM s WHERE k IS NULL
 def upsert_null_keys(t: Tables) -> DataFrame:
     """A third of the batch has no key: each such row is inserted, spread over the tasks."""
     target = (
-        t.lineitem.filter(F.col("l_shipdate") <= ts(MID))
+        t.lineitem
         .groupBy(F.when(F.col("l_suppkey") != 7, F.col("l_suppkey")).alias("k"))
         .agg(F.max("l_extendedprice").alias("v"))
     )
@@ -431,7 +431,7 @@ s AS (SELECT o_custkey AS id,
        count(*) FILTER (o_orderstatus <> 'P') AS has_name,
        arg_max(o_totalprice, o_orderkey) FILTER (o_orderstatus <> 'F') AS balance,
        count(*) FILTER (o_orderstatus <> 'F') AS has_balance
-     FROM orders WHERE o_orderdate > {sql_ts(LATE)} GROUP BY ALL)
+     FROM orders GROUP BY ALL)
 SELECT t.id, CASE WHEN s.has_name > 0 THEN s.name ELSE t.name END AS name, t.segment,
        CASE WHEN s.has_balance > 0 THEN s.balance ELSE t.balance END AS balance
 FROM t LEFT JOIN s ON t.id = s.id
@@ -443,7 +443,7 @@ def upsert_present_only(t: Tables) -> DataFrame:
         F.col("c_acctbal").alias("balance"),
     )
     status = F.col("o_orderstatus")
-    source = t.orders.filter(F.col("o_orderdate") > ts(LATE)).select(
+    source = t.orders.select(
         F.col("o_custkey").alias("id"),
         F.when(status != "P", F.col("o_orderpriority")).alias("name"),
         F.when(status != "F", F.col("o_totalprice")).alias("balance"),
