@@ -13,6 +13,7 @@ from tidemark.operators.custom_fields import (
     nest_values,
     unnest_values,
     unpivot_values,
+    with_values,
 )
 from tidemark.operators.lookup import enrich_owner, latest_with_fallback
 from tidemark.operators.merge import collapse, merge, merge_actions
@@ -39,4 +40,5 @@ __all__ = [
     "union_labelled",
     "unnest_values",
     "unpivot_values",
+    "with_values",
 ]

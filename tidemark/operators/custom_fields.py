@@ -140,6 +140,17 @@ def nest_values(
     )
 
 
+def with_values(
+    metadata: DataFrame, values: DataFrame, by: Sequence[str] = ("Object", "Name"), *, list_size: int = 10_000
+) -> DataFrame:
+    """Metadata with ``FieldValues``: left join of the nested lists, so a field without values has one empty list."""
+    lists = nest_values(values, by, list_size=list_size)
+    empty = F.array().cast(lists.schema["FieldValues"].dataType)
+    return metadata.join(lists, list(by), "left").withColumns(
+        {"part": F.coalesce("part", F.lit(0)), "FieldValues": F.coalesce("FieldValues", empty)}
+    )
+
+
 def unnest_values(records: DataFrame, by: Sequence[str] = ("Object", "Name")) -> DataFrame:
     """Nested records back to long rows; entries without ``record_id`` are skipped."""
     return (

@@ -12,6 +12,7 @@ from tidemark.operators import (
     nest_values,
     unnest_values,
     unpivot_values,
+    with_values,
 )
 from tidemark.plans.catalog.registry import Tables, plain, query
 from tidemark.plans.catalog.standins import LATE, MID, RUN_TS, sql_ts, ts
@@ -145,6 +146,26 @@ def custom_field_unnested(t: Tables) -> DataFrame:
     return unnest_values(nest_values(values, ["Name"], list_size=500), ["Name"])
 
 
+@query(
+    f"""
+SELECT p_brand AS "Object", {_API} AS "Name", count(*) FILTER (p_size > 25) AS n_values,
+       coalesce(sum(p_partkey) FILTER (p_size > 25), 0) AS id_sum
+FROM part GROUP BY ALL
+"""
+)
+def custom_field_lists(t: Tables) -> DataFrame:
+    """Every field with the list of its values, those without any included."""
+    metadata = part_metadata(t).select("Object", "Name")
+    values = t.part.select(
+        F.col("p_brand").alias("Object"), F.concat(F.translate("p_name", " ", "_"), F.lit("__c")).alias("Name"),
+        F.col("p_partkey").cast("string").alias("record_id"), F.when(F.col("p_size") > 25, F.col("p_type")).alias("value"),
+    ).filter("value IS NOT NULL")
+    ids = F.aggregate("FieldValues", F.lit(0).cast("bigint"), lambda acc, e: acc + e["record_id"].cast("bigint"))
+    return with_values(metadata, values, list_size=500).groupBy("Object", "Name").agg(
+        F.sum(F.size("FieldValues")).alias("n_values"), F.sum(ids).alias("id_sum")
+    )
+
+
 # Orders as an object: Early__c has values only before the watermark.
 
 def _order_fields(t: Tables) -> DataFrame:
