@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -67,8 +68,11 @@ def apply_pushed(sink: PushSink, bodies: DataFrame, batch_id: int) -> None:
     try:
         records = route_records(parsed, "company_id", *ARRIVAL)
         routes = [r["route"] for r in parsed.filter("size(records) > 0").select("route").distinct().collect()]
-        for route in sorted(r for r in routes if r in ROUTES):
-            apply_route(sink, route, records.filter(F.col("route") == route), query, batch_id)
+        with ThreadPoolExecutor(len(ROUTES)) as pool:  # routes have tables of their own, so their jobs run side by side
+            list(pool.map(
+                lambda route: apply_route(sink, route, records.filter(F.col("route") == route), query, batch_id),
+                sorted(r for r in routes if r in ROUTES),
+            ))
         push_outcomes(parsed, "company_id", *ARRIVAL).write.mode("overwrite").parquet(
             f"{sink.outcomes()}/{place}"
         )
