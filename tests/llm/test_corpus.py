@@ -117,6 +117,28 @@ def test_one_of_each_group_stays(llm, frame):
     assert sorted((r.doc_id or -1) for r in kept) == [-1, 1, 2, 7] and set(kept[0].asDict()) == set(docs.columns)
 
 
+def test_copies_reach_the_similarity_themselves(llm, frame, monkeypatch):
+    monkeypatch.setattr(simhash, "POINTS", 3)
+    rng = random.Random(6)
+    texts = []
+    for n in (8, 9, 30, 60, 100, 200):
+        for _ in range(12):
+            base = [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+            texts.append(" ".join(base))
+            for edits in (1, 1, 2, 3, n // 40):
+                w = list(base)
+                for _ in range(edits):
+                    w[rng.randrange(n)] = "changed"
+                texts.append(" ".join([*w, "and"][edits % 2:]))
+    sets = [set(simhash.shingles(t, 5)) for t in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    want = reach(range(len(texts)), near)
+    docs = frame(texts)
+    got = simhash.near_duplicates(docs, simhash.COPY_WORDS, simhash.COPY_BITS, simhash.COPY_RADIUS, simhash.COPY_RATIO)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+    assert sorted(r.doc_id for r in simhash.first_of_each_group(docs).collect()) == sorted(set(want.values()))
+
+
 # Substrings
 
 

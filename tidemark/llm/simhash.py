@@ -7,6 +7,9 @@
    the radius allows; cells are cut into blocks of ``BLOCK`` points, and every pair of blocks is one tile:
    numpy exclusive-or and bit counts.
 4. A tile hands on a spanning set of its links, never all pairs; components follow from the links.
+
+With a ``Jaccard`` ratio the tiles only search: texts with equal shingle sets collapse to one row, the components of the
+tiles' links are groups of candidates, and within a group only pairs whose shingle sets reach the ratio are linked.
 """
 
 from __future__ import annotations
@@ -24,9 +27,9 @@ from tidemark.llm.shared import blocks_by_key, lanes, slices, stored, texts
 
 #: Points of a block. A cell of up to this many is compared as one tile; guests of a block come in parts of ``PART``.
 BLOCK, PART = 1 << 14, 2048
+#: A block of candidates holds about so many points and shingles at most.
+POINTS, SHINGLES = 2048, 1 << 21
 SEED = 42
-#: Points without any ``doc_id`` are named from here on, above all real ones.
-NAMELESS = 2**62
 _SPREAD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -57,13 +60,21 @@ def _majority(h: np.ndarray) -> int:
     return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
+def _hashes(grams: list[bytes]) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(g, SEED) for g in grams), np.uint64, len(grams))
+
+
+class Jaccard(float):
+    """A ratio that linked texts reach themselves: shingles in common over shingles of either, each counted once."""
+
+
 def fingerprint(text: str, words: int, parts: int) -> tuple[int, list[int]]:
     """Number of shingles and the 64-bit words of the fingerprint (all zero without shingles)."""
     grams = shingles(text, words)
     if not grams:
         return 0, [0] * parts
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(g, SEED) for g in grams), np.uint64, len(grams))
+    h = _hashes(grams)
     return len(grams), [_majority(_more_bits(h, p)) for p in range(parts)]
 
 
@@ -85,6 +96,29 @@ def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64) -> DataFrame:
     return source.mapInArrow(run, f"doc_id {kind}, n long, " + ", ".join(f"f{p} long" for p in range(parts)))
 
 
+def set_prints(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """``doc_id, tag, n, f0 .. fk, s0, s1`` for every row, of its distinct shingles; ``tag`` is a hash of the text, ``s0, s1``
+    a digest of the set."""
+    parts = bits // 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(_hashes(shingles(t, words))) for t in batch.column(1).to_pylist()]
+            f = np.array([[_majority(_more_bits(h, p)) if len(h) else 0 for p in range(parts)] for h in sets], np.uint64)
+            f = f.reshape(-1, parts).view(np.int64)
+            s = np.frombuffer(b"".join(xxhash.xxh3_128_digest(h.tobytes()) for h in sets), "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array([len(h) for h in sets], pa.int64()),
+                 *(pa.array(f[:, p]) for p in range(parts)), *(pa.array(np.ascontiguousarray(s[:, i])) for i in (0, 1))],
+                ["doc_id", "tag", "n", *(f"f{p}" for p in range(parts)), "s0", "s1"],
+            )
+
+    source = texts(docs).withColumn("tag", F.xxhash64("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    names = ", ".join(f"f{p} long" for p in range(parts))
+    return source.mapInArrow(run, f"doc_id {kind}, tag long, n long, {names}, s0 long, s1 long")
+
+
 def _neighbours(width: int, radius: int) -> list[tuple[int, ...]]:
     """Steps between population-count vectors that at most ``radius`` differing bits can cause, one of each +/- pair."""
     steps = itertools.product(range(-radius, radius + 1), repeat=width)
@@ -221,55 +255,190 @@ def near_links(points: DataFrame, bits: int, radius: int, ratio: float | None =
     )
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 3, bits: int = 64, radius: int = 2, ratio: float | None = None
-) -> DataFrame:
-    """``doc_id, f0 .., component_id`` for every row of ``docs``.
+def _verified(parts: int, radius: int, ratio: float):
+    """Links of similarity ``ratio`` in a stream of candidates sorted by cell, block and role, enough to connect all that are linked."""
+    names = [f"f{p}" for p in range(parts)]
+
+    def points(cols, keep=slice(None)):
+        ids, first = np.unique(cols["rep"][keep], return_index=True)
+        sets = [np.frombuffer(x, "<u8") for x in cols["grams"][keep][first]]
+        w = [cols[n][keep][first].astype(np.int64).view(np.uint64) for n in names]
+        return {"id": ids.astype(np.int64), "w": w, "sets": sets, "n": np.array([len(x) for x in sets])}
+
+    def common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+        flat = np.concatenate(others)
+        at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+        return np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum([0, *map(len, others[:-1])]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, own = [], None
+        tree: dict[int, int] = {}
+
+        def root(x):
+            while tree.setdefault(x, x) != x:
+                tree[x] = tree[tree[x]]
+                x = tree[x]
+            return x
+
+        def found(other, same):
+            out = []
+            label, theirs = (np.array([root(x) for x in p["id"].tolist()], np.int64) for p in (own, other))
+            for i, a in enumerate(own["id"].tolist()):
+                d = sum(np.bitwise_count(v[i] ^ w).astype(np.int64) for v, w in zip(own["w"], other["w"]))
+                n, m = own["n"][i], other["n"]
+                near = (d <= radius) & (np.minimum(n, m) >= ratio * np.maximum(n, m) - 1e-9) & (theirs != label[i])
+                if same:
+                    near[:i + 1] = False
+                places = np.flatnonzero(near)
+                if not len(places):
+                    continue
+                shared = common(own["sets"][i], [other["sets"][j] for j in places])
+                # less than a whole shingle is rounding
+                for j in places[shared >= ratio * (n + m[places] - shared) - 1e-9].tolist():
+                    p, q = sorted((label[i].item(), theirs[j].item()))
+                    if p != q:
+                        tree[q] = p
+                        label[label == q] = p
+                        theirs[theirs == q] = p
+                        out.append((a, other["id"][j].item()))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"]
+                )
 
-    Fingerprints at ``radius`` or fewer differing bits are linked; ``component_id`` is the smallest ``doc_id``
-    reachable, itself included. Rows with equal texts, repeated rows included, share it. Texts without words
-    (NULL, empty, blank) have fingerprint zero and are linked like any other. Rows without ``doc_id`` keep
-    their row; their component is the smallest ``doc_id`` of its group, or NULL if none has one. No rows, no result.
+        def closed():
+            nonlocal own, mine
+            if mine:
+                own = points({k: np.concatenate([m[k] for m in mine]) for k in mine[0]})
+                mine = []
+                yield from found(own, True)
+
+        for fresh, cols in blocks_by_key(batches, ["cell", "block"]):
+            if fresh:
+                yield from closed()
+                own = None
+                tree.clear()
+            role = cols["role"]
+            if (role == 0).any():
+                mine.append({k: v[role == 0] for k, v in cols.items()})
+            guests = np.flatnonzero(role == 1)
+            if len(guests):
+                yield from closed()
+                for at in range(0, len(guests), 256) if own is not None else ():
+                    yield from found(points(cols, guests[at:at + 256]), False)
+        yield from closed()
+
+    return run
+
+
+def _gathered(words: int, carried: list[str]):
+    """The shingle set of each text in place of the text, once per point and task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in slices(batches):
+            reps = batch.column(batch.schema.get_field_index("rep")).to_pylist()
+            new = [k for k, r in enumerate(reps) if r not in seen and not seen.add(r)]
+            batch = batch.take(pa.array(new, pa.int64()))
+            made = [np.unique(_hashes(shingles(t, words))).astype("<u8").tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), *batch.columns[1:]], ["grams", *carried])
+
+    return run
+
+
+def jaccard_links(docs: DataFrame, classes: DataFrame, words: int, bits: int, radius: int, ratio: float) -> DataFrame:
+    """Links ``(a, b)`` between ``classes`` of equal shingle sets that have ``ratio`` of their shingles in common.
+
+    Candidates are pairs within ``radius`` bits; only texts of classes that have one are read again.
     """
     parts = bits // 64
     names = [f"f{p}" for p in range(parts)]
-    keys = [*names, "n"] if ratio else names
-    prints = stored(fingerprints(docs, words, bits), "fingerprints")
+    # smaller sets reach the ratio with equal ones only
+    able = classes.where(F.col("n") >= F.lit(float(ratio)) * (F.col("n") + 1))
+    groups = components(near_links(able.select("rep", "n", *names), bits, radius, float(ratio)))
+    members = groups.join(classes, groups["node"] == classes["rep"]).select(F.col("component").alias("cell"), "rep", "n", "at", *names)
+    sizes = members.groupBy("cell").agg(
+        F.greatest(F.ceil(F.count("*") / F.lit(POINTS)), F.ceil(F.sum("n") / F.lit(SHINGLES))).alias("blocks")
+    ).repartition(lanes(docs.sparkSession))
+    carried = ["cell", "blocks", "rep", *names]
+    members = members.join(sizes, "cell").select("at", *carried)
+    source = texts(docs).withColumn("tag", F.xxhash64("text")).hint("merge")
+    read = source.join(members, source["doc_id"].eqNullSafe(members["at.doc_id"]) & (source["tag"] == members["at.tag"]))
+    rows = read.select("text", *carried).mapInArrow(_gathered(words, carried), "grams binary, " + ", ".join(f"{c} long" for c in carried))
+    home = F.pmod(F.xxhash64("rep"), "blocks")
+    rows = rows.withColumn("home", home).select(
+        "cell", F.explode(F.sequence("home", F.col("blocks") - 1)).alias("block"), "home", "rep", "grams", *names
+    ).withColumn("role", (F.col("block") != F.col("home")).cast("int")).drop("home")
+    return (
+        rows.repartition(lanes(docs.sparkSession), "cell", "block").sortWithinPartitions("cell", "block", "role")
+        .mapInArrow(_verified(parts, radius, float(ratio)), "a long, b long")
+    )
+
+
+def _grouped(docs: DataFrame, words: int, bits: int, radius: int, ratio: float | None) -> DataFrame:
+    """The prints of every row with ``low``: the smallest ``doc_id`` of its group (with ``tag``, where links are verified)."""
+    names, exact = [f"f{p}" for p in range(bits // 64)], isinstance(ratio, Jaccard)
+    keys = ["s0", "s1"] if exact else [*names, "n"] if ratio else names
+    prints = stored(set_prints(docs, words, bits) if exact else fingerprints(docs, words, bits), "fingerprints")
+    row = F.struct("doc_id", "tag") if exact else F.struct("doc_id")
+    rest = [F.max(c).alias(c) for c in ["n", *names] if c not in keys]
+    # numbered once, when stored: texts under one doc_id stay apart
     classes = stored(
-        prints.groupBy(*keys).agg(F.min("doc_id").alias("low"), *([] if ratio else [F.max("n").alias("n")]))
-        .withColumn("rep", F.coalesce(F.col("low").cast("long"), F.abs(F.xxhash64(*keys) % NAMELESS) + NAMELESS)), "classes"
+        prints.groupBy(*keys).agg(F.min(F.when(F.col("doc_id").isNotNull(), row)).alias("low"), F.min(row).alias("at"), *rest)
+        .withColumn("rep", F.monotonically_increasing_id()), "classes"
     )
-    groups = components(near_links(classes.select("rep", "n", *names), bits, radius, ratio))
-    component = F.coalesce("component", "rep")
-    named = classes.join(groups, classes["rep"] == groups["node"], "left").select(
-        *keys, F.when(component < NAMELESS, component).cast(prints.schema["doc_id"].dataType).alias("component_id")
+    links = (
+        jaccard_links(docs, classes, words, bits, radius, ratio) if exact
+        else near_links(classes.select("rep", "n", *names), bits, radius, ratio)
     )
-    return prints.join(named, keys).select("doc_id", *names, "component_id")
+    groups = components(links)
+    lowest = (
+        groups.join(classes, groups["node"] == classes["rep"]).groupBy("component").agg(F.min("low").alias("lowest"))
+        .repartition(lanes(docs.sparkSession))
+    )
+    linked = groups.join(lowest, "component").select("node", "lowest")
+    named = classes.join(linked, classes["rep"] == linked["node"], "left").select(*keys, F.coalesce("lowest", "low").alias("low"))
+    return prints.join(named, keys)
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 3, bits: int = 64, radius: int = 2, ratio: float | None = None
+) -> DataFrame:
+    """``doc_id, f0 .., component_id`` for every row of ``docs``.
 
+    Fingerprints at ``radius`` or fewer differing bits are linked, or, if ``ratio`` is a ``Jaccard``, those of them that reach
+    it; ``component_id`` is the smallest ``doc_id`` reachable, itself included. Rows with equal texts, repeated rows included,
+    share it; different texts under one ``doc_id`` do not for that. Texts without words (NULL, empty, blank) have fingerprint
+    zero and are linked like any other. Rows without ``doc_id`` keep their row; their component is the smallest ``doc_id`` of
+    its group, or NULL if none has one. No rows, no result.
+    """
+    names = [f"f{p}" for p in range(bits // 64)]
+    return _grouped(docs, words, bits, radius, ratio).select("doc_id", *names, F.col("low.doc_id").alias("component_id"))
 
-#: Near copies in the pipeline: 256-bit fingerprints of five-word shingles. Sets of similarity 0.8 differ in
-#: about 39 bits, give or take 6; at 44 most of these pairs are linked, and few below 0.7.
-COPY_WORDS, COPY_BITS, COPY_RADIUS, COPY_RATIO = 5, 256, 44, 0.8
+
+#: Near copies in the pipeline: similarity 0.8 of five-word shingles, each counted once. Sets of that similarity differ in
+#: about 39 of 256 bits, give or take 6, and in 48 on average at worst (4 shingles of 5), so no tile misses them at 76.
+COPY_WORDS, COPY_BITS, COPY_RADIUS, COPY_RATIO = 5, 256, 76, Jaccard(0.8)
 
 
 def first_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, one of each group of near copies: that with the smallest ``doc_id``.
+    """The rows of ``docs``, one of each group of near copies: that with the smallest ``doc_id``, and of several texts under
+    it that with the smallest hash.
 
-    Equal rows repeated under one ``doc_id`` count as copies; rows without ``doc_id`` are kept.
+    Equal texts repeated under one ``doc_id`` count as copies; rows without ``doc_id`` are kept.
     """
-    spark = docs.sparkSession
-    groups = near_duplicates(docs, COPY_WORDS, COPY_BITS, COPY_RADIUS, COPY_RATIO)
+    groups = _grouped(docs, COPY_WORDS, COPY_BITS, COPY_RADIUS, COPY_RATIO)
     kept = stored(
-        groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows")), "kept"
+        groups.where("doc_id = low.doc_id AND tag = low.tag")
+        .groupBy(F.col("doc_id").alias("kept_id"), F.col("tag").alias("kept_tag")).agg(F.count("*").alias("rows")), "kept"
     )
+    tag = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = (F.col("doc_id") == F.col("kept_id")) & (tag == F.col("kept_tag"))
     # the same join at every size: one shuffle of the documents
-    named = docs.hint("merge").join(kept.select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    docs = named.unionByName(docs.where("doc_id IS NULL"))
-    again = kept.where("rows > 1")
+    named = docs.hint("merge").join(kept.drop("rows"), same, "left_semi")
+    again = kept.where("rows > 1").drop("rows")
+    nameless = docs.where("doc_id IS NULL")
     if again.isEmpty():
-        return docs
-    names = docs.columns
-    repeated = docs.join(again.select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return docs.join(again.select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_anti").unionByName(
-        repeated.dropDuplicates(["doc_id"]).select(*names)
-    )
+        return named.unionByName(nameless)
+    repeated = named.join(again, same, "left_semi").withColumn("kept_tag", tag).dropDuplicates(["doc_id", "kept_tag"]).drop("kept_tag")
+    return named.join(again, same, "left_anti").unionByName(repeated).unionByName(nameless)
