@@ -139,6 +139,16 @@ def test_copies_reach_the_similarity_themselves(llm, frame, monkeypatch):
     assert sorted(r.doc_id for r in simhash.first_of_each_group(docs).collect()) == sorted(set(want.values()))
 
 
+def test_texts_under_one_id_stay_apart(llm, frame):
+    rng = random.Random(7)
+    one, two, three = (" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(40)) for _ in range(3))
+    docs = frame([(1, one), (1, two), (1, three), (1, three), (2, one + " more"), (3, two + " more"), (4, "alone")])
+    kept = sorted((r.doc_id, r.text) for r in simhash.first_of_each_group(docs).collect())
+    assert kept == sorted([(1, one), (1, two), (1, three), (4, "alone")])
+    plain = simhash.near_duplicates(frame([(1, one), (1, two), (0, two)])).collect()
+    assert sorted((r.doc_id, r.component_id) for r in plain) == [(0, 0), (1, 0), (1, 1)]
+
+
 # Substrings
 
 
