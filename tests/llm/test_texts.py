@@ -11,6 +11,7 @@ import pytest
 
 from tidemark.llm import byte_bpe, decontaminate, personal_data, quality, token_files, toxicity
 from tidemark.llm.queries import QUERIES
+from tidemark.llm.samples import thinned
 from tests.llm.conftest import SF
 
 ODD = [
@@ -285,3 +286,10 @@ def test_non_negative_risk():
     plus, minus = quality.risk(np.array([30.0]), np.array([-30.0]), 0.5)
     assert plus < 1e-9 and minus < 0  # all positives right, all unlabelled called negative: the bound applies
     assert quality.features("").tolist() == [0.0] * quality.SIZE and len(quality.features("a b")) == quality.SIZE
+
+
+def test_samples_of_tables_of_any_size(llm):
+    rows = llm.range(1 << 25).withColumnRenamed("id", "doc_id")
+    # as from a table of which less than one row in 2 ** 20 is drawn
+    assert 4 <= thinned(rows, 256 << 21, 256, "calibration").count() <= 40
+    assert 900 <= thinned(rows.limit(100_000), 100_000, 1000, "calibration").count() <= 1100

@@ -167,8 +167,8 @@ def calibrate(indexed: DataFrame, tree: Tree, k: int) -> int:
     n = indexed.count()
     drawn = thinned(indexed.select(F.element_at("ids", 1).alias("doc_id"), "vec"), n, CALIBRATION, "calibration")
     queries = [(r[0], bytes(r[1])) for r in drawn.collect()]
-    if not queries:
-        return 1
+    if not queries and n:
+        raise ValueError(f"no queries to calibrate with, of {n} vectors")
     near = indexed.mapInArrow(_truth(queries, k), "query int, score double, id long, leaf int")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     truth = near.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "leaf").collect()

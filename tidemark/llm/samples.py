@@ -20,8 +20,10 @@ def thinned(rows: DataFrame, count: int, limit: int, salt: str) -> DataFrame:
     """About ``limit`` of ``count`` rows, drawn by a hash of ``doc_id``; all of them if there are fewer."""
     if count <= limit:
         return rows
-    parts = 1 << 20
-    return rows.where(F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(parts)) < int(parts * limit / count))
+    h = F.xxhash64(F.lit(salt), "doc_id")
+    # 63 bits, the lowest 20 first, so that no table is large enough for a threshold of 0
+    place = F.shiftleft(h.bitwiseAND(F.lit((1 << 20) - 1)), 43).bitwiseOR(F.shiftrightunsigned(h, 21))
+    return rows.where(place < F.lit((limit << 63) // count))
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
