@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, personal_data, quality, run_index, simhash, token_files, toxicity
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, merkle, personal_data, quality, run_index, simhash, token_files, toxicity
 from tidemark.llm.shared import reachable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,60 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty nearest rows found for every twentieth vector."""
     return kmeans_tree.search(table(sf_dir, "embeddings", spark), every=20, k=20)
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents; a third of them tampered with."""
+    return merkle.manifest(table(sf_dir, "documents", spark))
+
+
+def _merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        parts = [f"CAST({text if c == 'text' else c} AS VARCHAR)" for c in merkle.FIELDS]
+        return "sha256(" + " || ".join(f"coalesce(strlen({p}) || ':' || {p}, '-')" for p in parts) + ")"
+
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    # crc32 (reflected polynomial 0xEDB88320), bit by bit over the digits of doc_id
+    shift = "list_reduce(list_concat([xor(c, ascii(d))], range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], {digits}), lambda c, d: {shift.replace('ascii(d)', 'd')}), 4294967295)"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, leaf) AS id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS k
+  FROM (SELECT doc_id, lang, {leaf("text")} AS leaf,
+    CASE WHEN {crc} % 3 = 0 THEN {leaf(f"translate(text, '{upper}', '{upper.lower()}')")} ELSE {leaf("text")} END AS altered FROM documents)
+), up AS (
+  SELECT k, 0 AS lvl, pos, n, leaf AS h FROM d
+  UNION ALL
+  SELECT k, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY k, lvl, pos // 8, n
+), sub AS (SELECT k, lvl AS height, h AS subroot, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, k AS pos, n, subroot AS h FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 8, n
+), step AS (  -- siblings of every node on the way up, left and right
+  SELECT a.k, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM up a JOIN up b ON a.k = b.k AND a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY a.k, a.lvl, a.pos
+), topstep AS (
+  SELECT a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM top a JOIN top b ON a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY a.lvl, a.pos
+), path AS (
+  SELECT d.id, s.lvl, s.l, s.r FROM d JOIN step s ON s.k = d.k AND s.pos = d.pos // CAST(pow(8, s.lvl) AS BIGINT)
+  UNION ALL
+  SELECT d.id, s.height + t.lvl, t.l, t.r FROM d JOIN sub s ON s.k = d.k JOIN topstep t ON t.pos = d.k // CAST(pow(8, t.lvl) AS BIGINT)
+), fold AS (
+  SELECT id, 0 AS lvl, altered AS h FROM d
+  UNION ALL
+  SELECT f.id, f.lvl + 1, sha256(p.l || f.h || p.r) FROM fold f JOIN path p ON p.id = f.id AND p.lvl = f.lvl
+), folded AS (SELECT id, arg_max(h, lvl) AS h FROM fold GROUP BY id),
+proof AS (SELECT id, string_agg(l || r, '' ORDER BY lvl) AS p FROM path GROUP BY id)
+SELECT d.doc_id, d.leaf, s.subroot, t.h AS root, sha256(coalesce(p.p, '')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM d JOIN sub s ON s.k = d.k JOIN folded f ON f.id = d.id LEFT JOIN proof p ON p.id = d.id, (SELECT h FROM top WHERE n = 1) t
+"""
+
+
+SQL["op12_merkle"] = _merkle_sql()
