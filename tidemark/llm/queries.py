@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, merkle, personal_data, quality, run_index, simhash, token_files, toxicity
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, merkle, personal_data, quality, run_index, simhash, token_files, toxicity, warc
 from tidemark.llm.shared import reachable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,22 @@ FROM d JOIN sub s ON s.k = d.k JOIN folded f ON f.id = d.id LEFT JOIN proof p ON
 
 
 SQL["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as they come back from web archives written for them."""
+    found = warc.archived(table(sf_dir, "pages", spark))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op13_warc"] = f"""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS html, row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS place,
+    first_value(page_id) OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS top
+  FROM pages
+), r AS (SELECT *, CAST(strlen(html) AS BIGINT) AS payload_bytes, strlen(html) >= {warc.LEAST} AND place > 1 AS again FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN top END AS refers_to
+FROM r
+"""
