@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, merkle, personal_data, quality, run_index, simhash, token_files, toxicity, warc
+from tidemark.llm import byte_bpe, chunk_dedup, decontaminate, kmeans_tree, merkle, personal_data, quality, run_index, simhash, token_files, toxicity, warc, whitening
 from tidemark.llm.shared import reachable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,12 @@ def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(table(sf_dir, "embeddings", spark), every=20, k=20)
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors whitened by the components of their exact scatter."""
+    return whitening.whiten(table(sf_dir, "embeddings", spark))
+
+
 @query
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, roots and proofs of all documents; a third of them tampered with."""
