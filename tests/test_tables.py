@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import merge
 from tidemark.plans import SyncRun, run_custom_fields, run_feed, sync
-from tidemark.plans.sync import FeedSource, check_log, sync_all
+from tidemark.plans.sync import check_log
+from tidemark.plans.together import FeedSource, sync_all
 from tidemark.sinks import VersionedTable, shared_folder
 from tidemark.sources import read_landed
 from tidemark.specs import (
@@ -563,3 +564,89 @@ def test_a_failing_feed_leaves_the_others_alone(spark, tmp_path):
     }
     assert "gone away" in report["contacts"].error
     assert [r.SalesforceId for r in run.table(ACTIVITIES).read().collect()] == ["t"]
+
+
+# A writer that dies -------------------------------------------------------------
+
+
+def test_a_dead_writers_pointer_stops_nothing(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.overwrite(numbers(spark, 0, 10, "a"))
+    folder = tmp_path / "t" / "_pointer"
+    for number, text in ((2, ""), (3, '{"version": 3, "buck'), (5, "[]")):
+        (folder / f"{number:020d}.json").write_text(text)
+    assert t.version == 1 and t.read().count() == 10
+    assert t.upsert(numbers(spark, 5, 15, "b"), applied=("w", 0)) == 6
+    again = table(spark, tmp_path)
+    assert again.version == 6 and again.was_applied("w", 0) and again.read().count() == 15
+    with pytest.raises(ValueError):
+        t.read(3)
+    assert again.upsert(numbers(spark, 0, 1, "c")) == 7
+    again.vacuum(keep_versions=1)
+    assert again.version == 7 and rows(again.read().groupBy("v").count()) == [("a", 4), ("b", 10), ("c", 1)]
+
+
+def test_a_writer_that_dies_before_its_pointer_has_a_number(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path)
+    t.overwrite(numbers(spark, 0, 10, "a"))
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_publish", die)
+        with pytest.raises(KeyboardInterrupt):
+            t.upsert(numbers(spark, 0, 10, "b"), applied=("w", 0))
+    assert t.version == 1 and not t.was_applied("w", 0)
+    assert t.upsert(numbers(spark, 0, 10, "b"), applied=("w", 0)) == 2
+    assert {r.v for r in t.read().collect()} == {"b"}
+
+
+def test_a_number_is_given_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tidemark.sinks.versioned import Pointer, VersionTaken
+
+    t = table(spark, tmp_path)
+
+    def commit(i):
+        try:
+            t._commit(Pointer(1, applied={"w": i}))
+            return i
+        except VersionTaken:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [i for i in pool.map(commit, range(24)) if i is not None]
+    assert len(won) == 1 and t.pointer().applied == {"w": won[0]}
+    assert os.listdir(tmp_path / "t" / "_pointer" / "aside") == []
+
+
+def test_keyless_rows_of_a_lost_race_are_set_apart_once(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path)
+    t.overwrite(numbers(spark, 0, 10, "a"))
+    other, publish, lost = table(spark, tmp_path), VersionedTable._publish, []
+
+    def late(self, *args):
+        if self is t and not lost:
+            lost.append(other.upsert(numbers(spark, 20, 21, "o")))
+        publish(self, *args)
+
+    monkeypatch.setattr(VersionedTable, "_publish", late)
+    t.upsert(spark.createDataFrame([(None, "lost", 1), (5, "b", 2)], "k bigint, v string, at bigint"), seq=["at"])
+    assert lost and [r.v for r in t.keyless().collect()] == ["lost"]
+    assert rows(t.read().groupBy("v").count()) == [("a", 9), ("b", 1), ("o", 1)]
+
+
+def test_actions_are_counted_by_the_write_itself(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path)
+    t.overwrite(numbers(spark, 0, 100, "a"))
+    scans = []
+    read = VersionedTable._read
+    monkeypatch.setattr(VersionedTable, "_read", lambda self, buckets: scans.append(len(buckets)) or read(self, buckets))
+    t.upsert(numbers(spark, 90, 130, "b"))
+    assert len(scans) == 1
+    monkeypatch.undo()
+    t.upsert(numbers(spark, 0, 0, "c"))
+    t.upsert(spark.createDataFrame([(5, "old", 1), (7, "new", 99), (500, "x", 1)], SPEC.schema), seq=["at"], event_col="at")
+    assert rows(t.actions().fillna(-1)) == [(1, -1, -1), (2, 30, 10), (3, 0, 0), (4, 1, 1)]

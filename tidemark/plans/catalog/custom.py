@@ -16,7 +16,7 @@ from tidemark.operators import (
 )
 from tidemark.plans.catalog.registry import Tables, plain, query
 from tidemark.plans.catalog.standins import LATE, MID, RUN_TS, sql_ts, ts
-from tidemark.plans.sync import upsert_values
+from tidemark.plans.custom import upsert_values
 from tidemark.sources import describe_fields
 from tidemark.specs import CUSTOM_VALUES
 
@@ -299,7 +299,7 @@ def custom_field_sync(t: Tables) -> DataFrame:
 
 
 def _custom_sync(t: Tables):
-    from tidemark.plans.sync import sync_custom_fields
+    from tidemark.plans.custom import sync_custom_fields
     from tidemark.specs import CUSTOM_ATTRIBUTES, SYNC_LOG
 
     tenant = F.col("c_nationkey").cast("string").alias("CompanyId")

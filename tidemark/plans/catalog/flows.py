@@ -8,17 +8,8 @@ from tidemark.operators import conform_source
 from tidemark.operators.sizing import measured
 from tidemark.plans.catalog.registry import Tables, plain, query
 from tidemark.plans.catalog.standins import LATE, MID, RUN_TS, ident, sql_ident, sql_ts, ts
-from tidemark.plans.sync import (
-    FeedSource,
-    SyncRun,
-    extract_stats,
-    run_feed,
-    sync,
-    sync_all as run_all,
-    sync_report,
-    tenant_marks,
-    watermarks,
-)
+from tidemark.plans.sync import SyncRun, extract_stats, run_feed, sync, sync_report, tenant_marks, watermarks
+from tidemark.plans.together import FeedSource, sync_all as run_all
 from tidemark.sinks import shared_folder
 from tidemark.sources import read_landed, tenant_extract
 from tidemark.specs import ACCOUNTS, ACTIVITIES, CALL_STAGES, CONTACTS, HISTORY, OPPORTUNITIES, SYNC_LOG, USERS

@@ -1,45 +1,26 @@
-"""Whole flows: one feed, custom fields, all feeds of all tenants.
+"""One feed: extract after each tenant's watermark, set bad rows apart, upsert, log, report.
 
-The tenant is a column throughout, so one job serves every tenant. Each flow
+The tenant is a column throughout, so one job serves every tenant. The flow
 comes twice: as a pure function from DataFrames to DataFrames, and as a runner
 over versioned tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from concurrent.futures import Future, ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions import iso_text
-from tidemark.operators import (
-    assemble_metadata,
-    conform_source,
-    custom_attribute_rows,
-    custom_value_rows,
-    fields_with_values,
-    merge,
-    type_rules,
-    unpivot_values,
-)
+from tidemark.operators import conform_source, merge, type_rules
 from tidemark.operators.sizing import measured
 from tidemark.sinks import VersionedTable
-from tidemark.sources import judged_extract, only_referencing, tenant_extract
+from tidemark.sources import judged_extract, only_referencing
 from tidemark.sources.extract import feed_instant
-from tidemark.specs import (
-    CUSTOM_ATTRIBUTES,
-    CUSTOM_VALUES,
-    FEEDS,
-    SYNC_LOG,
-    TENANT,
-    TableSpec,
-    custom_values_log_key,
-)
-from tidemark.workspace import staged
+from tidemark.specs import FEEDS, SYNC_LOG, TENANT, TableSpec
+from tidemark.workspace import PLACE, scratch, staged
 
 
 @dataclass
@@ -100,36 +81,38 @@ def extract_stats(batch: DataFrame, ts_col: str) -> DataFrame:
 
 
 def log_updates(
-    spec_name: str,
+    name: str | Column,
     stats: DataFrame,
     marks: DataFrame,
     *,
     run_ts: datetime | None,
     watermark_mode: str = "source",
     advance_on_empty: bool = False,
+    keys: Sequence[str] = (TENANT,),
 ) -> DataFrame:
     """New log rows: tenants with rows advance, tenants without do so only on request.
 
     ``source`` advances to the newest row read, ``run_ts`` to the time of the run. A watermark never moves back.
+    ``keys`` are those of ``marks`` and ``stats``; a log name made of them makes a row per object, say.
     """
     now = instant_literal(run_ts)
-    joined = marks.join(stats, TENANT, "left")
+    joined = marks.join(stats, list(keys), "left")
     moved = F.col("records_processed").isNotNull()
     if advance_on_empty:
         moved = moved | F.col("last_sync").isNotNull()
     new = F.greatest(now if watermark_mode == "run_ts" else F.col("newest"), F.col("last_sync"))
     return joined.filter(moved).select(
-        F.lit(spec_name).alias("table_name"),
+        (F.lit(name) if isinstance(name, str) else name).alias("table_name"),
         new.alias("last_sync_time"),
         now.alias("created_at"),
         TENANT,
     )
 
 
-def sync_report(feed: str, stats: DataFrame, marks: DataFrame) -> DataFrame:
+def sync_report(feed: str | Column, stats: DataFrame, marks: DataFrame, keys: Sequence[str] = (TENANT,)) -> DataFrame:
     """One row per tenant: feed, sync type, rows, previous watermark as text, success."""
-    return marks.join(stats, TENANT, "left").select(
-        F.lit(feed).alias("feed"),
+    return marks.join(stats, list(keys), "left").select(
+        (F.lit(feed) if isinstance(feed, str) else feed).alias("feed"),
         TENANT,
         F.when(F.col("last_sync").isNull(), "full").otherwise("incremental").alias("sync_type"),
         F.coalesce("records_processed", F.lit(0)).cast("bigint").alias("records_processed"),
@@ -204,126 +187,6 @@ def batch_rows(
     return rows, ["__at", TENANT, *order]
 
 
-def custom_fields(
-    feeds: Mapping[str, DataFrame],
-    values: DataFrame,
-    marks: DataFrame,
-    *,
-    by: Sequence[str] = ("Object", "Name"),
-) -> tuple[DataFrame, DataFrame]:
-    """Metadata and long values of custom fields, for all objects at once.
-
-    ``values`` are the long values of the records read; ``marks`` has, per object
-    (and tenant), whether the run is incremental. A full run keeps every field,
-    an incremental one those with values.
-    """
-    assemble_by = ["object_name" if c == "Object" else c for c in by if c != "Name"]
-    metadata = assemble_metadata(
-        feeds["custom_fields"], feeds["definitions"], feeds["particles"], feeds["described"],
-        by=assemble_by,
-    )
-    scope = [c for c in by if c != "Name"]
-    judged = metadata.join(marks.select(*scope, F.col("last_sync").isNull().alias("__full")), scope)
-    full, incremental = marks.agg(
-        F.count_if(F.col("last_sync").isNull()), F.count_if(F.col("last_sync").isNotNull())
-    ).first()
-    kept = judged.filter("__full")
-    if incremental:
-        # Looks through the values, so only if some object or tenant asks for it.
-        found = fields_with_values(judged.filter("not __full"), values, by)
-        kept = kept.unionByName(found) if full else found
-    return kept.drop("__full"), values
-
-
-def upsert_values(target: DataFrame, rows: DataFrame, *, clear_nulls: bool = False, **options) -> DataFrame:
-    """Merge long values. ``clear_nulls`` lets a null value empty an existing row; it never adds one."""
-    if not clear_nulls:
-        rows = rows.filter(F.col("Value").isNotNull())
-    merged = merge(
-        target, rows, CUSTOM_VALUES.keys, update=CUSTOM_VALUES.update_columns, null_safe=True,
-        action="__action", **options,
-    )
-    return merged.filter((F.col("__action") != "insert") | F.col("Value").isNotNull()).drop("__action")
-
-
-@dataclass
-class CustomChanges:
-    """Rows to upsert after custom fields were read."""
-
-    attributes: DataFrame
-    values: DataFrame
-    sync_log: DataFrame
-    report: DataFrame
-
-
-def custom_changes(
-    feeds: Mapping[str, DataFrame],
-    wide: Mapping[str, DataFrame],
-    sync_log: DataFrame,
-    companies: DataFrame,
-    *,
-    run_ts: datetime | None = None,
-    ts_col: str = "LastModifiedDate",
-    names: Mapping[str, Sequence[str]] | None = None,
-    watermark_mode: str = "source",
-    clear_nulls: bool = False,
-) -> CustomChanges:
-    """Read the custom fields of all objects and tenants, each object after its own watermark.
-
-    ``wide`` maps an object to its records (``Id``, tenant, time column, one
-    column per custom field). Metadata feeds carry ``object_name`` and the tenant.
-    Value rows carry ``__at``, the time of their record.
-    """
-    by = [TENANT, "Object", "Name"]
-    parts: dict[str, list[DataFrame]] = {"values": [], "marks": [], "log": [], "report": []}
-    for obj, records in wide.items():
-        key = custom_values_log_key(obj)
-        marks = tenant_marks(companies, sync_log, key)
-        read = tenant_extract(records, ts_col, marks, floor=common_floor(marks))
-        at = feed_instant(read, ts_col).alias("__at")
-        fields = (names or {}).get(obj) or [c for c in read.columns if c.endswith("__c")]
-        long = unpivot_values(
-            read.select(TENANT, "Id", at, F.lit(obj).alias("Object"), *fields),
-            names=fields, keep=[TENANT, "Object", "__at"], with_nulls=clear_nulls,
-        )
-        stats = extract_stats(read, ts_col)
-        new = log_updates(key, stats, marks, run_ts=run_ts, watermark_mode=watermark_mode,
-                          advance_on_empty=CUSTOM_VALUES.advance_on_empty)
-        parts["values"].append(long)
-        parts["marks"].append(marks.withColumn("Object", F.lit(obj)))
-        parts["log"].append(new)
-        parts["report"].append(sync_report(key, stats, marks))
-    values, marks, log, report = (reduce(DataFrame.unionByName, p) for p in parts.values())
-    metadata, values = custom_fields(feeds, values, marks, by=by)
-    return CustomChanges(
-        custom_attribute_rows(metadata),
-        custom_value_rows(values, metadata, "__at", by=by),
-        log,
-        report,
-    )
-
-
-def sync_custom_fields(
-    feeds: Mapping[str, DataFrame],
-    wide: Mapping[str, DataFrame],
-    attributes: DataFrame,
-    stored: DataFrame,
-    sync_log: DataFrame,
-    companies: DataFrame,
-    *,
-    clear_nulls: bool = False,
-    **options,
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Custom fields upserted; returns attributes, values, log and report."""
-    new = custom_changes(feeds, wide, sync_log, companies, clear_nulls=clear_nulls, **options)
-    return (
-        merge(attributes, new.attributes, CUSTOM_ATTRIBUTES.keys, null_keys=False),
-        upsert_values(stored, new.values, clear_nulls=clear_nulls, seq=["__at"]),
-        merge(sync_log, new.sync_log, SYNC_LOG.keys, null_keys=False),
-        new.report,
-    )
-
-
 @dataclass
 class SyncRun:
     """Versioned tables of a deployment, opened by spec under one folder."""
@@ -341,6 +204,21 @@ class SyncRun:
     def quarantine(self, name: str) -> str:
         return f"{self.root}/quarantine/{name}"
 
+    def report(self, name: str, run_ts: datetime) -> str:
+        return f"{self.root}/reports/{name}/run={stamp(run_ts)}"
+
+
+def stamp(when: datetime) -> str:
+    """A run's name in folders."""
+    return when.strftime("%Y%m%dT%H%M%S%f")
+
+
+def kept_report(run: SyncRun, name: str, run_ts: datetime, report: DataFrame) -> DataFrame:
+    """The report of a run, stored beside its tables; it outlives the run's stages."""
+    path = run.report(name, run_ts)
+    report.write.mode("overwrite").parquet(path)
+    return run.spark.read.schema(report.schema).parquet(path)
+
 
 def run_feed(
     run: SyncRun,
@@ -357,115 +235,29 @@ def run_feed(
     """Run one feed against its tables and return the report.
 
     The source is read and judged once, into the shared folder: rows, bad rows,
-    counts and watermark all come from there, whatever arrives meanwhile. Order
-    matters for a restart: rows, then the bad rows, then the log. A run that dies
-    before the log is read again from the old watermark, and the keyed merge
-    makes the repetition harmless.
+    counts and watermark all come from there, whatever arrives meanwhile; the
+    folder is emptied when the run ends. Rows of one key and time are applied in
+    the order they were read in, after ``seq``. Order matters for a restart:
+    rows, then the bad rows, then the log. A run that dies before the log is read
+    again from the old watermark, and the keyed merge makes the repetition
+    harmless.
     """
     log, spec = run.table(SYNC_LOG), spec.with_tenant()
-    marks = tenant_marks(companies, log.read(), spec.log_key)
-    judged = staged(judge(spec, source, marks, overlap=overlap), f"feed-{spec.name}")
-    batch, good, bad = extract_batch(spec, judged, related=related)
-    rows, order = batch_rows(spec, good, seq)
-    run.table(spec).upsert(rows, seq=order)
-    stamp = run_ts.strftime("%Y%m%dT%H%M%S%f")
-    set_apart(bad).write.mode("overwrite").json(f"{run.quarantine(spec.name)}/run={stamp}")
-    stats = extract_stats(batch, spec.ts_col)
-    report = sync_report(spec.name, stats, marks)
-    log.upsert(log_updates(spec.log_key, stats, marks, run_ts=run_ts, watermark_mode=watermark_mode,
-                           advance_on_empty=spec.advance_on_empty))
+    with scratch(run.spark):
+        marks = tenant_marks(companies, log.read(), spec.log_key)
+        judged = staged(judge(spec, source, marks, overlap=overlap), f"feed-{spec.name}", place=True)
+        batch, good, bad = extract_batch(spec, judged, related=related)
+        rows, order = batch_rows(spec, good, [*(seq or ()), PLACE])
+        run.table(spec).upsert(rows, seq=order)
+        set_apart(bad).write.mode("overwrite").json(f"{run.quarantine(spec.name)}/run={stamp(run_ts)}")
+        stats = staged(extract_stats(batch, spec.ts_col), "stats")
+        report = kept_report(run, spec.name, run_ts, sync_report(spec.name, stats, marks))
+        log.upsert(log_updates(spec.log_key, stats, marks, run_ts=run_ts, watermark_mode=watermark_mode,
+                               advance_on_empty=spec.advance_on_empty))
     return report
 
 
 def set_apart(bad: DataFrame) -> DataFrame:
     """Bad rows as stored for replay: reasons, and the row as JSON text."""
-    body = [c for c in bad.columns if c != "reasons"]
+    body = [c for c in bad.columns if c not in ("reasons", PLACE)]
     return bad.select("reasons", F.to_json(F.struct(*body)).alias("row"))
-
-
-def run_custom_fields(
-    run: SyncRun,
-    feeds: Mapping[str, DataFrame],
-    wide: Mapping[str, DataFrame],
-    companies: DataFrame,
-    **options,
-) -> DataFrame:
-    """Custom fields of all objects against their tables; returns the report."""
-    log = run.table(SYNC_LOG)
-    new = custom_changes(feeds, wide, log.read(), companies, **options)
-    run.table(CUSTOM_ATTRIBUTES).upsert(new.attributes)
-    values = run.table(CUSTOM_VALUES)
-    values.upsert(emptying_only(values.read(), new.values), seq=["__at"])
-    log.upsert(new.sync_log)
-    return new.report
-
-
-def emptying_only(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Long values without the NULLs that would add a row: a NULL may only empty a value that is there, or comes with it."""
-    keys = list(CUSTOM_VALUES.keys)
-    filled = rows.filter(F.col("Value").isNotNull())
-    there = target.select(*keys).unionByName(filled.select(*keys))
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-    empty = rows.filter(F.col("Value").isNull()).alias("r").join(there.alias("t"), on, "left_semi")
-    return filled.unionByName(empty)
-
-
-@dataclass(frozen=True)
-class FeedSource:
-    """One feed of a run: its rows, and how to run it."""
-
-    spec: TableSpec
-    rows: DataFrame
-    related: str | None = None
-    seq: tuple[str, ...] = ()
-
-
-REPORT = "feed string, CompanyId string, sync_type string, records_processed bigint, last_sync string, success boolean, error string"
-
-
-def sync_all(
-    run: SyncRun,
-    feeds: Sequence[FeedSource],
-    companies: DataFrame,
-    *,
-    run_ts: datetime,
-    custom: tuple[Mapping[str, DataFrame], Mapping[str, DataFrame]] | None = None,
-    workers: int = 4,
-    **options,
-) -> DataFrame:
-    """All feeds of all tenants; returns one report row per feed and tenant.
-
-    Feeds run side by side, each as Spark jobs of its own; a feed that names a ``related`` one waits for it and
-    takes its stored rows as parents. A feed that fails is reported with ``success`` false and its error, and
-    stops neither the others nor their watermarks. ``custom`` holds the feeds and the wide rows of custom fields.
-    """
-    waiting = {f.spec.name: f for f in feeds}
-    done: dict[str, Future] = {}
-    with ThreadPoolExecutor(workers) as pool:
-
-        def one(feed: FeedSource) -> DataFrame:
-            related = None
-            if feed.related:
-                if feed.related in done:
-                    done[feed.related].result()
-                parents = run.table(FEEDS[feed.related]).read()
-                related = parents.withColumnRenamed(FEEDS[feed.related].keys[0], feed.spec.semi_join[2])
-            return staged(
-                run_feed(run, feed.spec, feed.rows, companies, run_ts=run_ts, related=related, seq=feed.seq or None, **options),
-                "report",
-            )
-
-        for name in sorted(waiting, key=lambda n: waiting[n].related is not None):
-            done[name] = pool.submit(one, waiting[name])
-        if custom:
-            done["custom_fields"] = pool.submit(lambda: staged(run_custom_fields(run, *custom, companies, run_ts=run_ts), "report"))
-        parts = [_reported(run.spark, name, future) for name, future in done.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _reported(spark: SparkSession, name: str, future: Future) -> DataFrame:
-    try:
-        return future.result().withColumn("error", F.lit(None).cast("string"))
-    except Exception as broken:  # any failure of a feed is its own
-        lines = str(broken).strip().splitlines() or [type(broken).__name__]
-        return spark.createDataFrame([(name, None, None, 0, None, False, lines[0][:500])], REPORT)

@@ -2,9 +2,11 @@
 
 Layout: ``<path>/data/<write>/bucket=<b>/*.parquet`` and a pointer
 ``<path>/_pointer/<version>.json`` that maps each bucket to the write it lives
-in. Data files are never changed; a version becomes visible when its pointer
-is created, which fails if another writer took that number. Rows without a key
-cannot be merged: they go to ``<path>/keyless``.
+in. Data files are never changed. A pointer is written aside, whole, and then
+given its number in one atomic step, which fails if another writer took that
+number: a writer that dies leaves nothing under it. A number whose file cannot
+be read (left by something else) is passed over by readers and writers. Rows
+without a key cannot be merged: they go to ``<path>/keyless``.
 """
 
 from __future__ import annotations
@@ -14,13 +16,15 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.merge import any_null, merge
 from tidemark.specs import TableSpec
 
 BUCKET = "bucket"
+ACTION = "__action"
 RETRIES = 5
 
 
@@ -36,6 +40,10 @@ class Pointer:
     bucket_count: int | None = None
     keys: list[str] | None = None
     columns: list[str] | None = None
+    #: Rows this version inserted and updated; None where it did not come of a merge.
+    actions: dict[str, int] | None = None
+    #: The highest number taken, readable or not.
+    taken: int = 0
 
 
 class VersionedTable:
@@ -65,25 +73,30 @@ class VersionedTable:
         fs, path = self._fs(folder)
         return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
+    def _numbers(self) -> list[int]:
+        return [int(n[:-5]) for n in self._names(f"{self.path}/_pointer") if n.endswith(".json")]
+
     def pointer(self, version: int | None = None) -> Pointer:
-        folder = f"{self.path}/_pointer"
-        names = [n for n in self._names(folder) if n.endswith(".json")]
+        numbers = self._numbers()
         if version is not None:
-            names = [n for n in names if int(n[:-5]) == version]
-            if not names:
+            found = self._load(version) if version in numbers else None
+            if found is None:
                 raise ValueError(f"{self.path} has no version {version}")
-        for name in reversed(names):
-            try:
-                doc = json.loads(self._text(f"{folder}/{name}"))
-            except json.JSONDecodeError:
-                if version is not None:
-                    raise
-                continue  # being written just now
+            return found
+        found = next(filter(None, map(self._load, reversed(numbers))), Pointer())
+        found.taken = numbers[-1] if numbers else 0
+        return found
+
+    def _load(self, number: int) -> Pointer | None:
+        """The pointer of a number; None if its file is no pointer."""
+        try:
+            doc = json.loads(self._text(f"{self.path}/_pointer/{number:020d}.json"))
             return Pointer(
                 doc["version"], {int(b): w for b, w in doc["buckets"].items()}, doc["applied"], doc["bucket_count"],
-                doc.get("keys"), doc.get("columns"),
+                doc.get("keys"), doc.get("columns"), doc.get("actions"),
             )
-        return Pointer()
+        except (ValueError, KeyError, TypeError, AttributeError):
+            return None
 
     def _text(self, file: str) -> str:
         """A small file through the file system: no job."""
@@ -102,16 +115,35 @@ class VersionedTable:
             "applied": pointer.applied,
             "keys": list(self.spec.keys),
             "columns": list(self.spec.columns),
+            "actions": pointer.actions,
         }
-        fs, path = self._fs(f"{self.path}/_pointer/{pointer.version:020d}.json")
+        fs, aside = self._fs(f"{self.path}/_pointer/aside/{uuid.uuid4().hex}")
+        _, final = self._fs(f"{self.path}/_pointer/{pointer.version:020d}.json")
+        out = fs.create(aside, False)
+        out.write(bytearray(json.dumps(doc).encode()))
+        out.close()
         try:
-            out = fs.create(path, False)  # only one writer can create a file
-        except Exception as taken:
-            if fs.exists(path):
+            self._publish(fs, aside, final)
+        except Py4JJavaError as taken:
+            if fs.exists(final):
                 raise VersionTaken(f"version {pointer.version} of {self.path} was written by someone else") from taken
             raise
-        out.write(bytearray(json.dumps(doc).encode()))
-        out.close()
+        finally:
+            fs.delete(aside, False)
+
+    def _publish(self, fs, aside, final) -> None:
+        """Give a whole file its final name in one step, or fail if the name is taken.
+
+        A rename that does not overwrite is such a step on HDFS. A local rename would replace the file, a link does not.
+        """
+        jvm = self.spark._jvm
+        if fs.getUri().getScheme() == "file":
+            paths = [jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath() for p in (final, aside)]
+            jvm.java.nio.file.Files.createLink(*paths)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+            none = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(aside, final, none)
 
     # -- reading ---------------------------------------------------------------
 
@@ -137,21 +169,25 @@ class VersionedTable:
     def _bucket(self) -> Column:
         return F.pmod(F.hash(*self.spec.keys), F.lit(self.bucket_count)).alias(BUCKET)
 
-    def _write(self, rows: DataFrame, old: Pointer, applied: tuple[str, int] | None) -> int:
-        write = f"{old.version + 1:020d}-{uuid.uuid4().hex}"
+    def _write(
+        self, rows: DataFrame, old: Pointer, applied: tuple[str, int] | None, actions: Observation | dict | None = None
+    ) -> int:
+        version = max(old.version, old.taken) + 1
+        write = f"{version:020d}-{uuid.uuid4().hex}"
         folder = f"{self.path}/data/{write}"
         rows.select(*self.spec.columns, self._bucket()).write.partitionBy(BUCKET).parquet(folder)
         written = {
             int(n.split("=")[1]): write for n in self._names(folder) if n.startswith(f"{BUCKET}=")
         }
         marks = {**old.applied, **({applied[0]: applied[1]} if applied else {})}
-        self._commit(Pointer(old.version + 1, {**old.buckets, **written}, marks))
-        return old.version + 1
+        counts = actions.get if isinstance(actions, Observation) else actions
+        self._commit(Pointer(version, {**old.buckets, **written}, marks, actions=counts))
+        return version
 
     def overwrite(self, rows: DataFrame, *, applied: tuple[str, int] | None = None) -> int:
         """Replace the whole table by rows with unique keys."""
         old = self.pointer()
-        base = Pointer(old.version, {}, old.applied)
+        base = Pointer(old.version, {}, old.applied, taken=old.taken)
         return self._write(self._by_key(self._typed(rows)), base, applied)
 
     def _typed(self, rows: DataFrame, *keep: str) -> DataFrame:
@@ -187,30 +223,33 @@ class VersionedTable:
             update=self.spec.update_columns, seq=seq, event_col=event_col, present=present,
             null_safe=self.spec.null_safe, null_keys=False,
         )
+        # One name for all attempts: a batch that loses a race sets its keyless rows apart once.
+        name = f"{applied[0]}-{applied[1]}".replace("/", "_") if applied else uuid.uuid4().hex
         try:
             for attempt in range(RETRIES):
                 old = self.pointer()
                 if applied and old.applied.get(applied[0], -1) >= applied[1]:
                     return old.version
                 try:
-                    return self._upsert(batch, old, applied, options, whole)
+                    return self._upsert(batch, old, applied, options, whole, name)
                 except VersionTaken:
                     if attempt + 1 == RETRIES:
                         raise
         finally:
             batch.unpersist()
 
-    def _upsert(self, batch: DataFrame, old: Pointer, applied: tuple[str, int] | None, options: dict, whole: bool) -> int:
+    def _upsert(
+        self, batch: DataFrame, old: Pointer, applied: tuple[str, int] | None, options: dict, whole: bool, name: str
+    ) -> int:
         keyed = batch
         keyless = F.lit(False) if self.spec.null_safe else any_null(self.spec.keys)
         found = batch.select(self._bucket(), keyless.alias("keyless")).distinct().collect()
         if any(r.keyless for r in found):
-            name = f"{applied[0]}-{applied[1]}".replace("/", "_") if applied else uuid.uuid4().hex
             batch.filter(keyless).write.mode("overwrite").parquet(f"{self.path}/keyless/{name}")
             keyed = batch.filter(~keyless)
         touched = {r[BUCKET] for r in found if not r.keyless}
         if not touched:
-            return self._write(keyed.select(*self.spec.columns), old, applied)
+            return self._write(keyed.select(*self.spec.columns), old, applied, {"inserted": 0, "updated": 0})
         buckets = old.buckets if whole else {b: w for b, w in old.buckets.items() if b in touched}
         return self._merge_into(buckets, keyed, old, applied, options)
 
@@ -229,18 +268,33 @@ class VersionedTable:
         applied: tuple[str, int] | None,
         options: dict,
     ) -> int:
-        rows = merge(self._read(buckets), batch, self.spec.keys, **options)
+        rows = merge(self._read(buckets), batch, self.spec.keys, action=ACTION, **options)
         # A null-safe join shuffles by other expressions than the bare keys.
         rows = self._by_key(rows) if self.spec.null_safe else rows
-        return self._write(rows, old, applied)
+        # Counted on the way to the files: the target is not read a second time.
+        actions = Observation()
+        rows = rows.observe(
+            actions, F.count_if(F.col(ACTION) == "insert").alias("inserted"), F.count_if(F.col(ACTION) == "update").alias("updated")
+        )
+        return self._write(rows, old, applied, actions)
 
     def vacuum(self, keep_versions: int = 2) -> list[str]:
-        """Delete pointers before the last ``keep_versions`` and the writes none of the rest uses."""
-        names = [n for n in self._names(f"{self.path}/_pointer") if n.endswith(".json")]
-        kept, gone = names[-keep_versions:], names[:-keep_versions]
-        used = {w for n in kept for w in self.pointer(int(n[:-5])).buckets.values()}
-        unused = [w for w in self._names(f"{self.path}/data") if w not in used and w[:20] <= kept[-1][:20]]
-        for name in [*(f"_pointer/{n}" for n in gone), *(f"data/{w}" for w in unused)]:
+        """Delete pointers before the last ``keep_versions`` readable ones, and the writes none of the rest uses."""
+        numbers = self._numbers()
+        kept = {n: p for n in numbers if (p := self._load(n))}
+        kept = dict(sorted(kept.items())[-keep_versions:])
+        if not kept:
+            return []
+        gone = [n for n in numbers if n < min(kept)]
+        used = {w for p in kept.values() for w in p.buckets.values()}
+        newest = f"{max(kept):020d}"
+        unused = [w for w in self._names(f"{self.path}/data") if w not in used and w[:20] <= newest]
+        for name in [*(f"_pointer/{n:020d}.json" for n in gone), *(f"data/{w}" for w in unused)]:
             fs, path = self._fs(f"{self.path}/{name}")
             fs.delete(path, True)
         return unused
+
+    def actions(self) -> DataFrame:
+        """``version, inserted, updated`` of the versions that are kept; counted as they were written (NULL: not by a merge)."""
+        rows = [(p.version, *((p.actions or {}).get(k) for k in ("inserted", "updated"))) for p in map(self._load, self._numbers()) if p]
+        return self.spark.createDataFrame(rows, "version bigint, inserted bigint, updated bigint")

@@ -8,16 +8,20 @@ from tidemark.sources.extract import (
     read_landed,
     tenant_extract,
 )
+from tidemark.sources.metadata import read_metadata
 from tidemark.sources.payloads import (
     PUSH_SCHEMA,
     json_records,
     parse_bodies,
     soap_records,
 )
+from tidemark.sources.records import Landed, field_values, read_records, read_wide, wide_records
 
 __all__ = [
+    "Landed",
     "PUSH_SCHEMA",
     "describe_fields",
+    "field_values",
     "full_extract",
     "incremental_extract",
     "json_records",
@@ -26,6 +30,10 @@ __all__ = [
     "parse_bodies",
     "project_feed",
     "read_landed",
+    "read_metadata",
+    "read_records",
+    "read_wide",
     "soap_records",
     "tenant_extract",
+    "wide_records",
 ]

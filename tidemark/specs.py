@@ -299,6 +299,26 @@ CUSTOM_VALUES = TableSpec(
     ts_col=None,
 )
 
+# Feeds that describe the custom fields of an object; a page of them names its object and tenant.
+METADATA_FEEDS: dict[str, TableSpec] = {
+    s.name: s
+    for s in (
+        TableSpec(
+            name="custom_fields", object="CustomField", keys=("Id",), columns=("Id",), ts_col=None,
+            extract=_words("Id DeveloperName CreatedDate CreatedById LastModifiedDate LastModifiedById"),
+        ),
+        TableSpec(
+            name="definitions", object="FieldDefinition", keys=("QualifiedApiName",), columns=("QualifiedApiName",), ts_col=None,
+            extract=_words("QualifiedApiName Label DataType Description"),
+        ),
+        TableSpec(
+            name="particles", object="EntityParticle", keys=("QualifiedApiName",), columns=("QualifiedApiName",), ts_col=None,
+            extract=_words("FieldDefinition.QualifiedApiName IsUnique IsDeprecatedAndHidden"),
+            types={"IsUnique": FLAG, "IsDeprecatedAndHidden": FLAG},
+        ),
+    )
+}
+
 SYNC_LOG = TableSpec(
     name="sync_log",
     object="sync_log",
