@@ -1,4 +1,5 @@
 from tidemark.plans.custom import CustomChanges, custom_changes, run_custom_fields, sync_custom_fields, upsert_values
+from tidemark.plans.replay import pending, replay
 from tidemark.plans.sync import Synced, SyncRun, log_updates, run_feed, sync, sync_report, watermarks
 from tidemark.plans.together import FeedSource, sync_all
 
@@ -9,6 +10,8 @@ __all__ = [
     "Synced",
     "custom_changes",
     "log_updates",
+    "pending",
+    "replay",
     "run_custom_fields",
     "run_feed",
     "sync",

@@ -11,6 +11,7 @@ from tidemark.plans.catalog import (  # noqa: F401  (each module registers its q
     extracts,
     flows,
     pushes,
+    records,
     scalars,
     streams,
     upserts,

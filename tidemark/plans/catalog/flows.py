@@ -8,12 +8,13 @@ from tidemark.operators import conform_source
 from tidemark.operators.sizing import measured
 from tidemark.plans.catalog.registry import Tables, plain, query
 from tidemark.plans.catalog.standins import LATE, MID, RUN_TS, ident, sql_ident, sql_ts, ts
+from tidemark.plans.replay import pending, replay
 from tidemark.plans.sync import SyncRun, extract_stats, run_feed, sync, sync_report, tenant_marks, watermarks
 from tidemark.plans.together import FeedSource, sync_all as run_all
 from tidemark.sinks import shared_folder
 from tidemark.sources import read_landed, tenant_extract
 from tidemark.specs import ACCOUNTS, ACTIVITIES, CALL_STAGES, CONTACTS, HISTORY, OPPORTUNITIES, SYNC_LOG, USERS
-from tidemark.streaming import PushSink, apply_pushed
+from tidemark.streaming import PushSink, apply_pushed, start_feed_stream
 
 
 def companies(t: Tables) -> DataFrame:
@@ -213,6 +214,83 @@ def feed_quarantine(t: Tables) -> DataFrame:
     return fates.groupBy("fate").agg(F.count("*").alias("n_rows"))
 
 
+def _broken_lines(t: Tables, folder: str) -> None:
+    """Every order as a landed line, some of them broken as ``_FATE`` says."""
+    fate = F.expr(_FATE)
+    line = F.to_json(F.struct(
+        ident("006", "o_orderkey").alias("Id"),
+        F.when(fate == "missing_tenant", None).when(fate == "unknown_tenant", "nobody").otherwise((F.col("o_custkey") % 25).cast("string")).alias("CompanyId"),
+        F.concat(F.when(fate == "bad_Amount", "about ").otherwise(""), F.col("o_totalprice").cast("string")).alias("Amount"),
+        F.when(fate == "bad_LastModifiedDate", "2024-01-01 00:00:00").otherwise("2024-01-01T00:00:00Z").alias("LastModifiedDate"),
+        F.struct(F.col("o_clerk").alias("Name")).alias("Owner"),
+    ))
+    t.orders.withColumn("o_clerk", F.col("o_orderpriority")).select(
+        F.when(fate == "corrupt", F.concat(line, F.lit("]"))).otherwise(line).alias("value")
+    ).write.text(folder)
+
+
+def repaired(rows: DataFrame) -> DataFrame:
+    """What an operator would do to the broken orders: cut lines, amounts, times, and tenants looked up elsewhere."""
+    line = F.from_json(F.regexp_replace("_corrupt_record", r"\]$", ""), "Id string, CompanyId string, Amount string, LastModifiedDate string, Owner struct<Name: string, Email: string>")
+    rows = rows.withColumn("line", line)
+    rows = rows.withColumns({c: F.coalesce(F.col(f"line.{c}"), F.col(c)) for c in ("Id", "CompanyId", "Amount", "LastModifiedDate", "Owner")})
+    return rows.withColumns({
+        "_corrupt_record": F.lit(None).cast("string"),
+        "Amount": F.regexp_replace("Amount", "^about ", ""),
+        "LastModifiedDate": F.translate("LastModifiedDate", " ", "T"),
+        "CompanyId": F.coalesce("CompanyId", F.lit("0")),
+    }).drop("line")
+
+
+@query(
+    f"""
+SELECT CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR ({_FATE}) NOT IN ('missing_tenant', 'unknown_tenant') THEN CAST(o_custkey % 25 AS VARCHAR)
+            WHEN ({_FATE}) = 'missing_tenant' THEN '0' ELSE 'nobody' END AS "CompanyId",
+       {sql_ident('006', 'o_orderkey')} AS id, o_totalprice AS amount, o_orderpriority AS owner,
+       0 AS left_pending, 0 AS stored_again, 1 AS n_rows
+FROM orders
+"""
+)
+def quarantine_replay(t: Tables) -> DataFrame:
+    """A feed with broken lines; the quarantine repaired and replayed, twice: every order stored once, nothing left."""
+    root, spec = shared_folder(t.spark, "quarantine-replay"), OPPORTUNITIES
+    _broken_lines(t, f"{root}/landed")
+    run = SyncRun(t.spark, f"{root}/tables", buckets=8)
+    run_feed(run, spec, read_landed(t.spark, f"{root}/landed", spec, "json"), companies(t), run_ts=RUN_TS)
+    known = companies(t).unionByName(t.spark.createDataFrame([("nobody",)], "Id string"))
+    replay(run, spec, known, run_ts=RUN_TS, repair=repaired)
+    again = replay(run, spec, known, run_ts=LATE, repair=repaired)
+    left, twice = pending(run, spec.name).count(), again.agg(F.coalesce(F.sum("stored"), F.lit(0))).first()[0]
+    rows = run.table(spec).read().groupBy("CompanyId", F.col("SalesforceId").alias("id")).agg(
+        F.max("Amount").alias("amount"), F.max("OwnerName").alias("owner"), F.count("*").alias("n_rows")
+    )
+    return plain(rows.withColumns({"left_pending": F.lit(left), "stored_again": F.lit(twice)}))
+
+
+@query(
+    f"""
+WITH r AS (SELECT l_orderkey, max(l_shipdate) AS modified FROM lineitem GROUP BY ALL)
+SELECT CAST(l_orderkey % 25 AS VARCHAR) AS "CompanyId", {sql_ident('006', 'l_orderkey')} AS id, modified, max(modified) OVER (PARTITION BY l_orderkey % 25) AS watermark
+FROM r
+"""
+)
+def stream_feed(t: Tables) -> DataFrame:
+    """A feed that lands three times, out of order; a run after each landing. Equal to one run over all lines."""
+    root, spec = shared_folder(t.spark, "stream-feed"), OPPORTUNITIES
+    run = SyncRun(t.spark, f"{root}/tables", buckets=8)
+    line = F.to_json(F.struct(
+        ident("006", "l_orderkey").alias("Id"), (F.col("l_orderkey") % 25).cast("string").alias("CompanyId"),
+        F.col("l_returnflag").alias("StageName"), F.concat(F.translate(F.col("l_shipdate").cast("string"), " ", "T"), F.lit("Z")).alias("LastModifiedDate"),
+    ))
+    for landing in (2, 0, 1):
+        t.lineitem.where(F.col("l_linenumber") % 3 == landing).select(line.alias("value")).write.mode("append").text(f"{root}/landed")
+        rows = read_landed(t.spark, f"{root}/landed", spec, "json", stream=True, maxFilesPerTrigger="4")
+        start_feed_stream(run, spec, rows, lambda: companies(t), f"{root}/checkpoint", writer="hourly", run_ts=RUN_TS).awaitTermination()
+    marks = watermarks(run.table(SYNC_LOG).read(), spec.log_key).select("CompanyId", F.col("last_sync").alias("watermark"))
+    table = run.table(spec).read().select("CompanyId", F.col("SalesforceId").alias("id"), F.col("LastModifiedDate").alias("modified"))
+    return table.join(marks, "CompanyId", "left")
+
+
 @query(
     f"""
 WITH a AS (SELECT c_custkey AS k, c_nationkey AS tenant, c_name AS name FROM customer),

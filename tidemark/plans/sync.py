@@ -18,7 +18,7 @@ from tidemark.operators import conform_source, merge, type_rules
 from tidemark.operators.sizing import measured
 from tidemark.sinks import VersionedTable
 from tidemark.sources import judged_extract, only_referencing
-from tidemark.sources.extract import feed_instant
+from tidemark.sources.extract import LANDING, feed_instant
 from tidemark.specs import FEEDS, SYNC_LOG, TENANT, TableSpec
 from tidemark.workspace import PLACE, scratch, staged
 
@@ -236,8 +236,9 @@ def run_feed(
 
     The source is read and judged once, into the shared folder: rows, bad rows,
     counts and watermark all come from there, whatever arrives meanwhile; the
-    folder is emptied when the run ends. Rows of one key and time are applied in
-    the order they were read in, after ``seq``. Order matters for a restart:
+    folder is emptied when the run ends. Rows of one key and time are applied by
+    ``seq`` (default: the order landed files came in), then in the order they
+    were read in. Order matters for a restart:
     rows, then the bad rows, then the log. A run that dies before the log is read
     again from the old watermark, and the keyed merge makes the repetition
     harmless.
@@ -247,7 +248,7 @@ def run_feed(
         marks = tenant_marks(companies, log.read(), spec.log_key)
         judged = staged(judge(spec, source, marks, overlap=overlap), f"feed-{spec.name}", place=True)
         batch, good, bad = extract_batch(spec, judged, related=related)
-        rows, order = batch_rows(spec, good, [*(seq or ()), PLACE])
+        rows, order = batch_rows(spec, good, read_order(source, seq))
         run.table(spec).upsert(rows, seq=order)
         set_apart(bad).write.mode("overwrite").json(f"{run.quarantine(spec.name)}/run={stamp(run_ts)}")
         stats = staged(extract_stats(batch, spec.ts_col), "stats")
@@ -257,7 +258,17 @@ def run_feed(
     return report
 
 
+def read_order(source: DataFrame, seq: Sequence[str] | None = None) -> list[str]:
+    """Columns that order rows of one key and time in a stage of ``source``."""
+    return [*(seq or [c for c in (LANDING,) if c in source.columns]), PLACE]
+
+
+def event_column(spec: TableSpec) -> str | None:
+    """The target column that holds a row's own time, if the table keeps it."""
+    return next((c for c in spec.columns if spec.source_of(c) == spec.ts_col and c in spec.dates), None)
+
+
 def set_apart(bad: DataFrame) -> DataFrame:
     """Bad rows as stored for replay: reasons, and the row as JSON text."""
-    body = [c for c in bad.columns if c not in ("reasons", PLACE)]
+    body = [c for c in bad.columns if c not in ("reasons", PLACE, LANDING)]
     return bad.select("reasons", F.to_json(F.struct(*body)).alias("row"))

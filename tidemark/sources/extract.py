@@ -11,6 +11,8 @@ from tidemark.functions import instant, to_millis
 from tidemark.specs import TENANT, TableSpec
 
 CORRUPT = "_corrupt_record"
+#: Order of landed rows: time and name of their file, place of their block in it.
+LANDING = "landing"
 
 
 def read_landed(
@@ -18,6 +20,8 @@ def read_landed(
     path: str | list[str],
     spec: TableSpec,
     fmt: str = "parquet",
+    *,
+    stream: bool = False,
     **options: str,
 ) -> DataFrame:
     """Every landed page of a feed, with the feed's own schema (nothing is inferred).
@@ -27,26 +31,38 @@ def read_landed(
     field is read as text, and a line that cannot be read stays whole in
     ``_corrupt_record``, so that nothing is lost before it is judged. A JSON page
     may be a response as it came: ``{"records": [...]}`` gives its records.
+    ``landing`` is the order files landed in, which decides between rows of one
+    key and time. ``stream`` reads files as they land, each once.
     """
-    reader = spark.read.format(fmt).options(**options)
+    reader = (spark.readStream if stream else spark.read).format(fmt).options(**options)
     if fmt == "jdbc":
         return reader.load()
     if fmt not in ("json", "csv", "xml"):
-        return reader.load(path)
+        if stream:  # a stream has to be told; the files there now tell it
+            reader = reader.schema(spark.read.format(fmt).options(**options).load(path).schema)
+        return reader.load(path).select("*", _landing())
     fields = {n: k for n, k in spec.text_fields.items() if fmt != "csv" or k == "string"}
     schema = ", ".join(f"`{n}` {k}" for n, k in fields.items())
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if fmt != "json":
-        return reader.schema(f"{schema}, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).load(path)
+        return reader.schema(f"{schema}, {CORRUPT} string").load(path).select("*", _landing())
     inner = ", ".join(f"`{n}`: {k}" for n, k in fields.items())
-    pages = reader.schema(f"{schema}, records array<struct<{inner}>>, {CORRUPT} string").option("columnNameOfCorruptRecord", CORRUPT).load(path)
+    pages = reader.schema(f"{schema}, records array<struct<{inner}>>, {CORRUPT} string").load(path).select("*", _landing())
     own = F.struct(*[F.col(f"`{n}`") for n in fields])
     rows = F.explode(F.when(F.col("records").isNotNull(), F.col("records")).otherwise(F.array(own)))
     tenant = F.coalesce(F.col("r")[TENANT], F.col("page")).alias(TENANT)
-    return pages.select(rows.alias("r"), F.col(TENANT).alias("page"), CORRUPT).select(
-        *[F.col("r")[n].alias(n) for n in fields if n != TENANT], tenant, CORRUPT
+    return pages.select(rows.alias("r"), F.col(TENANT).alias("page"), CORRUPT, LANDING).select(
+        *[F.col("r")[n].alias(n) for n in fields if n != TENANT], tenant, CORRUPT, LANDING
     )
 
 
+def _landing() -> Column:
+    return F.struct(
+        F.col("_metadata.file_modification_time").alias("landed"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    ).alias(LANDING)
+
+
 def project_feed(df: DataFrame, spec: TableSpec, *extra: str) -> DataFrame:
     """The feed's fixed projection, as far as the source has the columns."""
     heads = dict.fromkeys(name.split(".")[0] for name in (*spec.extract, *extra))

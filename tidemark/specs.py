@@ -328,6 +328,16 @@ SYNC_LOG = TableSpec(
     ts_col=None,
 )
 
+# Which rows of the quarantine have been dealt with.
+SETTLED = TableSpec(
+    name="settled",
+    object="settled",
+    keys=("feed", "run", "digest"),
+    columns=_words("feed run digest outcome settled_at"),
+    types={"settled_at": INSTANT},
+    ts_col=None,
+)
+
 CONFIG = TableSpec(
     name="config",
     object="config",

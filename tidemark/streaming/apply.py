@@ -125,7 +125,7 @@ def apply_route(sink: PushSink, route: str, records: DataFrame, query: str, batc
     )
 
 
-def _start(
+def start(
     stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None
 ) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
@@ -137,7 +137,7 @@ def start_push_stream(
     sink: PushSink, bodies: DataFrame, checkpoint: str, *, interval: str | None = None
 ) -> StreamingQuery:
     """Apply a stream of bodies; without an interval, what is there now and then stop."""
-    return _start(bodies, lambda df, batch_id: apply_pushed(sink, df, batch_id), checkpoint, interval)
+    return start(bodies, lambda df, batch_id: apply_pushed(sink, df, batch_id), checkpoint, interval)
 
 
 def start_upsert_stream(
@@ -163,4 +163,4 @@ def start_upsert_stream(
             applied=(f"{writer}/{query_of(df)}", batch_id),
         )
 
-    return _start(rows, batch, checkpoint, interval)
+    return start(rows, batch, checkpoint, interval)
