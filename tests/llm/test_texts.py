@@ -89,9 +89,9 @@ def test_a_reader_decompresses_only_the_frames_it_needs_and_checks_them():
 
 def test_words_beyond_the_memory_are_encoded_again(monkeypatch):
     monkeypatch.setattr(token_files.WordEncoder, "KEEP_WORDS", 3)
-    monkeypatch.setattr(token_files.WordEncoder, "KEEP_PIECES", 2)
+    monkeypatch.setattr(token_files.WordEncoder, "STRETCH", 30)
     encode = token_files.WordEncoder(P.path("word_bpe_49k.json"))
-    texts = ["one two, three four", "five two six-seven one", "Eight's nine"]
+    texts = ["one two, three four", "five two six-seven one", "Eight's nine", "long words\tand ΣΊΣ \u0301x " * 9, "²x Ⅷ 12", "a" * 200 + " b", ""]
     assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [i[:-1] for i in plain_ids(library(), texts)]
 
 

@@ -13,12 +13,15 @@ worst an unlisted file.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import unicodedata
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from collections import ChainMap
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,18 +46,22 @@ _MANIFEST = "shard int, path string, documents long, tokens long"
 
 
 class WordEncoder:
-    """Encode texts with a tokenizer file whose words never reach across blanks.
+    """Encode texts with a tokenizer file whose pieces never reach across blanks.
 
-    The tokenizer drops white space and treats each word alone, so a text's ids are those of its blank-separated
-    words in a row. Known words are looked up; new ones are cut at the tokenizer's own word pattern, and new pieces
-    are encoded by the library, many in one call. Both memories are bounded; words beyond them are just encoded again.
+    The tokenizer lowers a text, drops white space and cuts the rest by its own pattern; each piece is encoded alone. A plain
+    text is checked, lowered and split in one call each, and its words are looked up. New words are cut into pieces, new pieces
+    are encoded by the library, many in one call. A text that holds anything the normaliser treats specially is encoded word by
+    word, odd words by the whole tokenizer. The memory of words is bounded; what is beyond it is just encoded again.
     """
 
     #: The split pattern of the tokenizer file (a fixed value).
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    KEEP_WORDS, KEEP_PIECES, LONG = 500_000, 800_000, 64
+    #: The same in the standard library's faster terms, for texts without numbers beyond 0 to 9.
+    COMMON = r"[^\W\d_]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+"
+    KEEP_WORDS, LONG, STRETCH = 800_000, 64, 1 << 20
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already fill the cores
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
@@ -62,48 +69,100 @@ class WordEncoder:
         self.bare.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        self.cut = regex.compile(self.PIECES).findall
+        vocabulary, mark = self.whole.get_vocab(), self.whole.model.end_of_word_suffix
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if mark and t.endswith(mark)]] = True
+        self.cut_any = regex.compile(self.PIECES).findall
+        self.cut_common = re.compile(self.COMMON).findall
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def __call__(self, batch: Sequence[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in batch]
-        fresh = self._new_words(set(chain.from_iterable(parts)) - self.words.keys())
-        words = self.words
-        if len(words) + len(fresh) <= self.KEEP_WORDS:
-            words.update((w, v) for w, v in fresh.items() if len(w) <= self.LONG)
-        return [b"".join([words[w] if w in words else fresh[w] for w in p]) for p in parts]
+        texts = [t.replace("\n", " ") for t in batch]
+        out: list[bytes] = [b""] * len(texts)
+        plain = [i for i, t in enumerate(texts) if len(t) <= self.STRETCH and self._plain(t)]
+        for i, ids in zip(plain, self._sound([texts[i].lower().split(" ") for i in plain])):
+            out[i] = ids
+        for i in set(range(len(texts))).difference(plain):
+            out[i] = b"".join(map(self._stretch, _stretches(texts[i], self.STRETCH)))
+        return out
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        """Whether the normaliser does nothing but lower it."""
+        if not text.isprintable() or "<|" in text:
+            return False
+        return text.isascii() or not ("Σ" in text or "İ" in text) and unicodedata.is_normalized("NFC", text)
+
+    def _stretch(self, text: str) -> bytes:
+        if self._plain(text):
+            return self._sound([text.lower().split(" ")])[0]
+        words = text.split(" ")
+        kinds = {w: self._plain(w) for w in set(words)}
+        sound, odd = ([w for w, ok in kinds.items() if ok is kind] for kind in (True, False))
+        found = dict(zip(sound, self._sound([[w.lower()] for w in sound])))
+        found |= {w: _bytes(e.ids) for w, e in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False))}
+        return b"".join(map(found.__getitem__, words))
+
+    def _sound(self, parts: list[list[str]]) -> list[bytes]:
+        """The ids of texts given as plain words in lower case."""
+        new = set(chain.from_iterable(parts)).difference(self.words)
+        known = self._kept(self._new_words(new)) if new else self.words
+        return [b"".join(map(known.__getitem__, p)) for p in parts]
 
     def _new_words(self, new: set[str]) -> dict[str, bytes]:
-        cut, odd = {}, []
-        for w in new:
-            # anything the normaliser treats specially goes through the whole tokenizer
-            if len(w) > self.LONG or not w.isprintable() or "<|" in w or "Σ" in w or "İ" in w or not unicodedata.is_normalized("NFC", w):
-                odd.append(w)
-            else:
-                cut[w] = self.cut(w.lower())
-        fresh = self._new_pieces(set(chain.from_iterable(cut.values())) - self.pieces.keys())
-        if len(self.pieces) + len(fresh) <= self.KEEP_PIECES:
-            self.pieces.update(fresh)
-            fresh = {}
-        known = self.pieces
-        found = {w: b"".join([known[p] if p in known else fresh[p] for p in ps]) for w, ps in cut.items()}
-        found |= {w: _bytes(e.ids) for w, e in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False))}
-        return found
+        """New words and the new pieces they are made of; a word of letters is its own piece."""
+        cut = {w: self.cut(w) for w in new if not w.isalpha()}
+        pieces = new.difference(cut)
+        pieces.update(set(chain.from_iterable(cut.values())).difference(self.words))
+        fresh = self._new_pieces(pieces)
+        known = self.words
+        fresh |= {w: b"".join([fresh[x] if x in fresh else known[x] for x in p]) for w, p in cut.items()}
+        return fresh
+
+    def cut(self, word: str) -> Sequence[str]:
+        """The pieces of a plain word in lower case."""
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return word[:-1], word[-1]
+        if word.isascii() or not any(map(str.isnumeric, set(word).difference("0123456789"))):
+            return self.cut_common(word)
+        return self.cut_any(word)
+
+    def _kept(self, fresh: dict[str, bytes]) -> Mapping[str, bytes]:
+        """Remember what fits; returns all there is for this call."""
+        memory, room = self.words, self.KEEP_WORDS - len(self.words)
+        if len(fresh) <= room and max(map(len, fresh)) <= self.LONG:
+            memory.update(fresh)
+            return memory
+        memory.update(islice(((k, v) for k, v in fresh.items() if len(k) <= self.LONG), max(room, 0)))
+        return ChainMap(fresh, memory)
 
     def _new_pieces(self, new: set[str]) -> dict[str, bytes]:
-        """Pieces encoded 128 at a time; the tokens' offsets tell where each begins."""
+        """Pieces encoded many at a time; the last token of a piece is one that ends a word."""
         found: dict[str, bytes] = {}
         order = list(new)
-        groups = [order[i:i + 128] for i in range(0, len(order), 128)]
-        for group, made in zip(groups, self.bare.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(made.ids, "<u4").tobytes()
-            at = np.cumsum([0, *(len(p) + 1 for p in group)])
-            cuts = (np.searchsorted([a for a, _ in made.offsets], at) * 4).tolist()
-            found |= {p: ids[a:b] for p, a, b in zip(group, cuts, cuts[1:])}
+        groups = [order[i:i + 512] for i in range(0, len(order), 512)]
+        for group, made in zip(groups, self.bare.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(made.ids, "<u4")
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+            if len(ends) != len(group):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            found.update(zip(group, map(ids.tobytes().__getitem__, map(slice, [0, *ends], ends))))
         return found
 
 
+def _stretches(text: str, size: int) -> Iterator[str]:
+    """A long text in stretches of about ``size`` characters, cut at blanks; one without blanks stays whole."""
+    at = 0
+    while len(text) - at > size:
+        end = text.rfind(" ", at, at + size)
+        end = end if end > at else text.find(" ", at + size)
+        if end < 0:
+            break
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 def _bytes(ids: Iterable[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
