@@ -268,3 +268,39 @@ def test_a_landed_batch_is_applied_once(spark, tmp_path, monkeypatch):
     apply()
     assert run.table(ACCOUNTS).version == version == 1 and run.table(ACCOUNTS).read().count() == 1
     assert pending(run, "accounts").count() == 1 and run.table(SYNC_LOG).read().count() == 1
+
+
+# Ordered extracts ---------------------------------------------------------------
+
+
+def test_ordered_files_and_their_manifest(spark, tmp_path):
+    from tidemark.sinks import read_ordered, write_ordered
+
+    values = [None, 1, 2, 2, 2, 5, 9]
+    df = spark.range(3000).select(F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("id") % 7 + 1).cast("int")).alias("t"), F.concat(F.lit("k"), "id").alias("k"))
+    listed = write_ordered(df, str(tmp_path / "o"), ["t", "k"], files=8)
+    want = sorted(((r.t, r.k) for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = read_ordered(spark, str(tmp_path / "o"))
+    assert [(r.t, r.k) for r in sorted(got.collect(), key=lambda r: r.position)] == want
+    assert sorted(r.position for r in got.collect()) == list(range(3000)) and "Sort [" not in got._jdf.queryExecution().optimizedPlan().toString()
+    files = listed.orderBy("part").collect()
+    assert sum(f.n_rows for f in files) == 3000 and max(f.n_rows for f in files) < 1000  # the hot value is split
+    assert all(tuple(a["last"])[1] is not None and (a["last"]["t"] or 0, a["last"]["k"]) < (b["first"]["t"] or 0, b["first"]["k"]) for a, b in zip(files, files[1:]))
+    some = read_ordered(spark, str(tmp_path / "o"), {"t": 2}, {"t": 5})
+    assert sorted((r.position, r.t) for r in some.collect()) == [(i, t) for i, (t, _) in enumerate(want) if t in (2, 5)]
+    opened = {f.rpartition("/")[2] for f in some.inputFiles() if "/data/" in f}
+    assert opened == {f.file.rpartition("/")[2] for f in files if f["last"]["t"] is not None and f["last"]["t"] >= 2 and (f["first"]["t"] or 0) <= 5}
+    assert read_ordered(spark, str(tmp_path / "o"), {"t": 100}).count() == 0
+    write_ordered(df.limit(0), str(tmp_path / "e"), ["t", "k"])
+    assert read_ordered(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_a_user_with_several_rows_gives_the_first(spark, tmp_path):
+    from tidemark.specs import OPPORTUNITIES
+    from tidemark.streaming import PushSink, apply_pushed
+
+    users = spark.createDataFrame([("u", "second", None, 2), ("u", "first", None, 1)], "Id string, Name string, Email string, seq int")
+    sink = PushSink(SyncRun(spark, str(tmp_path), 2), "push", users=lambda: users, run_ts=DAY)
+    body = json.dumps({"Id": "o", "OwnerId": "u"})
+    apply_pushed(sink, spark.createDataFrame([("opportunities", "json", body, "1", DAY, 1)], "object_type string, content_type string, body string, company_id string, received_at timestamp_ntz, seq bigint"), 0)
+    assert [r.OwnerName for r in sink.run.table(OPPORTUNITIES).read().collect()] == ["first"]

@@ -6,21 +6,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import conform_source
 from tidemark.operators.sizing import measured
-from tidemark.plans.catalog.registry import Tables, plain, query
+from tidemark.plans.catalog.registry import Tables, companies, plain, query
+from tidemark.plans.catalog.records import ALL_FIELDS, FIELD_PAIRS, VALUES_SQL, field_metadata, land_records
 from tidemark.plans.catalog.standins import LATE, MID, RUN_TS, ident, sql_ident, sql_ts, ts
 from tidemark.plans.replay import pending, replay
 from tidemark.plans.sync import SyncRun, extract_stats, run_feed, sync, sync_report, tenant_marks, watermarks
 from tidemark.plans.together import FeedSource, sync_all as run_all
-from tidemark.sinks import shared_folder
-from tidemark.sources import read_landed, tenant_extract
-from tidemark.specs import ACCOUNTS, ACTIVITIES, CALL_STAGES, CONTACTS, HISTORY, OPPORTUNITIES, SYNC_LOG, USERS
+from tidemark.sinks import read_ordered, shared_folder, write_ordered
+from tidemark.sources import read_landed, read_records, tenant_extract
+from tidemark.specs import (
+    ACCOUNTS,
+    ACTIVITIES,
+    CALL_STAGES,
+    CONTACTS,
+    CUSTOM_ATTRIBUTES,
+    CUSTOM_VALUES,
+    HISTORY,
+    OPPORTUNITIES,
+    SYNC_LOG,
+    USERS,
+)
 from tidemark.streaming import PushSink, apply_pushed, start_feed_stream
 
 
-def companies(t: Tables) -> DataFrame:
-    return t.nation.select(F.col("n_nationkey").cast("string").alias("Id"))
-
-
 def sync_log(t: Tables, *tables: str) -> DataFrame:
     """A log with a watermark for every nation outside one region."""
     names = F.explode(F.array(*[F.lit(x) for x in tables]))
@@ -360,3 +368,119 @@ def sync_all(t: Tables) -> DataFrame:
     ]
     report = run_all(run, feeds, companies(t), run_ts=RUN_TS)
     return report.select("feed", "CompanyId", "sync_type", "records_processed", F.col("success").cast("string").alias("success"))
+
+
+_ORDER_KEY = "CompanyId, LastModifiedDate, Id"
+
+
+@query(
+    f"""
+SELECT {sql_ident('006', 'o_orderkey')} AS "Id", o_orderdate AS "LastModifiedDate",
+       row_number() OVER (ORDER BY CAST(c_nationkey AS VARCHAR), o_orderdate, {sql_ident('006', 'o_orderkey')}) - 1 AS position
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+)
+def ordered_extract(t: Tables) -> DataFrame:
+    """A full extract in order of tenant and time, written as consecutive ranges and read back by position, without a sort."""
+    path = shared_folder(t.spark, "ordered-extract")
+    write_ordered(opportunities_by_tenant(t), path, _ORDER_KEY.split(", "))
+    return read_ordered(t.spark, path).select("Id", "LastModifiedDate", "position")
+
+
+@query(
+    f"""
+SELECT {sql_ident('006', 'o_orderkey')} AS "Id", row_number() OVER (ORDER BY CAST(c_nationkey AS VARCHAR), o_orderdate, {sql_ident('006', 'o_orderkey')}) - 1 AS position
+FROM orders JOIN customer ON o_custkey = c_custkey QUALIFY c_nationkey = 7
+"""
+)
+def ordered_range(t: Tables) -> DataFrame:
+    """One tenant of the same extract: only the files whose ranges can hold it are opened."""
+    path = shared_folder(t.spark, "ordered-range")
+    write_ordered(opportunities_by_tenant(t), path, _ORDER_KEY.split(", "))
+    return read_ordered(t.spark, path, {"CompanyId": "7"}, {"CompanyId": "7"}).select("Id", "position")
+
+
+@query(
+    f"""
+WITH a AS (SELECT o_orderkey, CASE WHEN o_orderdate <= {sql_ts(LATE)} THEN 1 END AS old FROM orders),
+b AS (SELECT o_orderkey, CASE WHEN o_orderdate > {sql_ts(MID)} THEN 1 END AS new FROM orders)
+SELECT 1 AS version, -1 AS inserted, -1 AS updated
+UNION ALL SELECT 2, count(*) FILTER (old IS NULL), count(*) FILTER (old IS NOT NULL) FROM a JOIN b USING (o_orderkey) WHERE new IS NOT NULL
+UNION ALL SELECT 3, 0, count(*) FROM a
+"""
+)
+def stored_actions(t: Tables) -> DataFrame:
+    """Rows inserted and updated by each write of a stored table, counted by the writes; a version that was no merge has none."""
+    spec = OPPORTUNITIES.with_tenant()
+    table = SyncRun(t.spark, shared_folder(t.spark, "stored-actions"), buckets=8).table(OPPORTUNITIES)
+    feed = conform_source(opportunities_by_tenant(t), spec)
+    table.overwrite(feed.where(F.col("LastModifiedDate") <= ts(LATE)))
+    table.upsert(feed.where(F.col("LastModifiedDate") > ts(MID)))
+    table.upsert(feed)
+    return table.actions().fillna(-1)
+
+
+_EVERYTHING = {
+    "accounts": ("'001' || CAST(c_custkey AS VARCHAR)", "c_nationkey", "c_name", "customer"),
+    "contacts": ("'003' || CAST(c_custkey AS VARCHAR)", "c_nationkey", "c_mktsegment", "customer"),
+    "opportunities": ("'006' || CAST(o_orderkey AS VARCHAR)", "c_nationkey", "o_orderpriority", "orders JOIN customer ON o_custkey = c_custkey"),
+    HISTORY.name: ("'008' || CAST(o_orderkey AS VARCHAR)", "c_nationkey", "o_orderstatus", "orders JOIN customer ON o_custkey = c_custkey"),
+    CALL_STAGES.name: ("'01J' || CAST(p_partkey AS VARCHAR)", "p_partkey % 25", "p_name", "part"),
+}
+_EVERYTHING_SQL = " UNION ALL ".join(
+    f"SELECT '{feed}' AS feed, CAST({tenant} AS VARCHAR) AS \"CompanyId\", {key} AS id, {label} AS label FROM {source}"
+    for feed, (key, tenant, label, source) in _EVERYTHING.items()
+)
+
+
+@query(
+    f"""
+{_EVERYTHING_SQL}
+UNION ALL SELECT '{ACTIVITIES.name}', CAST(any_value(c_nationkey) AS VARCHAR), '00T' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), '006' || CAST(l_orderkey AS VARCHAR)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY l_orderkey, l_linenumber
+UNION ALL SELECT 'custom_values', "CompanyId", "ObjectType" || '/' || "ExternalId" || '/' || "Name", value FROM ({VALUES_SQL})
+UNION ALL SELECT 'custom_attributes', CAST(n_nationkey AS VARCHAR), o || '/' || a, 'Text' FROM nation CROSS JOIN (VALUES {FIELD_PAIRS}) f(o, a)
+UNION ALL SELECT 'failed', NULL, '{USERS.name}', 'the feed is gone'
+"""
+)
+def sync_everything(t: Tables) -> DataFrame:
+    """All eight feeds of all tenants in one run, custom fields of four objects among them: the rows of every table. One feed fails."""
+    root = shared_folder(t.spark, "sync-everything")
+    run = SyncRun(t.spark, f"{root}/tables", buckets=8)
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    tenant, late = F.col("c_nationkey").cast("string").alias("CompanyId"), ts(LATE).alias("LastModifiedDate")
+    lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        ident("00T", "l_orderkey", "l_linenumber").alias("Id"), ident("006", "l_orderkey").alias("WhatId"), tenant, F.col("l_shipdate").alias("LastModifiedDate"),
+    )
+    history = orders.select(
+        ident("008", "o_orderkey").alias("Id"), F.col("o_orderstatus").alias("StageName"), tenant, F.col("o_orderdate").alias(HISTORY.ts_col)
+    )
+    contacts = t.customer.select(ident("003", "c_custkey").alias("Id"), F.col("c_mktsegment").alias("LastName"), tenant, late)
+    broken = users_by_tenant(t).withColumn("Name", F.raise_error(F.lit("the feed is gone")).cast("string"))
+    stages = t.part.select(
+        ident("01J", "p_partkey").alias("Id"), F.col("p_name").alias("MasterLabel"), (F.col("p_partkey") % 25).cast("string").alias("CompanyId"), late,
+    )
+    feeds = [
+        FeedSource(ACCOUNTS, accounts_by_tenant(t)), FeedSource(OPPORTUNITIES, opportunities_by_tenant(t)), FeedSource(CONTACTS, contacts),
+        FeedSource(ACTIVITIES, lines, related=OPPORTUNITIES.name), FeedSource(HISTORY, history), FeedSource(USERS, broken),
+        FeedSource(CALL_STAGES, stages),
+    ]
+    land_records(t, f"{root}/records")
+    custom = (field_metadata(t, ALL_FIELDS), read_records(t.spark, f"{root}/records", "LastModifiedDate"))
+    report = run_all(run, feeds, companies(t), run_ts=RUN_TS, custom=custom)
+    labels = [
+        (ACCOUNTS, "Name"), (CONTACTS, "LastName"), (OPPORTUNITIES, "StageName"), (HISTORY, "StageName"), (CALL_STAGES, "CallStage"),
+        (ACTIVITIES, "WhatId"), (USERS, "Name"),
+    ]
+    out = report.where("NOT success").select(
+        F.lit("failed").alias("feed"), "CompanyId", F.col("feed").alias("id"), F.regexp_extract("error", "the feed is gone", 0).alias("label")
+    )
+    for spec, label in labels:
+        out = out.unionByName(run.table(spec).read().select(F.lit(spec.name).alias("feed"), "CompanyId", F.col(spec.keys[0]).alias("id"), F.col(label).alias("label")))
+    values = run.table(CUSTOM_VALUES).read().select(
+        F.lit("custom_values").alias("feed"), "CompanyId", F.concat_ws("/", "ObjectType", "ExternalId", "Name").alias("id"), F.col("Value").alias("label")
+    )
+    attributes = run.table(CUSTOM_ATTRIBUTES).read().select(
+        F.lit("custom_attributes").alias("feed"), "CompanyId", F.concat_ws("/", "ObjectType", "Name").alias("id"), F.col("DataType").alias("label")
+    )
+    return out.unionByName(values).unionByName(attributes)

@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators import push_outcomes, route_records
 from tidemark.plans.catalog.registry import Tables, query
+from tidemark.plans.catalog.standins import RUN_TS, ident
+from tidemark.plans.sync import SyncRun
+from tidemark.sinks import shared_folder
 from tidemark.sources import json_records, parse_bodies, soap_records
+from tidemark.specs import ACTIVITIES, OPPORTUNITIES
+from tidemark.streaming import PushSink, apply_pushed
 
 
 def escaped(text: Column) -> Column:
@@ -205,3 +210,29 @@ def push_outcome(t: Tables) -> DataFrame:
     content = F.when(form.isin(4, 5), "application/soap+xml").otherwise("application/json")
     bodies = t.events.select(*push("event_id", _by_type(_ROUTE), content, body))
     return push_outcomes(parse_bodies(bodies), "seq").select("seq", "status", "records_processed")
+
+
+@query(
+    """
+SELECT DISTINCT 'opportunity_activities' AS route, 'c1' AS "CompanyId", '00T' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
+       '006' || CAST(l_orderkey AS VARCHAR) AS label FROM lineitem
+UNION ALL SELECT 'opportunities', 'c1', '006' || CAST(o_orderkey AS VARCHAR), first_name
+FROM orders LEFT JOIN (SELECT s_nationkey AS k, arg_min(s_name, s_suppkey) AS first_name FROM supplier GROUP BY s_nationkey) ON k = o_custkey % 30
+"""
+)
+def push_activities(t: Tables) -> DataFrame:
+    """Tasks and opportunities pushed into stored tables; of several users with one id the first is the owner."""
+    task = F.to_json(F.struct(ident("00T", "l_orderkey", "l_linenumber").alias("Id"), ident("006", "l_orderkey").alias("WhatId")))
+    deal = F.to_json(F.struct(ident("006", "o_orderkey").alias("Id"), (F.col("o_custkey") % 30).cast("string").alias("OwnerId")))
+    columns = [F.lit("application/json").alias("content_type"), F.lit("c1").alias("company_id"), F.lit(None).cast("timestamp_ntz").alias("received_at")]
+    bodies = t.lineitem.select(F.lit("Opportunity_Activities").alias("object_type"), task.alias("body"), F.col("l_orderkey").cast("long").alias("seq"), *columns)
+    deals = t.orders.select(F.lit("opportunities").alias("object_type"), deal.alias("body"), F.col("o_orderkey").cast("long").alias("seq"), *columns)
+    users = t.supplier.select(
+        F.col("s_nationkey").cast("string").alias("Id"), F.col("s_name").alias("Name"), F.lit(None).cast("string").alias("Email"), F.col("s_suppkey").alias("seq"),
+    )
+    run = SyncRun(t.spark, shared_folder(t.spark, "push-activities"), buckets=8)
+    apply_pushed(PushSink(run, "pushed", users=lambda: users, run_ts=RUN_TS), bodies.unionByName(deals), 0)
+    rows = lambda spec, label: run.table(spec).read().select(
+        F.lit(spec.name).alias("route"), "CompanyId", F.col(spec.keys[0]).alias("id"), F.col(label).alias("label")
+    )
+    return rows(ACTIVITIES, "WhatId").unionByName(rows(OPPORTUNITIES, "OwnerName"))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.plans.catalog.flows import companies
-from tidemark.plans.catalog.registry import Tables, plain, query
+from tidemark.plans.catalog.registry import Tables, companies, plain, query
 from tidemark.plans.catalog.standins import EARLY, MID, RUN_TS, sql_ts, ts
 from tidemark.plans.custom import run_custom_fields
 from tidemark.plans.sync import SyncRun
@@ -47,7 +46,7 @@ def _land(lines: list[DataFrame], folder: str) -> None:
         df.write.mode("append").text(folder)
 
 
-def _metadata(t: Tables, fields: dict[str, list[str]], kind: str = "Text") -> dict[str, DataFrame]:
+def field_metadata(t: Tables, fields: dict[str, list[str]], kind: str = "Text") -> dict[str, DataFrame]:
     """Metadata of the named fields for every tenant."""
     pairs = F.array(*[F.struct(F.lit(o).alias("object_name"), F.lit(n).alias("api")) for o, names in fields.items() for n in names])
     base = t.nation.select(F.col("n_nationkey").cast("string").alias("CompanyId"), F.lit(1).alias("seq"), F.inline(pairs))
@@ -67,7 +66,13 @@ def _metadata(t: Tables, fields: dict[str, list[str]], kind: str = "Text") -> di
     }
 
 
-_ALL_FIELDS = {obj: list(spec[3]) for obj, spec in _OBJECTS.items()}
+def land_records(t: Tables, folder: str) -> None:
+    """All records of the four objects as JSON lines."""
+    _land([_lines(t, obj) for obj in _OBJECTS], folder)
+
+
+ALL_FIELDS = {obj: list(spec[3]) for obj, spec in _OBJECTS.items()}
+FIELD_PAIRS = ", ".join(f"('{obj}', '{name}')" for obj, names in ALL_FIELDS.items() for name in names)
 
 
 def _value_sql(obj: str, name: str, column: str) -> str:
@@ -79,20 +84,20 @@ def _value_sql(obj: str, name: str, column: str) -> str:
     )
 
 
-_VALUES_SQL = " UNION ALL ".join(_value_sql(o, n, c) for o, (_, _, _, fields) in _OBJECTS.items() for n, c in fields.items())
+VALUES_SQL = " UNION ALL ".join(_value_sql(o, n, c) for o, (_, _, _, fields) in _OBJECTS.items() for n, c in fields.items())
 
 
 @query(
     f"""
 SELECT "CompanyId", "ObjectType", "ExternalId", "Name", CASE WHEN happened > {sql_ts(MID)} THEN 'new-' ELSE 'old-' END || value AS "Value"
-FROM ({_VALUES_SQL})
+FROM ({VALUES_SQL})
 """
 )
 def custom_field_objects(t: Tables) -> DataFrame:
     """Four objects in one landed feed: a full run, then one over all records that takes those after each watermark."""
     root = shared_folder(t.spark, "custom-objects")
     run = SyncRun(t.spark, f"{root}/tables", buckets=8)
-    feeds = _metadata(t, _ALL_FIELDS)
+    feeds = field_metadata(t, ALL_FIELDS)
     _land([_lines(t, obj, "old-", later=False) for obj in _OBJECTS], f"{root}/first")
     run_custom_fields(run, feeds, read_records(t.spark, f"{root}/first", "LastModifiedDate"), companies(t), run_ts=MID)
     _land([_lines(t, obj, "new-") for obj in _OBJECTS], f"{root}/second")
@@ -122,7 +127,7 @@ def custom_field_quarantine(t: Tables) -> DataFrame:
     t.orders.select(F.when(fate == "corrupt", F.concat(F.lit("{"), line)).otherwise(line).alias("value")).write.text(f"{root}/landed")
     run = SyncRun(t.spark, f"{root}/tables", buckets=8)
     records = read_records(t.spark, f"{root}/landed", "LastModifiedDate")
-    run_custom_fields(run, _metadata(t, {"Opportunity": ["Status__c"]}), records, companies(t), run_ts=RUN_TS)
+    run_custom_fields(run, field_metadata(t, {"Opportunity": ["Status__c"]}), records, companies(t), run_ts=RUN_TS)
     bad = t.spark.read.schema("reasons array<string>, row string").json(run.quarantine(CUSTOM_VALUES.name))
     stored = run.table(CUSTOM_VALUES).read().select("ExternalId").distinct().select(F.lit("stored").alias("fate"))
     return bad.select(F.element_at("reasons", 1).alias("fate")).unionByName(stored).groupBy("fate").agg(F.count("*").alias("n_records"))
@@ -146,9 +151,9 @@ def custom_field_projection(t: Tables) -> DataFrame:
     )
     run = SyncRun(t.spark, f"{root}/tables", buckets=8)
     wide.where(F.col("LastModifiedDate") <= ts(MID)).write.parquet(f"{root}/first")
-    run_custom_fields(run, _metadata(t, {"Account": ["Segment__c"]}), {"Account": Landed(f"{root}/first")}, companies(t), run_ts=MID)
+    run_custom_fields(run, field_metadata(t, {"Account": ["Segment__c"]}), {"Account": Landed(f"{root}/first")}, companies(t), run_ts=MID)
     wide.write.parquet(f"{root}/second")
-    feeds = _metadata(t, {"Account": ["Segment__c", "Balance__c", "Gone__c"]})
+    feeds = field_metadata(t, {"Account": ["Segment__c", "Balance__c", "Gone__c"]})
     run_custom_fields(run, feeds, {"Account": Landed(f"{root}/second")}, companies(t), run_ts=RUN_TS)
     return run.table(CUSTOM_VALUES).read().select("CompanyId", "ExternalId", "Name", "Value")
 

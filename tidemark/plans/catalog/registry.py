@@ -47,6 +47,11 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
+def companies(t: Tables) -> DataFrame:
+    """Nations as tenants."""
+    return t.nation.select(F.col("n_nationkey").cast("string").alias("Id"))
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Output types every engine compares alike: decimals as doubles, flags and days as text."""
 

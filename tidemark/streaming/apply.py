@@ -38,7 +38,10 @@ def read_bodies(spark: SparkSession, path: str, fmt: str = "json", **options: st
 
 @dataclass
 class PushSink:
-    """Where pushed changes go. ``writer`` and the query id name the stream in the tables' pointers."""
+    """Where pushed changes go. ``writer`` and the query id name the stream in the tables' pointers.
+
+    ``users`` gives the owners of opportunities; a column ``seq`` in it says which of several rows of a user is the first.
+    """
 
     run: SyncRun
     writer: str
@@ -109,7 +112,11 @@ def apply_route(sink: PushSink, route: str, records: DataFrame, query: str, batc
         return
     if route == OPPORTUNITIES.name and sink.users is not None:
         owner = F.try_element_at("fields", F.lit("OwnerId"))
-        records = enrich_owner(records.withColumn("OwnerId", owner), sink.users()).drop("OwnerId")
+        users = sink.users()
+        seq = "seq" if "seq" in users.columns else None
+        if seq:  # pushed records have a place of their own under that name
+            users, seq = users.withColumnRenamed("seq", "__first"), "__first"
+        records = enrich_owner(records.withColumn("OwnerId", owner), users, seq=seq).drop("OwnerId")
     rules = type_rules(records, spec, fields="fields")
     good, bad = split_valid(records, rules)
     order = [*ARRIVAL, "pos"]
