@@ -20,7 +20,7 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest ``doc_id``."""
+    """One document of each group of near copies, as SimHash links them, stays: that with the smallest ``doc_id``."""
     reachable(spark)
     return simhash.first_of_each_group(docs)
 
