@@ -293,3 +293,22 @@ def test_samples_of_tables_of_any_size(llm):
     # as from a table of which less than one row in 2 ** 20 is drawn
     assert 4 <= thinned(rows, 256 << 21, 256, "calibration").count() <= 40
     assert 900 <= thinned(rows.limit(100_000), 100_000, 1000, "calibration").count() <= 1100
+
+
+def test_every_passage_of_a_repeated_item_is_found():
+    item = "abcab cabca bcabc abcab cabca bcabc"  # its pieces recur within it
+    text = "".join(f"lead{i} {item} tail " for i in range(5)) + item[:-1] + "# " + item
+    found = decontaminate.Finder([(1, item)]).matches(text)
+    want = [m.start() for m in re.finditer(re.escape(item), text)]
+    assert set(want) <= {s for _, s, _, d in found if d == 0}
+    assert len(found) >= 7 and all(b[1] >= a[2] for a, b in zip(found, found[1:]))
+
+
+def test_copies_of_a_long_text_are_encoded_once(llm, frame, monkeypatch):
+    rng = random.Random(1)
+    long = " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 9))) for _ in range(900))
+    docs = frame([(i, long) for i in range(40)] + [(40, long + "x"), (None, long), (41, "short")])
+    ranks = P.path("byte_bpe_50k.tiktoken")
+    got = byte_bpe.decode(byte_bpe.encode(docs, ranks, P.PATTERN, chunk=600), ranks, P.PATTERN).collect()
+    assert len(got) == 43 and {bytes(r.decoded).decode() for r in got if r.doc_id not in (40, 41)} == {long}
+    assert {bytes(r.ids) for r in got if r.doc_id in (0, None)} == {byte_bpe.coder(ranks, P.PATTERN).whole(long)}

@@ -125,30 +125,30 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK) -> Data
             made = [encode_chunk(code, v, last, chunk) for v, last in zip(views, lasts)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("key"), batch.column("k"),
+                    batch.column("key"), batch.column("k"),
                     pa.array([v[:chunk] for v in views]), pa.array([m["stop"] for m in made], pa.int32()),
                     *(pa.array([m[c] for m in made], pa.binary()) for c in ("heads", "sizes", "ids")),
                 ],
-                ["doc_id", "key", "k", "core", "stop", "heads", "sizes", "ids"],
+                ["key", "k", "core", "stop", "heads", "sizes", "ids"],
             )
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        copies = int((rows["k"] == 0).sum())
-        chunks = rows.drop_duplicates("k").sort_values("k").to_dict("records")
-        return pd.DataFrame({"doc_id": [chunks[0]["doc_id"]] * copies, "ids": [stitch(coder(path, pattern), chunks)] * copies})
+        chunks = rows.sort_values("k").to_dict("records")
+        return pd.DataFrame({"key": [chunks[0]["key"]], "ids": [stitch(coder(path, pattern), chunks)]})
 
-    long = source.where(F.char_length("text") > chunk).withColumn("key", F.sha2("text", 256))
     size = F.char_length("text")
+    long = source.where(size > chunk).withColumn("key", F.sha2("text", 256))
     last = F.floor((size - 1) / chunk).cast("int")
-    views = long.select("doc_id", "key", "text", F.explode(F.sequence(F.lit(0), last)).alias("k"), last.alias("end")).select(
-        "doc_id", "key", "k", (F.col("k") == F.col("end")).alias("last"),
-        F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + OVERLAP)).alias("view"),
+    views = long.select("key", "text", F.explode(F.sequence(F.lit(0), last)).alias("k"), last.alias("end")).select(
+        "key", "k", (F.col("k") == F.col("end")).alias("last"), F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + OVERLAP)).alias("view"),
     )
-    joined = (
-        views.repartition(lanes(docs.sparkSession), "key", "k")
-        .mapInArrow(part, f"doc_id {kind}, key string, k int, core string, stop int, heads binary, sizes binary, ids binary")
-        .groupBy("doc_id", "key").applyInPandas(join, f"doc_id {kind}, ids binary")
+    # A text that many rows share is cut and encoded once; tasks combine its chunks before they are shuffled.
+    distinct = views.groupBy("key", "k").agg(F.first("last").alias("last"), F.first("view").alias("view"))
+    made = (
+        distinct.mapInArrow(part, "key string, k int, core string, stop int, heads binary, sizes binary, ids binary")
+        .groupBy("key").applyInPandas(join, "key string, ids binary")
     )
+    joined = long.select("doc_id", "key").join(made, "key").select("doc_id", "ids")
     return source.where(F.char_length("text") <= chunk).mapInArrow(short, f"doc_id {kind}, ids binary").unionByName(joined)
 
 

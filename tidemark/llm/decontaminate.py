@@ -11,6 +11,7 @@ executors and run against all documents, so what is broadcast stays bounded what
 from __future__ import annotations
 
 import math
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -83,13 +84,24 @@ class Pattern:
         return best, end
 
     def find(self, window: str) -> tuple[int, int, int] | None:
-        """``distance, start, end`` of the closest substring, if within the budget."""
+        """``distance, start, end`` of the closest substring, if within the budget; of equals, the first to end."""
         distance, end = self._best(self.masks, window, True)
         if distance > self.limit:
             return None
         back = window[max(0, end - self.size - self.limit):end][::-1]
         return distance, end - self._best(self.reverse, back, False)[1], end
 
+    def find_all(self, window: str) -> Iterator[tuple[int, int, int]]:
+        """The closest substring, then those left and right of it, until nothing is within the budget."""
+        open_ = [(0, len(window))]
+        while open_:
+            a, b = open_.pop()
+            hit = self.find(window[a:b]) if b - a >= self.size - self.limit else None
+            if hit:
+                start, end = a + hit[1], a + hit[2]
+                yield hit[0], start, end
+                open_ += [(a, start), (end, b)]
+
 
 class Finder:
     """The automaton of all pieces of a block of items."""
@@ -121,11 +133,16 @@ class Finder:
                     runs[-1][1] = s
                 else:
                     runs.append([s, s])
+            hits = []
             for a, b in runs:
                 left = max(0, a - p.limit)
-                hit = p.find(low[left:b + p.size + p.limit])
-                if hit:
-                    found.append((self.ids[n], left + hit[1], left + hit[2], hit[0]))
+                hits += [(d, left + start, left + end) for d, start, end in p.find_all(low[left:b + p.size + p.limit])]
+            kept: list[tuple[int, int]] = []
+            for distance, start, end in sorted(hits):  # windows may overlap, passages of an item do not
+                at = bisect(kept, (start, end))
+                if (not at or kept[at - 1][1] <= start) and (at == len(kept) or end <= kept[at][0]):
+                    kept.insert(at, (start, end))
+                    found.append((self.ids[n], start, end, distance))
         return sorted(found, key=lambda m: (m[1], m[2], m[0] is None, m[0]))
 
 

@@ -93,7 +93,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
-    found = simhash.near_duplicates(table(sf_dir, "documents", spark), words=3, bits=64, radius=2)
+    found = simhash.near_duplicates(table(sf_dir, "documents", spark))
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 

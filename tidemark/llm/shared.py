@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -13,21 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_LOCAL: list[str] = []
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder all executors reach, under ``spark.checkpoint.dir``.
-
-    Only a local session may lack that setting; it gets one temporary folder per process.
-    """
+    """A fresh folder all executors reach, under ``spark.checkpoint.dir``, which every session has to name."""
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        if not _LOCAL:
-            _LOCAL.append(tempfile.mkdtemp(prefix="tidemark-"))
-        base = _LOCAL[0]
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

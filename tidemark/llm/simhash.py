@@ -1,15 +1,12 @@
 """SimHash near-duplicates: tiles of fingerprints compared exactly.
 
-1. Each text gets a fingerprint: the majority vote, bit by bit, of the hashes of its word shingles.
+1. Each text gets a 64-bit fingerprint: the majority vote, bit by bit, of the hashes of its word shingles.
 2. Equal fingerprints collapse to one row (its smallest ``doc_id``), so a large group of copies is one point.
-3. The points are put into cells by the population counts of the fingerprint's 16-bit words (and, where
-   asked, by the number of shingles). Two cells are compared only if these counts differ by no more than
-   the radius allows; cells are cut into blocks of ``BLOCK`` points, and every pair of blocks is one tile:
-   numpy exclusive-or and bit counts.
+3. The points are put into cells by the population counts of equal words of the fingerprint. Two cells are compared only if
+   these counts differ by no more than the radius allows; cells are cut into blocks of ``BLOCK`` points, and every pair of
+   blocks is one tile: numpy exclusive-or and bit counts. The more points there are, the shorter the words and the more the
+   cells, so a cell stays about a block and a point meets a bounded number of tiles whatever the size of the table.
 4. A tile hands on a spanning set of its links, never all pairs; components follow from the links.
-
-With a ``Jaccard`` ratio the tiles only search: texts with equal shingle sets collapse to one row, the components of the
-tiles' links are groups of candidates, and within a group only pairs whose shingle sets reach the ratio are linked.
 """
 
 from __future__ import annotations
@@ -27,10 +24,10 @@ from tidemark.llm.shared import blocks_by_key, lanes, slices, stored, texts
 
 #: Points of a block. A cell of up to this many is compared as one tile; guests of a block come in parts of ``PART``.
 BLOCK, PART = 1 << 14, 2048
-#: A block of candidates holds about so many points and shingles at most.
-POINTS, SHINGLES = 2048, 1 << 21
+#: Words a fingerprint is cut into for its cell, with about how many points (over ``BLOCK``) each choice spreads over the cells:
+#: the entropy of the words' population counts in random fingerprints is 12, 20 and 32 bits.
+WORDS = ((4, 1 << 12), (8, 1 << 20), (16, 1 << 32))
 SEED = 42
-_SPREAD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
 def shingles(text: str, words: int) -> list[bytes]:
@@ -41,17 +38,6 @@ def shingles(text: str, words: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(w[i:] for i in range(words)))))
 
 
-def _more_bits(h: np.ndarray, part: int) -> np.ndarray:
-    """The hash itself for the first 64 bits; a bijective mix of it for each further 64."""
-    if part == 0:
-        return h
-    with np.errstate(over="ignore"):
-        x = h + np.uint64(_SPREAD[0]) * np.uint64(part)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(_SPREAD[1])
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(_SPREAD[2])
-        return x ^ (x >> np.uint64(31))
-
-
 def _majority(h: np.ndarray) -> int:
     votes = np.zeros(64, np.int64)
     for at in range(0, len(h), 1 << 15):
@@ -60,118 +46,73 @@ def _majority(h: np.ndarray) -> int:
     return int(np.packbits(votes * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def _hashes(grams: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(g, SEED) for g in grams), np.uint64, len(grams))
-
-
-class Jaccard(float):
-    """A ratio that linked texts reach themselves: shingles in common over shingles of either, each counted once."""
-
-
-def fingerprint(text: str, words: int, parts: int) -> tuple[int, list[int]]:
-    """Number of shingles and the 64-bit words of the fingerprint (all zero without shingles)."""
-    grams = shingles(text, words)
-    if not grams:
-        return 0, [0] * parts
-    h = _hashes(grams)
-    return len(grams), [_majority(_more_bits(h, p)) for p in range(parts)]
-
-
-def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64) -> DataFrame:
-    """``doc_id, n (shingles), f0 .. fk`` for every row; NULL and blank texts have fingerprint zero."""
-    parts = bits // 64
+def fingerprint(text: str, words: int) -> int:
+    """The fingerprint of a text (zero without words)."""
+    grams, digest = shingles(text, words), xxhash.xxh64_intdigest
+    return _majority(np.fromiter((digest(g, SEED) for g in grams), np.uint64, len(grams))) if grams else 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            made = [fingerprint(t, words, parts) for t in batch.column(1).to_pylist()]
-            f = np.array([m[1] for m in made], np.uint64).reshape(-1, parts).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([m[0] for m in made], pa.int64()), *(pa.array(f[:, p]) for p in range(parts))],
-                ["doc_id", "n", *(f"f{p}" for p in range(parts))],
-            )
-
-    source = texts(docs)
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, n long, " + ", ".join(f"f{p} long" for p in range(parts)))
 
-
-def set_prints(docs: DataFrame, words: int, bits: int) -> DataFrame:
-    """``doc_id, tag, n, f0 .. fk, s0, s1`` for every row, of its distinct shingles; ``tag`` is a hash of the text, ``s0, s1``
-    a digest of the set."""
-    parts = bits // 64
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """``doc_id, tag, f0`` for every row; ``tag`` is a hash of the text. NULL and blank texts have fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [np.unique(_hashes(shingles(t, words))) for t in batch.column(1).to_pylist()]
-            f = np.array([[_majority(_more_bits(h, p)) if len(h) else 0 for p in range(parts)] for h in sets], np.uint64)
-            f = f.reshape(-1, parts).view(np.int64)
-            s = np.frombuffer(b"".join(xxhash.xxh3_128_digest(h.tobytes()) for h in sets), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([len(h) for h in sets], pa.int64()),
-                 *(pa.array(f[:, p]) for p in range(parts)), *(pa.array(np.ascontiguousarray(s[:, i])) for i in (0, 1))],
-                ["doc_id", "tag", "n", *(f"f{p}" for p in range(parts)), "s0", "s1"],
-            )
+            made = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made)], ["doc_id", "tag", "f0"])
 
     source = texts(docs).withColumn("tag", F.xxhash64("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    names = ", ".join(f"f{p} long" for p in range(parts))
-    return source.mapInArrow(run, f"doc_id {kind}, tag long, n long, {names}, s0 long, s1 long")
+    return source.mapInArrow(run, f"doc_id {kind}, tag long, f0 long")
 
 
 def _neighbours(width: int, radius: int) -> list[tuple[int, ...]]:
     """Steps between population-count vectors that at most ``radius`` differing bits can cause, one of each +/- pair."""
-    steps = itertools.product(range(-radius, radius + 1), repeat=width)
-    zero = (0,) * width
-    return sorted(s for s in steps if s > zero and sum(map(abs, s)) <= radius)
+    found = set()
+    for n in range(1, radius + 1):
+        for places in itertools.combinations_with_replacement(range(width), n):
+            for signs in itertools.product((1, -1), repeat=n):
+                step = [0] * width
+                for p, sign in zip(places, signs):
+                    step[p] += sign
+                found.add(tuple(step))
+    return sorted(s for s in found if s > (0,) * width)
+
 
+def _cells(points: DataFrame, words: int, radius: int) -> tuple[DataFrame, list[int]]:
+    """Cell: the population counts of ``words`` equal words, each a digit; and the steps to the cells beside it.
 
-def _cells_by_counts(points: DataFrame, parts: int, radius: int) -> tuple[DataFrame, list[int]]:
-    """Cell: the population counts of four 16-bit words, five bits apart (each is at most 16)."""
+    A step that leaves the range of a digit only leads to a cell where nothing is near.
+    """
+    width = 64 // words
+    digit = 3 if words == 16 else 5  # counts up to 4, 8 or 16
+    mask = F.lit((1 << width) - 1)
     cell = sum(
-        (F.bit_count(F.shiftrightunsigned("f0", 16 * i).bitwiseAND(F.lit(0xFFFF))) * (32**i) for i in range(4)), F.lit(0)
+        (F.shiftleft(F.bit_count(F.shiftrightunsigned("f0", width * i).bitwiseAND(mask)).cast("long"), digit * i) for i in range(words)),
+        F.lit(0).cast("long"),
     )
-    steps = [sum(d * 32**i for i, d in enumerate(s)) for s in _neighbours(4, radius)]
-    return points.withColumn("cell", cell.cast("long")), steps
-
+    steps = {sum(d << (digit * i) for i, d in enumerate(s)) for s in _neighbours(words, radius)}
+    return points.withColumn("cell", cell), sorted(steps - {0})
 
-def _cells_by_size(points: DataFrame, ratio: float) -> tuple[DataFrame, list[int]]:
-    """Cell: the logarithm of the number of shingles to the base ``1 / ratio``; sets of similarity
-    ``ratio`` are at most one step apart."""
-    cell = F.floor(F.log(F.greatest("n", F.lit(1))) / float(-np.log(ratio)))
-    return points.withColumn("cell", cell.cast("long")), [1]
 
-
-def _tiles(parts: int, radius: int, ratio: float | None):
+def _tiles(radius: int):
     """Compare the tiles of a stream sorted by cell, block and role: first a block's own points, then its visitors."""
-    names = [f"f{p}" for p in range(parts)]
-
-    def close(own, other) -> np.ndarray:
-        """Which pairs are within the radius; skips runs of points whose population counts rule all of them out."""
-        d = np.bitwise_count(own["w"][0][:, None] ^ other["w"][0][None, :]).astype(np.uint16)
-        for a, b in zip(own["w"][1:], other["w"][1:]):
-            d += np.bitwise_count(a[:, None] ^ b[None, :])
-        near = d <= radius
-        if ratio is not None:
-            m, k = own["n"][:, None], other["n"][None, :]
-            near &= (np.minimum(m, k) >= ratio * np.maximum(m, k))
-        return near
 
     def points(cols, keep=slice(None)):
-        w = [cols[n][keep].astype(np.int64).view(np.uint64) for n in names]
-        c = sum(np.bitwise_count(x).astype(np.int64) for x in w)
+        w = cols["f0"][keep].astype(np.int64).view(np.uint64)
+        c = np.bitwise_count(w).astype(np.int64)
         order = np.argsort(c, kind="stable")
-        return {"w": [x[order] for x in w], "n": cols["n"][keep][order].astype(float), "id": cols["rep"][keep][order], "c": c[order]}
+        return {"w": w[order], "id": cols["rep"][keep][order], "c": c[order]}
 
     def links(own, other, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Near pairs; runs of points whose population counts rule all of them out are skipped."""
         for i in range(0, len(own["id"]), 256):
-            a = {k: [x[i:i + 256] for x in v] if k == "w" else v[i:i + 256] for k, v in own.items()}
+            a = {k: v[i:i + 256] for k, v in own.items()}
             lo, hi = np.searchsorted(other["c"], [a["c"][0] - radius, a["c"][-1] + radius + 1])
             lo = max(lo, i) if same else lo
             for at in range(lo, hi, PART):
                 part = slice(at, min(at + PART, hi))
-                b = {k: [x[part] for x in v] if k == "w" else v[part] for k, v in other.items()}
-                near = close(a, b)
+                b = {k: v[part] for k, v in other.items()}
+                near = np.bitwise_count(a["w"][:, None] ^ b["w"][None, :]) <= radius
                 first, has = near.argmax(axis=0), near.any(axis=0)
                 yield a["id"][first[has]], b["id"][has]
                 rows, cols = np.nonzero(near)
@@ -227,23 +168,25 @@ def _tiles(parts: int, radius: int, ratio: float | None):
     return run
 
 
-def near_links(points: DataFrame, bits: int, radius: int, ratio: float | None = None) -> DataFrame:
-    """Links ``(a, b)`` between points ``(rep, n, f0 ..)`` within ``radius`` bits, enough to connect all that are linked.
+def near_links(points: DataFrame, radius: int, words: int | None = None) -> DataFrame:
+    """Links ``(a, b)`` between points ``(rep, f0)`` within ``radius`` bits, enough to connect all that are linked.
 
-    With ``ratio``, the smaller number of shingles must also reach that part of the larger one.
+    ``words`` fixes the words per cell; by default the number of points decides.
     """
-    spark, parts = points.sparkSession, bits // 64
-    celled, steps = _cells_by_size(points, ratio) if ratio else _cells_by_counts(points, parts, radius)
+    spark = points.sparkSession
+    if words is None:
+        n = points.count()
+        words = next((w for w, room in WORDS if n <= room * BLOCK), WORDS[-1][0])
+    celled, steps = _cells(points, words, radius)
     sizes = celled.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    names = [f"f{p}" for p in range(parts)]
-    at = F.pmod(F.xxhash64(F.lit("block"), *names), "blocks").alias("block")
-    own = celled.join(sizes, "cell").select("cell", at, "rep", "n", *names, "blocks")
+    at = F.pmod(F.xxhash64(F.lit("block"), "f0"), "blocks").alias("block")
+    own = celled.join(sizes, "cell").select("cell", at, "rep", "f0", "blocks")
     beside = (
-        celled.withColumn("cell", F.explode(F.array(*[F.col("cell") + s for s in steps])))
-        .join(sizes, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "n", *names)
+        celled.withColumn("cell", F.explode(F.array(*[F.col("cell") + F.lit(s) for s in steps])))
+        .join(sizes, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "f0")
     )
     within = own.where("block + 1 < blocks").select(
-        "cell", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("block"), "rep", "n", *names
+        "cell", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("block"), "rep", "f0"
     )
     rows = own.drop("blocks").withColumn("role", F.lit(0)).unionByName(
         beside.unionByName(within).withColumn("role", F.lit(1))
@@ -251,183 +194,49 @@ def near_links(points: DataFrame, bits: int, radius: int, ratio: float | None =
     rows = rows.withColumn("block", F.col("block").cast("long"))
     return (
         rows.repartition(lanes(spark), "cell", "block").sortWithinPartitions("cell", "block", "role")
-        .mapInArrow(_tiles(parts, radius, ratio), "a long, b long")
+        .mapInArrow(_tiles(radius), "a long, b long")
     )
 
 
-def _verified(parts: int, radius: int, ratio: float):
-    """Links of similarity ``ratio`` in a stream of candidates sorted by cell, block and role, enough to connect all that are linked."""
-    names = [f"f{p}" for p in range(parts)]
-
-    def points(cols, keep=slice(None)):
-        ids, first = np.unique(cols["rep"][keep], return_index=True)
-        sets = [np.frombuffer(x, "<u8") for x in cols["grams"][keep][first]]
-        w = [cols[n][keep][first].astype(np.int64).view(np.uint64) for n in names]
-        return {"id": ids.astype(np.int64), "w": w, "sets": sets, "n": np.array([len(x) for x in sets])}
-
-    def common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-        flat = np.concatenate(others)
-        at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
-        return np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum([0, *map(len, others[:-1])]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, own = [], None
-        tree: dict[int, int] = {}
-
-        def root(x):
-            while tree.setdefault(x, x) != x:
-                tree[x] = tree[tree[x]]
-                x = tree[x]
-            return x
-
-        def found(other, same):
-            out = []
-            label, theirs = (np.array([root(x) for x in p["id"].tolist()], np.int64) for p in (own, other))
-            for i, a in enumerate(own["id"].tolist()):
-                d = sum(np.bitwise_count(v[i] ^ w).astype(np.int64) for v, w in zip(own["w"], other["w"]))
-                n, m = own["n"][i], other["n"]
-                near = (d <= radius) & (np.minimum(n, m) >= ratio * np.maximum(n, m) - 1e-9) & (theirs != label[i])
-                if same:
-                    near[:i + 1] = False
-                places = np.flatnonzero(near)
-                if not len(places):
-                    continue
-                shared = common(own["sets"][i], [other["sets"][j] for j in places])
-                # less than a whole shingle is rounding
-                for j in places[shared >= ratio * (n + m[places] - shared) - 1e-9].tolist():
-                    p, q = sorted((label[i].item(), theirs[j].item()))
-                    if p != q:
-                        tree[q] = p
-                        label[label == q] = p
-                        theirs[theirs == q] = p
-                        out.append((a, other["id"][j].item()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"]
-                )
-
-        def closed():
-            nonlocal own, mine
-            if mine:
-                own = points({k: np.concatenate([m[k] for m in mine]) for k in mine[0]})
-                mine = []
-                yield from found(own, True)
-
-        for fresh, cols in blocks_by_key(batches, ["cell", "block"]):
-            if fresh:
-                yield from closed()
-                own = None
-                tree.clear()
-            role = cols["role"]
-            if (role == 0).any():
-                mine.append({k: v[role == 0] for k, v in cols.items()})
-            guests = np.flatnonzero(role == 1)
-            if len(guests):
-                yield from closed()
-                for at in range(0, len(guests), 256) if own is not None else ():
-                    yield from found(points(cols, guests[at:at + 256]), False)
-        yield from closed()
-
-    return run
-
-
-def _gathered(words: int, carried: list[str]):
-    """The shingle set of each text in place of the text, once per point and task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in slices(batches):
-            reps = batch.column(batch.schema.get_field_index("rep")).to_pylist()
-            new = [k for k, r in enumerate(reps) if r not in seen and not seen.add(r)]
-            batch = batch.take(pa.array(new, pa.int64()))
-            made = [np.unique(_hashes(shingles(t, words))).astype("<u8").tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), *batch.columns[1:]], ["grams", *carried])
-
-    return run
-
-
-def jaccard_links(docs: DataFrame, classes: DataFrame, words: int, bits: int, radius: int, ratio: float) -> DataFrame:
-    """Links ``(a, b)`` between ``classes`` of equal shingle sets that have ``ratio`` of their shingles in common.
-
-    Candidates are pairs within ``radius`` bits; only texts of classes that have one are read again.
-    """
-    parts = bits // 64
-    names = [f"f{p}" for p in range(parts)]
-    # smaller sets reach the ratio with equal ones only
-    able = classes.where(F.col("n") >= F.lit(float(ratio)) * (F.col("n") + 1))
-    groups = components(near_links(able.select("rep", "n", *names), bits, radius, float(ratio)))
-    members = groups.join(classes, groups["node"] == classes["rep"]).select(F.col("component").alias("cell"), "rep", "n", "at", *names)
-    sizes = members.groupBy("cell").agg(
-        F.greatest(F.ceil(F.count("*") / F.lit(POINTS)), F.ceil(F.sum("n") / F.lit(SHINGLES))).alias("blocks")
-    ).repartition(lanes(docs.sparkSession))
-    carried = ["cell", "blocks", "rep", *names]
-    members = members.join(sizes, "cell").select("at", *carried)
-    source = texts(docs).withColumn("tag", F.xxhash64("text")).hint("merge")
-    read = source.join(members, source["doc_id"].eqNullSafe(members["at.doc_id"]) & (source["tag"] == members["at.tag"]))
-    rows = read.select("text", *carried).mapInArrow(_gathered(words, carried), "grams binary, " + ", ".join(f"{c} long" for c in carried))
-    home = F.pmod(F.xxhash64("rep"), "blocks")
-    rows = rows.withColumn("home", home).select(
-        "cell", F.explode(F.sequence("home", F.col("blocks") - 1)).alias("block"), "home", "rep", "grams", *names
-    ).withColumn("role", (F.col("block") != F.col("home")).cast("int")).drop("home")
-    return (
-        rows.repartition(lanes(docs.sparkSession), "cell", "block").sortWithinPartitions("cell", "block", "role")
-        .mapInArrow(_verified(parts, radius, float(ratio)), "a long, b long")
-    )
-
-
-def _grouped(docs: DataFrame, words: int, bits: int, radius: int, ratio: float | None) -> DataFrame:
-    """The prints of every row with ``low``: the smallest ``doc_id`` of its group (with ``tag``, where links are verified)."""
-    names, exact = [f"f{p}" for p in range(bits // 64)], isinstance(ratio, Jaccard)
-    keys = ["s0", "s1"] if exact else [*names, "n"] if ratio else names
-    prints = stored(set_prints(docs, words, bits) if exact else fingerprints(docs, words, bits), "fingerprints")
-    row = F.struct("doc_id", "tag") if exact else F.struct("doc_id")
-    rest = [F.max(c).alias(c) for c in ["n", *names] if c not in keys]
-    # numbered once, when stored: texts under one doc_id stay apart
+def _grouped(docs: DataFrame, words: int, radius: int) -> DataFrame:
+    """The prints of every row with ``low``: the smallest ``doc_id`` of its group, and the smallest ``tag`` under it."""
+    prints = stored(fingerprints(docs, words), "fingerprints")
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tag"))
     classes = stored(
-        prints.groupBy(*keys).agg(F.min(F.when(F.col("doc_id").isNotNull(), row)).alias("low"), F.min(row).alias("at"), *rest)
-        .withColumn("rep", F.monotonically_increasing_id()), "classes"
-    )
-    links = (
-        jaccard_links(docs, classes, words, bits, radius, ratio) if exact
-        else near_links(classes.select("rep", "n", *names), bits, radius, ratio)
+        prints.groupBy("f0").agg(F.min(row).alias("low")).withColumn("rep", F.monotonically_increasing_id()), "classes"
     )
-    groups = components(links)
+    groups = components(near_links(classes.select("rep", "f0"), radius))
     lowest = (
         groups.join(classes, groups["node"] == classes["rep"]).groupBy("component").agg(F.min("low").alias("lowest"))
         .repartition(lanes(docs.sparkSession))
     )
     linked = groups.join(lowest, "component").select("node", "lowest")
-    named = classes.join(linked, classes["rep"] == linked["node"], "left").select(*keys, F.coalesce("lowest", "low").alias("low"))
-    return prints.join(named, keys)
+    named = classes.join(linked, classes["rep"] == linked["node"], "left").select("f0", F.coalesce("lowest", "low").alias("low"))
+    return prints.join(named, "f0")
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 3, bits: int = 64, radius: int = 2, ratio: float | None = None
-) -> DataFrame:
-    """``doc_id, f0 .., component_id`` for every row of ``docs``.
+#: Shingle length and bits that may differ: those of the contract.
+SHINGLE, RADIUS = 3, 2
 
-    Fingerprints at ``radius`` or fewer differing bits are linked, or, if ``ratio`` is a ``Jaccard``, those of them that reach
-    it; ``component_id`` is the smallest ``doc_id`` reachable, itself included. Rows with equal texts, repeated rows included,
-    share it; different texts under one ``doc_id`` do not for that. Texts without words (NULL, empty, blank) have fingerprint
-    zero and are linked like any other. Rows without ``doc_id`` keep their row; their component is the smallest ``doc_id`` of
-    its group, or NULL if none has one. No rows, no result.
-    """
-    names = [f"f{p}" for p in range(bits // 64)]
-    return _grouped(docs, words, bits, radius, ratio).select("doc_id", *names, F.col("low.doc_id").alias("component_id"))
 
+def near_duplicates(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``doc_id, f0, component_id`` for every row of ``docs``.
 
-#: Near copies in the pipeline: similarity 0.8 of five-word shingles, each counted once. Sets of that similarity differ in
-#: about 39 of 256 bits, give or take 6, and in 48 on average at worst (4 shingles of 5), so no tile misses them at 76.
-COPY_WORDS, COPY_BITS, COPY_RADIUS, COPY_RATIO = 5, 256, 76, Jaccard(0.8)
+    Fingerprints at ``radius`` or fewer differing bits are linked; ``component_id`` is the smallest ``doc_id`` reachable, itself
+    included. Texts without words (NULL, empty, blank) have fingerprint zero and are linked like any other; a very long text has
+    one fingerprint like any other. Rows without ``doc_id`` keep their row; their component is the smallest ``doc_id`` of its
+    group, or NULL if none has one. Repeated rows each keep their row. No rows, no result.
+    """
+    return _grouped(docs, words, radius).select("doc_id", "f0", F.col("low.doc_id").alias("component_id"))
 
 
-def first_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, one of each group of near copies: that with the smallest ``doc_id``, and of several texts under
-    it that with the smallest hash.
+def first_of_each_group(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs``, one of each group of ``near_duplicates``: that with the smallest ``doc_id``, and of several texts
+    under it that with the smallest hash.
 
-    Equal texts repeated under one ``doc_id`` count as copies; rows without ``doc_id`` are kept.
+    Equal texts repeated under one ``doc_id`` count as copies; rows without ``doc_id`` are kept. All columns stay as they are.
     """
-    groups = _grouped(docs, COPY_WORDS, COPY_BITS, COPY_RADIUS, COPY_RATIO)
+    groups = _grouped(docs, words, radius)
     kept = stored(
         groups.where("doc_id = low.doc_id AND tag = low.tag")
         .groupBy(F.col("doc_id").alias("kept_id"), F.col("tag").alias("kept_tag")).agg(F.count("*").alias("rows")), "kept"
