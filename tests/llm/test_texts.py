@@ -242,17 +242,60 @@ def test_planted_passages_of_the_given_tables(llm, tables):
 # Classifiers
 
 
+WRITTEN = {  # text -> whether it is toxic
+    "you are an idiot": True, "an idiot, that is what you are": True, "idiots like these. what a moron. such scum. pathetic": True,
+    "I will kill you. I will stab you. You will die, I will shoot you.": True, "you moron. you moron. you moron": True,
+    "This will kill. We will shoot, we will stab. It will strangle.": True,
+    "idiot": False, "a moron came by": False, "you are not an idiot": False, "he said you are an idiot": False,
+    'she wrote "you are an idiot" and left': False, "I would never hurt you": False, "they called you a moron, you said": False,
+    "you came. an idiot left" + ". so it went on" * 30 + ". a moron came": False, "kill the process": False, "": False, "nothing here": False,
+}
+
+
+def plain_model():
+    return toxicity.Model(tuple((w, 1.0) for w in toxicity.INSULTS), (("lowe", 1.5), ("idiots", 1.0)), tuple(toxicity.PRIOR))
+
+
 def test_grammar_tells_clauses_apart():
-    scorer = toxicity.Scorer(toxicity.Model((("moron", 2.0),), (("lowe", 3.0),), tuple(toxicity.PRIOR)))
-    kinds = lambda text: [k for k, _ in scorer.clauses(text)]
-    assert kinds("you are a moron") == ["targeted insult"]
-    assert kinds("a moron came") == ["plain insult"]
-    assert kinds("you are not a moron") == ["negated insult"]
-    assert kinds("not now. you moron") == ["targeted insult"]
-    assert kinds('he said "you moron" and left') == ["reported insult"]
-    assert kinds("loweisch things") == ["plain insult"] and kinds("i will kill you") == ["plain threat"]
-    assert kinds("they kill time") == ["targeted threat"] and kinds("nothing here") == [] and kinds("") == []
-    assert scorer.score("you moron. you moron. you moron") > scorer.score("not a moron") > scorer.score("")
+    scorer = toxicity.Scorer(plain_model())
+    kinds = lambda text: [k for k, _ in scorer.matches(text)]
+    assert kinds("you are a moron") == kinds("a moron you are") == kinds("not now. you moron") == ["targeted insult"]
+    assert kinds("a moron came") == kinds("loweisch things") == kinds("nothing here") == kinds("") == []
+    assert kinds("a moron and an idiot came") == ["strung insult"] and kinds("moron. well. idiot") == ["pursued insult"]
+    assert kinds("moron" + ". well" * 9 + ". idiot") == ["resumed insult"] and kinds("moron" + ". well" * 30 + ". idiot") == []
+    assert kinds("you are not a moron") == ["negated insult"] and kinds('he said "you moron" and left') == ["reported insult"]
+    assert kinds("i will kill you") == kinds("they kill time") == ["targeted threat"] and kinds("it will kill") == ["intended threat"]
+    assert kinds("kill it") == [] and kinds("he said he will kill you") == ["reported threat"] and kinds("never kill you") == ["negated threat"]
+    assert {t: scorer.score(t) >= toxicity.THRESHOLD for t in WRITTEN} == WRITTEN
+    assert scorer.score("you are an idiot") > 0.7 and scorer.score("idiot") == scorer.score("") < 0.1
+
+
+@pytest.mark.parametrize("machine", ["target", "negation", "report", "insult", "threat"])
+def test_no_machine_can_be_left_out(machine):
+    scorer = toxicity.Scorer(plain_model(), frozenset([machine]))
+    assert {t: scorer.score(t) >= toxicity.THRESHOLD for t in WRITTEN} != WRITTEN
+
+
+def test_composition_runs_one_machine_after_the_other():
+    """The composed table does what the machines do in turn, for any symbols."""
+    rng, whole = random.Random(3), toxicity.grammar()
+    symbols = [*toxicity.SYMBOLS, "insult at", "threat at"]
+    for _ in range(300):
+        state, states = whole.start, [m.start for m in toxicity.MACHINES.values()]
+        for _ in range(40):
+            symbol = plain = rng.choice(symbols)
+            for i, machine in enumerate(toxicity.MACHINES.values()):
+                states[i], plain = machine.step(states[i], plain)
+            state, out = whole.table[state, symbol]
+            assert out == plain and (out == "" or out in toxicity.KINDS)
+
+
+def test_held_out_toxic_texts_are_found(llm):
+    """Of 144 held-out toxic texts nine hold no insult or threat of any kind: their label is all that says so."""
+    folder = SF.replace("0.001", "0.1")
+    df = QUERIES["op2_toxicity"](llm, folder).join(llm.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out")
+    n = {(r.toxic, r.predicted): r["count"] for r in df.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] >= 0.9 * (n[1, 1] + n[1, 0]) and n[1, 1] >= 0.95 * (n[1, 1] + n[0, 1])
 
 
 def accuracy(df, labels, column):

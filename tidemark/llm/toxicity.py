@@ -1,12 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols: insult, threat, intent, target, negation, reported speech, clause end, other. Three transducers are
-composed into one machine: the first marks what a negation governs, the second what a verb of speech or a quotation
-governs, the third ties an insult or threat to a target in the same clause. The machine runs over a text once and emits
-matched clauses ("targeted insult", "negated insult", "reported threat" ...); a lone word never scores by itself.
-
-What is learnt comes from a bounded sample of labelled rows: the insult vocabulary (words and word beginnings that stand
-out in toxic texts, with their weights) and how much each kind of clause counts.
+Words become symbols: insult, threat, intent, target, negation, reported speech, clause end, other. Five transducers are composed
+into one machine that reads a text once: what a negation governs, what a verb of speech or a quotation governs, what is aimed at
+a target in its clause, which insults are strung together or pursued, which threats are meant. A target may stand behind the word
+it is meant for, so a sixth machine reads the text from its end and marks the words with a target ahead. Each match is an arc
+with a weight; a text's score is the weight of its path. A lone insult that is aimed at nobody and never taken up again takes no
+weighted arc, and so scores like an empty text; threats count without insults.
+
+What is learnt comes from a bounded sample of labelled rows: the insult vocabulary (words and word beginnings that stand out in
+toxic texts, or that only toxic texts repeat) and the weights of the arcs. Targets, intents, negations and verbs of speech are
+closed classes and stay as they are listed.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import ahocorasick
 import numpy as np
@@ -29,10 +32,14 @@ from tidemark.llm.shared import slices, texts
 FOLDS, HELD_OUT = 3, 1
 #: Labelled rows of each class that are learnt from, and the size of the learnt vocabulary: bounds, whatever the corpus.
 SAMPLE, VOCABULARY = 8_000, 2_000
-#: A learnt word stands in at least ``LEAST`` toxic texts, and in that ``SHARE`` of them (rarer words stand out by chance), and
-#: is that much likelier there (log-likelihood ratio, log odds).
+#: A learnt word stands (or is repeated) in at least ``LEAST`` toxic texts, and in that ``SHARE`` of them (rarer words stand out by
+#: chance), and is that much likelier there (log-likelihood ratio, log odds).
 LEAST, SHARE, EVIDENCE, ODDS = 4, 0.02, 18.0, 3.5
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
+#: Log odds at which a word counts once; a listed insult counts once.
+UNIT, MOST = 4.0, 8.0
+#: Clauses within which an insult is pursued, and resumed.
+NEAR, FAR = 4, 24
 #: Terms a task keeps at once while counting.
 TERMS = 100_000
 THRESHOLD = 0.7
@@ -49,7 +56,11 @@ REPORTS = "said says say called calls quoted wrote claimed sagte sagt nannte dit
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W\d_]+)?|[.!?;:\n]|[\"«»„“”]")
 END, QUOTE, OTHER = "end", "quote", "other"
 _BASES = ("insult", "threat")
-KINDS = [f"{how} {base}" for base in _BASES for how in ("plain", "targeted", "negated", "reported")]
+#: Arcs that carry a weight.
+KINDS = [
+    "targeted insult", "strung insult", "pursued insult", "resumed insult", "negated insult", "reported insult",
+    "targeted threat", "intended threat", "negated threat", "reported threat",
+]
 
 
 # The grammar ------------------------------------------------------------------
@@ -86,14 +97,24 @@ class Transducer:
         return found
 
 
+def _ahead(target: bool, symbol: str):
+    """Read from the end: an insult or threat with a target behind it in its clause is marked."""
+    if symbol == END:
+        return False, symbol
+    if symbol == "target":
+        return True, symbol
+    return target, f"{symbol} at" if target and symbol in _BASES else symbol
+
+
 def _negated(left: int, symbol: str):
     """A negation governs the next three words of its clause."""
     if symbol == "negation":
         return 3, OTHER
     if symbol in (END, QUOTE):
         return 0, symbol
-    if left and symbol in _BASES:
-        return left - 1, f"negated {symbol}"
+    base = symbol.removesuffix(" at")
+    if left and base in _BASES:
+        return left - 1, f"negated {base}"
     return max(left - 1, 0), symbol
 
 
@@ -106,30 +127,76 @@ def _reported(state: tuple[bool, bool], symbol: str):
         return (spoke, spoke and not quoted), OTHER
     if symbol == END:
         return (quoted, quoted), END
-    if (spoke or quoted) and symbol in _BASES:
-        return state, f"reported {symbol}"
+    base = symbol.removesuffix(" at")
+    if (spoke or quoted) and base in _BASES:
+        return state, f"reported {base}"
     return state, symbol
 
 
-def _aimed(state: tuple[bool, bool], symbol: str):
-    """An insult in the clause of a target is aimed at it; a threat needs a target or an intent to count."""
-    target, intent = state
+def _aimed(target: bool, symbol: str):
+    """An insult or threat in the clause of a target is aimed at it, on whichever side the target stands."""
     if symbol == END:
-        return (False, False), ""
+        return False, END
     if symbol == "target":
-        return (True, intent), ""
-    if symbol == "intent":
-        return (target, True), ""
+        return True, OTHER
+    base = symbol.removesuffix(" at")
+    if base in _BASES:
+        return target, f"targeted {base}" if target or symbol != base else base
+    return target, symbol
+
+
+def _insulting(state: tuple[bool, int], symbol: str):
+    """An insult that is not aimed counts if its clause strings it to another, or if it takes up one of the clauses before.
+
+    The machine remembers for ``FAR`` clauses that it has met an insult: a word that recurs a page later is not taken up.
+    """
+    here, since = state
+    if symbol == END:
+        return (False, 1 if here else min(since + 1, FAR + 1) if since else 0), END
+    if symbol == "targeted insult":
+        return (True, since), symbol
     if symbol == "insult":
-        return state, "targeted insult" if target else "plain insult"
+        taken_up = "" if not 0 < since <= FAR else "pursued insult" if since <= NEAR else "resumed insult"
+        return (True, since), "strung insult" if here else taken_up
+    return state, symbol
+
+
+def _threatening(intent: bool, symbol: str):
+    """A threat that is not aimed needs an intent in its clause."""
+    if symbol == END:
+        return False, ""
+    if symbol == "intent":
+        return True, ""
     if symbol == "threat":
-        return state, "targeted threat" if target else "plain threat" if intent else ""
-    return state, symbol if symbol in KINDS else ""
+        return intent, "intended threat" if intent else ""
+    return intent, symbol if symbol in KINDS else ""
 
 
 SYMBOLS = [*_BASES, "intent", "target", "negation", "report", END, QUOTE, OTHER]
-GRAMMAR = Transducer(0, _negated).then(Transducer((False, False), _reported)).then(Transducer((False, False), _aimed))
-_TABLE = GRAMMAR.table(SYMBOLS)
+#: The machines by name, in the order they are composed.
+MACHINES = {
+    "negation": Transducer(0, _negated), "report": Transducer((False, False), _reported), "target": Transducer(False, _aimed),
+    "insult": Transducer((False, 0), _insulting), "threat": Transducer(False, _threatening),
+}
+
+
+@dataclass(frozen=True)
+class Grammar:
+    """The composed machine and the one that reads from the end, as tables."""
+
+    start: object
+    table: dict
+    ahead: dict
+
+
+@lru_cache(8)
+def grammar(without: frozenset[str] = frozenset()) -> Grammar:
+    """The composition of all machines but those named."""
+    whole = reduce(Transducer.then, (m for name, m in MACHINES.items() if name not in without))
+    back = {} if "target" in without else Transducer(False, _ahead).table(SYMBOLS)
+    return Grammar(whole.start, whole.table([*SYMBOLS, *(f"{b} at" for b in _BASES)]), back)
+
+
 _CLASSES = {
     **dict.fromkeys(TARGETS, "target"), **dict.fromkeys(INTENTS, "intent"), **dict.fromkeys(REPORTS, "report"),
     **dict.fromkeys(NEGATIONS, "negation"), **dict.fromkeys(".!?;:\n", END), **dict.fromkeys('"«»„“”', QUOTE),
@@ -144,10 +211,17 @@ class Model:
     weights: tuple[float, ...]
 
 
+#: Weight of a path without matches, and the weights of the arcs (as ``KINDS``) before any label is seen.
+EMPTY = -4.0
+PRIOR = np.array([5.0, 2.5, 2.5, 1.5, 0.3, 0.4, 2.2, 1.8, 0.1, 0.2])
+#: How much matches of one kind count at most.
+FULL = 4.0
+
+
 class Scorer:
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, without: frozenset[str] = frozenset()):
         self.words, self.beginnings, self.weights = dict(model.words), dict(model.beginnings), np.array(model.weights)
-        self.lengths = sorted({len(b) for b in self.beginnings})
+        self.lengths, self.grammar = sorted({len(b) for b in self.beginnings}), grammar(without)
         self.finder = ahocorasick.Automaton()
         for term in {*self.words, *self.beginnings, *THREATS}:
             self.finder.add_word(term, term)
@@ -158,45 +232,52 @@ class Scorer:
         stems = (self.beginnings.get(word[:n], 0.0) for n in self.lengths if len(word) >= n)
         return max(self.words.get(word, 0.0), *stems, 0.0)
 
-    def clauses(self, text: str) -> Iterator[tuple[str, float]]:
-        """The matched clauses of a text, each with the weight of its insult (1 for a threat)."""
+    def matches(self, text: str) -> Iterator[tuple[str, float]]:
+        """The weighted arcs that a text's path takes, each with how much its word counts (1 for a threat)."""
         low = text.lower()
         if not len(self.finder) or next(self.finder.iter(low), None) is None:
             return
-        state = GRAMMAR.start
+        symbols, counts = [], []
         for word in _WORD.findall(low):
-            weight = 0.0
-            symbol = _CLASSES.get(word)
+            symbol, count = _CLASSES.get(word), 1.0
             if symbol is None:
-                weight = self.insult(word)
-                symbol = "insult" if weight else OTHER
-            state, out = _TABLE[state, symbol]
+                count = self.insult(word)
+                symbol = "insult" if count else OTHER
+            symbols.append(symbol)
+            counts.append(count)
+        if self.grammar.ahead:
+            state, table = False, self.grammar.ahead
+            for i in range(len(symbols) - 1, -1, -1):
+                state, symbols[i] = table[state, symbols[i]]
+        state, table = self.grammar.start, self.grammar.table
+        for symbol, count in zip(symbols, counts):
+            state, out = table[state, symbol]
             if out:
-                yield out, weight or 1.0
+                yield out, count
 
     def features(self, text: str) -> np.ndarray:
-        """Per kind of clause, the log of its summed weight; and whether any, and more than one, stands unqualified."""
+        """Per kind of arc, how much its matches count together."""
         sums: dict[str, float] = defaultdict(float)
-        free = 0
-        for kind, weight in self.clauses(text):
-            sums[kind] += weight
-            free += kind.startswith(("plain", "targeted"))
-        return np.array([1.0, free > 0, free > 1, *(math.log1p(sums[k]) if k in sums else 0.0 for k in KINDS)])
+        for kind, count in self.matches(text):
+            sums[kind] += count
+        return np.array([min(sums.get(k, 0.0), FULL) for k in KINDS])
 
     def score(self, text: str) -> float:
-        return float(1 / (1 + math.exp(-np.clip(self.weights @ self.features(text), -30, 30))))
-
-
-#: Prior of the weights: what the kinds of clause count before any label is seen.
-PRIOR = np.array([-3.0, 1.0, 1.0, 0.8, 1.2, 0.1, 0.2, 0.8, 1.6, 0.1, 0.2])
+        return float(1 / (1 + math.exp(-np.clip(EMPTY + self.weights @ self.features(text), -30, 30))))
 
 
 # Learning ---------------------------------------------------------------------
 
 
 def _terms(text: str) -> set[str]:
-    words = set(w for w in _WORD.findall(text.lower()) if len(w) > 2)
-    return words | {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) >= n}
+    """Words and word beginnings (``stem*``) of a text; those that stand in it twice also with a ``+``, three times with two."""
+    words = Counter(w for w in _WORD.findall(text.lower()) if len(w) > 2)
+    terms = words + Counter()
+    for w, n in words.items():
+        for size in BEGINNINGS:
+            if len(w) >= size:
+                terms[f"{w[:size]}*"] += n
+    return {f"{t}{'+' * k}" for t, n in terms.items() for k in range(min(n, 3))}
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +299,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_vocabulary(sample: DataFrame, toxic: int, other: int) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and word beginnings that mark toxic texts, with log odds as weights; a word that a learnt beginning covers is left out."""
+    """Words and word beginnings that mark toxic texts, with how much they count.
+
+    A term stands out by standing in a text, or by being repeated in one (twice, three times). Of beginnings that say the same the longest is kept,
+    and a word that a learnt beginning covers is left out.
+    """
     if not toxic or not other:
         return {}, {}
     a, b = F.col("toxic"), F.col("other")
@@ -233,20 +318,29 @@ def learn_vocabulary(sample: DataFrame, toxic: int, other: int) -> tuple[dict[st
         .where((F.col("odds") >= ODDS) & (F.col("evidence") >= EVIDENCE))
         .orderBy(F.desc("evidence"), "term").limit(VOCABULARY).collect()
     )
+    best: dict[str, tuple[float, float]] = {}
+    for r in rows:  # a term counts by the repetition that tells most
+        term = r["term"].rstrip("+")
+        evidence, odds = best.get(term, (0.0, 0.0))
+        best[term] = max(evidence, round(r["evidence"], 6)), max(odds, r["odds"])
     beginnings: dict[str, float] = {}
-    for r in sorted(rows, key=lambda r: (len(r["term"]), r["term"])):
-        stem = r["term"][:-1]
-        if r["term"].endswith("*") and not any(stem.startswith(k) for k in beginnings):
-            beginnings[stem] = min(r["odds"], 8.0)
-    words = {r["term"]: min(r["odds"], 8.0) for r in rows if not r["term"].endswith("*") and not any(r["term"].startswith(k) for k in beginnings)}
-    return words, beginnings
+    words: dict[str, float] = {}
+    for term, (_, odds) in sorted(best.items(), key=lambda t: (-t[1][0], -len(t[0]), t[0])):
+        stem, count = term.removesuffix("*"), min(odds, MOST) / UNIT
+        if any(stem.startswith(k) for k in beginnings):
+            continue
+        if term == stem:
+            words[stem] = count
+        elif not any(k.startswith(stem) for k in beginnings):
+            beginnings[stem] = count
+    return {w: c for w, c in words.items() if not any(w.startswith(k) for k in beginnings)}, beginnings
 
 
 def learn_weights(x: np.ndarray, y: np.ndarray, pull: float = 1.0) -> np.ndarray:
     """Logistic regression by Newton steps, drawn towards the prior (which it keeps without labels)."""
     w = PRIOR.copy()
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(EMPTY + x @ w, -30, 30)))
         gradient = x.T @ (p - y) + pull * (w - PRIOR)
         curve = (x * (p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w))
         step = np.linalg.solve(curve, gradient)
@@ -264,7 +358,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample, counts = labelled(docs, labels, "toxic", FOLDS, HELD_OUT, SAMPLE)
     toxic, other = counts.get(1, 0), counts.get(0, 0)
     words, beginnings = learn_vocabulary(sample, toxic, other)
-    words = {w: 2.0 for w in INSULTS} | words
+    words = {w: 1.0 for w in INSULTS} | words
     model = Model(tuple(sorted(words.items())), tuple(sorted(beginnings.items())), tuple(PRIOR))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +390,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row.
 
     NULL, empty and blank texts match no clause and get the score of such texts. Repeated rows each keep their row; a
-    row without ``doc_id`` is not held out. An empty table gives an empty result.
+    row without ``doc_id`` is not held out. A very long text is read whole. An empty table gives an empty result.
     """
     model = fit(docs, labels)
     source = texts(docs)
@@ -315,7 +409,10 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that score below the threshold."""
+    """The rows of ``docs``, all columns as they are, that score below the threshold.
+
+    NULL and empty texts stay, as do repeated rows; a very long text is read whole. An empty table stays empty.
+    """
     model, at = fit(docs, labels), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
