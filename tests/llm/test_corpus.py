@@ -244,7 +244,7 @@ def test_chunk_dedup_equals_brute_force(llm, frame):
                     joined[-1][1] = b
                 else:
                     joined.append([a, b])
-            runs[i, later] = sum(b - a for a, b in joined if b - a >= chunk_dedup.MIN_RUN)
+            runs[i, later] = sum(b - a for a, b in joined if b - a >= chunk_dedup.MIN_RUN or (a, b) == (0, len((texts[i] or "").encode())))
     want = {i: (runs[i, False], runs[i, True]) for i in range(len(texts)) if runs[i, False]}
     assert {r.doc_id: (r.n_repeated, r.n_removed) for r in chunk_dedup.summary(docs).collect()} == want and want
     assert chunk_dedup.summary(docs.limit(0)).count() == 0
@@ -306,6 +306,16 @@ def test_large_leaves_are_cut_into_blocks(llm, monkeypatch):
     assert hits >= 0.9 * 5 * len(want)
 
 
+def test_short_copies_count_as_whole_texts(llm, frame):
+    rng = random.Random(8)
+    short = "".join(rng.choice("abcdefgh ") for _ in range(61))
+    other = "".join(rng.choice("stuvwxyz ") for _ in range(150))
+    docs = frame([(3, short), (1, short), (2, short + other), (4, "x"), (5, "x"), (6, other[:40]), (7, None), (8, "")])
+    got = {r.doc_id: (r.n_repeated, r.n_removed, r.n_spans) for r in chunk_dedup.summary(docs).collect()}
+    assert got[1] == (61, 0, 0) and got[3] == (61, 61, 1) and got[4] == (1, 0, 0) and got[5] == (1, 1, 1)
+    assert set(got) <= {1, 2, 3, 4, 5} and got.get(2, (0, 0, 0))[1] in (0, 61)
+
+
 # The pipeline
 
 
