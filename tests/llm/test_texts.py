@@ -1,6 +1,7 @@
 """Operators on single texts, each against a plain version of its contract."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -157,8 +158,69 @@ def test_repetitions_share_labels(llm, frame, tables):
     base = personal_data.base_spans(text)
     added = set(personal_data.all_spans(weights, text, base)) - set(base)
     assert [(personal_data.KINDS[k], text[a:b]) for k, a, b in added] == [("phone", "(974) 555-3436")]
-    alone = text.replace("+1 (974) 555-3436 now", "nobody")
-    assert personal_data.all_spans(weights, alone, personal_data.base_spans(alone)) == []
+    plain = "version 2.0 and 12345678, 3.14 or 20 times, 555-34 36"  # nothing to repeat, nothing that looks like it
+    assert personal_data.all_spans(weights, plain, personal_data.base_spans(plain)) == []
+
+
+def enumerated(weights, text, found):
+    """Beliefs of every node by adding up all labellings."""
+    node, out = personal_data.potentials(weights, text, found), np.zeros((len(found), personal_data.STATES))
+    edges = [(*e, weights.chain) for e in personal_data.beside(found)] + [(*e, weights.skip) for e in personal_data.same(text, found)]
+    for states in itertools.product(range(personal_data.STATES), repeat=len(found)):
+        p = np.exp(sum(node[i, k] for i, k in enumerate(states)) + sum(force for a, b, force in edges if states[a] == states[b]))
+        for i, k in enumerate(states):
+            out[i, k] += p
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def test_marginals_equal_enumeration():
+    rng = random.Random(5)
+    words = ["+1 (974) 555-3436", "(974) 555-3436", "9745553436", "10.1.2.3", "a@b.cd", "A@b.cd", "12345678", "x"]
+    loops = 0
+    for _ in range(40):
+        text = " and ".join(rng.choice(words) + "; so" * rng.choice([0, 0, 30]) for _ in range(rng.randint(1, 5)))
+        found = personal_data.nodes(text, personal_data.base_spans(text) if rng.random() < 0.7 else [])[:6]
+        if not found:
+            continue
+        look = tuple(tuple(rng.gauss(0, 1) for _ in range(personal_data.FEATURES)) for _ in range(personal_data.STATES))
+        weights = personal_data.Weights(look, rng.uniform(0, 0.6), rng.uniform(0, 3))
+        edges = len(personal_data.beside(found)) + len(personal_data.same(text, found))
+        got, want = personal_data.marginals(weights, text, found), enumerated(weights, text, found)
+        tree = edges < len(found) and not set(personal_data.beside(found)) & set(personal_data.same(text, found))
+        loops += not tree
+        assert np.abs(got - want).max() < (1e-3 if tree else 0.25)
+        if not tree:
+            assert (got.argmax(axis=1) == want.argmax(axis=1)).mean() >= 0.5
+    assert loops > 5
+
+
+def test_couplings_are_learnt():
+    """Repetitions that agree keep their coupling, repetitions that do not lose it; hidden nodes say nothing."""
+    agree = [((3, *[0] * 5, 0, 0, 0, 1, 0, 0, 9), 50), ((4, *[0] * 5, 0, 0, 0, 0, 1, 0, 10), 50)]
+    differ = [((3, *[0] * 5, 0, 0, 0, 0, 1, 0, 9), 50), ((4, *[0] * 5, 0, 0, 0, 1, 0, 0, 9), 50)]  # of one look
+    assert personal_data.learnt(agree).skip >= personal_data.SKIP > personal_data.learnt(differ).skip + 1
+    assert personal_data.learnt([]).skip == personal_data.SKIP
+    shown = list(personal_data.examples("call +1 (974) 555-3436 or 12345678" + " x" * 60 + " then (974) 555-3436"))
+    assert len(shown) == 2 and [r[0] for r in shown] == [3, 4]
+
+
+def test_planted_repetitions_in_other_forms_are_found(llm, tables):
+    """Numbers and addresses of the given texts, repeated far away without what the patterns need."""
+    weights, rng = personal_data.learn(tables("documents")), random.Random(2)
+    planted = caught = wrong = 0
+    for r in tables("documents").collect():
+        for kind, a, b in personal_data.base_spans(r.text):
+            word = r.text[a:b]
+            other = {0: word.replace("@", " [at] "), 2: ".".join(re.findall("[0-9]{1,4}", re.sub("[ -]", "", word))), 3: word.lstrip("+")}.get(kind)
+            if other is None:
+                continue
+            text = r.text + " lorem ipsum" * rng.randint(1, 40) + " so " + other + " it is, 4471 times."
+            at = text.rindex(other)
+            added = set(personal_data.all_spans(weights, text, personal_data.base_spans(text))) - set(personal_data.base_spans(text))
+            planted += 1
+            caught += any(k == kind and x < at + len(other) and y > at for k, x, y in added)
+            wrong += sum(not (x < at + len(other) and y > at) for _, x, y in added)
+    assert planted >= 10 and caught >= 0.9 * planted and wrong <= 0.05 * planted
 
 
 def test_personal_data_query_and_mask(llm, frame, tables):

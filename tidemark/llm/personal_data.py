@@ -4,7 +4,11 @@ The patterns give the base spans, which always stay. Everything in a text that l
 of the field, labelled other, email, ip, card or phone. Neighbouring nodes form a chain; nodes with equal or similar text
 ("+1 (974) 555-3436" and a later "(974) 555-3436") share a potential, however far apart. Loopy belief propagation makes the
 labels consistent across the document: a node the patterns missed takes the label of its repetitions, if its own look allows.
-Nodes under base spans are observed. Weights are learnt from a bounded sample of documents, with the base spans as labels.
+Nodes under base spans are observed.
+
+All weights, the couplings too, are learnt together by pseudo-likelihood from a bounded sample of documents, with the base spans
+as labels. The patterns are no judge of what they miss: a node without a base span that repeats one with it in another form is
+hidden, neither a label nor evidence against the coupling.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from tidemark.llm.shared import slices, texts
 KINDS = ("email", "ip", "card", "phone")
 #: Documents the weights are learnt from (a bound, whatever the corpus), and how sure an added label must be.
 SAMPLE, SURE = 20_000, 0.9
+#: What the couplings are drawn to before any document is seen: neighbours say little, the same number or address much.
+CHAIN, SKIP, PULL = 0.0, 6.0, 5.0
 
 Span = tuple[int, int, int]  # kind (place in KINDS), start, end
 
@@ -146,16 +152,26 @@ class Weights:
     skip: float  # repetitions share a label
 
 
-def marginals(weights: Weights, text: str, found: list[tuple[int, int, int]]) -> np.ndarray:
-    """Beliefs of every node after loopy sum-product with damping; exact where the graph is a tree."""
+def beside(found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Chain edges: nodes that follow each other closely."""
+    return [(i, i + 1) for i in range(len(found) - 1) if found[i + 1][0] - found[i][1] <= 80]
+
+
+def potentials(weights: Weights, text: str, found: list[tuple[int, int, int]]) -> np.ndarray:
+    """Log potentials of the nodes by themselves; an observed one has a single state."""
     look = np.array(weights.look)
     node = np.stack([look[:, list(features(text, a, b))].sum(axis=1) for a, b, _ in found])
     for i, (_, _, seen) in enumerate(found):
         if seen >= 0:
             node[i] = -50.0
             node[i, seen] = 0.0
-    chain = [(i, i + 1) for i in range(len(found) - 1) if found[i + 1][0] - found[i][1] <= 80]
-    skip = same(text, found)
+    return node
+
+
+def marginals(weights: Weights, text: str, found: list[tuple[int, int, int]]) -> np.ndarray:
+    """Beliefs of every node after loopy sum-product with damping; exact where the graph is a tree."""
+    node = potentials(weights, text, found)
+    chain, skip = beside(found), same(text, found)
     pairs = np.array(chain + skip, np.int64).reshape(-1, 2)
     if not len(pairs):
         return _softmax(node)
@@ -188,7 +204,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def all_spans(weights: Weights, text: str, base: list[Span]) -> list[Span]:
     """The base spans and those the field adds, by start, then kind."""
-    found = nodes(text, base) if base else []  # without an observed label nothing can spread
+    found = nodes(text, base)
     if all(seen >= 0 for _, _, seen in found):
         return base
     beliefs = marginals(weights, text, found)
@@ -202,11 +218,30 @@ def all_spans(weights: Weights, text: str, base: list[Span]) -> list[Span]:
 # Learning ---------------------------------------------------------------------
 
 
+def examples(text: str) -> Iterator[tuple[int, ...]]:
+    """What learning takes from a text, a row per node that is not hidden: its label, the labels of its neighbours in the chain
+    and among its repetitions (counted per state), then its look."""
+    found = nodes(text, base_spans(text))
+    chain, skip = beside(found), same(text, found)
+    labels = [seen if seen >= 0 else STATES - 1 for _, _, seen in found]
+    hidden = {j for a, b in skip for i, j in ((a, b), (b, a)) if found[i][2] >= 0 > found[j][2]}
+    near = np.zeros((2, len(found), STATES), int)
+    for kind, edges in enumerate((chain, skip)):
+        for a, b in edges:
+            for i, j in ((a, b), (b, a)):
+                if j not in hidden:
+                    near[kind, i, labels[j]] += 1
+    for i, (start, end, _) in enumerate(found):
+        if i not in hidden:
+            yield (labels[i], *near[0, i].tolist(), *near[1, i].tolist(), *features(text, start, end))
+
+
 def learn(docs: DataFrame) -> Weights:
-    """Weights from the base labels of about ``SAMPLE`` documents.
+    """Weights from the base labels of about ``SAMPLE`` documents, by pseudo-likelihood: each node given its neighbours.
 
-    The look of nodes by multinomial logistic regression with a pull to zero, the two couplings by the log odds of linked
-    nodes sharing a label. Counts are added up in Spark; what reaches the driver is a row per distinct look and label.
+    That is a regression with one weight per look and state, and one for each coupling: how much a neighbour's label speaks for
+    the same label. Looks are pulled to zero, the couplings to ``CHAIN`` and ``SKIP``. Examples are counted in Spark; what reaches
+    the driver is a row per distinct one.
     """
     sample = thinned(texts(docs), docs.count(), SAMPLE, "personal data")
 
@@ -214,35 +249,38 @@ def learn(docs: DataFrame) -> Weights:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(1).to_pylist():
-                found = nodes(text, base_spans(text))
-                kinds = [k if k >= 0 else len(KINDS) for _, _, k in found]
-                seen.update((kind, *features(text, a, b)) for kind, (a, b, _) in zip(kinds, found))
-                for name, pairs in ((-1, zip(range(len(found)), range(1, len(found)))), (-2, same(text, found))):
-                    seen.update((name, int(kinds[i] == kinds[j])) for i, j in pairs)
+                seen.update(examples(text))
         rows = list(seen.items())
         yield pa.RecordBatch.from_arrays(
             [pa.array([list(k) for k, _ in rows], pa.list_(pa.int32())), pa.array([n for _, n in rows], pa.int64())], ["look", "n"]
         )
 
     rows = sample.mapInArrow(run, "look array<int>, n long").groupBy("look").agg(F.sum("n").alias("n")).orderBy("look").collect()
-    counts = {tuple(r["look"]): r["n"] for r in rows}
-
-    def coupling(name: int, least: float) -> float:
-        # pairs that agree, against pairs that do not; at least what repetition of a text by itself suggests
-        return float(np.clip(np.log((counts.get((name, 1), 0) + 1) / (counts.get((name, 0), 0) + 1)), least, 6.0))
-
-    looks = [(k, n) for k, n in counts.items() if k[0] >= 0]
-    x = np.zeros((len(looks), FEATURES))
-    y = np.zeros((len(looks), STATES))
-    for i, (k, n) in enumerate(looks):
-        x[i, list(k[1:])] = 1
-        y[i, k[0]] = n
-    w = np.zeros((STATES, FEATURES))
-    total = max(y.sum(), 1.0)
-    for _ in range(400):
-        p = _softmax(x @ w.T) * y.sum(axis=1, keepdims=True) if len(looks) else y
-        w -= 2.0 * ((p - y).T @ x / total + 1e-3 * w)
-    return Weights(tuple(map(tuple, w)), min(coupling(-1, 0.0), 0.5), coupling(-2, 3.0))
+    return learnt([(tuple(r["look"]), r["n"]) for r in rows])
+
+
+def learnt(rows: list[tuple[tuple[int, ...], int]], steps: int = 400) -> Weights:
+    """Weights of greatest pseudo-likelihood for counted ``examples``."""
+    x, y = np.zeros((len(rows), FEATURES)), np.zeros((len(rows), STATES))
+    near = np.zeros((2, len(rows), STATES))
+    for i, (row, n) in enumerate(rows):
+        y[i, row[0]] = n
+        near[0, i], near[1, i] = row[1:1 + STATES], row[1 + STATES:1 + 2 * STATES]
+        x[i, list(row[1 + 2 * STATES:])] = 1
+    size = y.sum(axis=1, keepdims=True)
+    total, prior = max(float(y.sum()), 1.0), np.array([CHAIN, SKIP])
+    w, couple = np.zeros((STATES, FEATURES)), prior.copy()
+    for _ in range(steps if len(rows) else 0):
+        wrong = _softmax(x @ w.T + couple[0] * near[0] + couple[1] * near[1]) * size - y
+        w -= 2.0 * (wrong.T @ x / total + 1e-3 * w)
+        # the couplings by a damped Newton step each, as few nodes have neighbours
+        for k in (0, 1):
+            share = _softmax(x @ w.T + couple[0] * near[0] + couple[1] * near[1])
+            mean = (share * near[k]).sum(axis=1, keepdims=True)
+            slope = ((share * size - y) * near[k]).sum() + PULL * (couple[k] - prior[k])
+            curve = (size * share * (near[k] - mean) ** 2).sum() + PULL
+            couple[k] = np.clip(couple[k] - np.clip(slope / curve, -0.5, 0.5), 0.0, 8.0)
+    return Weights(tuple(map(tuple, w)), float(couple[0]), float(couple[1]))
 
 
 # The operator -----------------------------------------------------------------
@@ -255,7 +293,7 @@ def _written(spans: list[Span]) -> str:
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` for every row.
 
-    NULL and empty texts have no spans (the digest is that of the empty text). Repeated rows, and rows without ``doc_id``,
+    NULL and empty texts have no spans (the digest is that of the empty text); very long ones are read whole. Repeated rows, and rows without ``doc_id``,
     each keep their row. An empty table gives an empty result.
     """
     weights, source = learn(docs), texts(docs)
