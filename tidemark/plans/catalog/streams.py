@@ -9,7 +9,7 @@ from tidemark.plans.catalog.registry import Tables, query
 from tidemark.plans.catalog.standins import RUN_TS
 from tidemark.plans.sync import SyncRun
 from tidemark.sinks import VersionedTable, shared_folder
-from tidemark.specs import FEEDS, TableSpec
+from tidemark.specs import FEEDS, SYNC_LOG, TableSpec
 from tidemark.streaming import PushSink, start_push_stream, start_upsert_stream
 
 USER_STATE = TableSpec(
@@ -105,6 +105,4 @@ FROM events WHERE event_type <> 'error' GROUP BY ALL
 )
 def stream_watermarks(t: Tables) -> DataFrame:
     """The watermarks the same stream leaves in the log, per route."""
-    from tidemark.specs import SYNC_LOG
-
     return _pushed(t).run.table(SYNC_LOG).read().select("table_name", "last_sync_time", "CompanyId")

@@ -70,26 +70,26 @@ def apply_pushed(sink: PushSink, bodies: DataFrame, batch_id: int) -> None:
     parsed = parse_bodies(bodies).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         records = route_records(parsed, "company_id", *ARRIVAL)
-        routes = [r["route"] for r in parsed.filter("size(records) > 0").select("route").distinct().collect()]
+        # One pass tells what there is to write; at most as many routes as exist reach the driver.
+        known = F.when(F.col("route").isin(list(ROUTES)) & (F.size("records") > 0), F.col("route"))
+        routes, tenantless, mismatched = parsed.agg(
+            F.collect_set(known), F.count_if(F.col("status") == "rejected_tenant"), F.count_if(F.size("mismatched") > 0)
+        ).first()
         with ThreadPoolExecutor(len(ROUTES)) as pool:  # routes have tables of their own, so their jobs run side by side
             list(pool.map(
-                lambda route: apply_route(sink, route, records.filter(F.col("route") == route), query, batch_id),
-                sorted(r for r in routes if r in ROUTES),
+                lambda route: apply_route(sink, route, records.filter(F.col("route") == route), query, batch_id), sorted(routes)
             ))
         push_outcomes(parsed, "company_id", *ARRIVAL).write.mode("overwrite").parquet(
             f"{sink.outcomes()}/{place}"
         )
-        tenantless = parsed.filter("status = 'rejected_tenant'").select(
-            F.array(F.lit("missing_tenant")).alias("reasons"), *bodies.columns
-        )
-        set_apart(tenantless).write.mode("overwrite").json(f"{run.quarantine('tenantless')}/{sink.writer}/{place}")
-        mismatched = parsed.filter("size(mismatched) > 0").select(
-            F.array(F.lit("type_mismatch")).alias("reasons"),
-            "route", "company_id", *ARRIVAL, "mismatched",
-        )
-        set_apart(mismatched).write.mode("overwrite").json(
-            f"{run.quarantine('pushed')}/{sink.writer}/{place}"
-        )
+        if tenantless:
+            rows = parsed.filter("status = 'rejected_tenant'").select(F.array(F.lit("missing_tenant")).alias("reasons"), *bodies.columns)
+            set_apart(rows).write.mode("overwrite").json(f"{run.quarantine('tenantless')}/{sink.writer}/{place}")
+        if mismatched:
+            rows = parsed.filter("size(mismatched) > 0").select(
+                F.array(F.lit("type_mismatch")).alias("reasons"), "route", "company_id", *ARRIVAL, "mismatched"
+            )
+            set_apart(rows).write.mode("overwrite").json(f"{run.quarantine('pushed')}/{sink.writer}/{place}")
         now = instant_literal(sink.run_ts)
         moved = records.groupBy("route", "company_id").agg(F.max("received_at").alias("newest"))
         run.table(SYNC_LOG).upsert(
@@ -121,9 +121,10 @@ def apply_route(sink: PushSink, route: str, records: DataFrame, query: str, batc
     good, bad = split_valid(records, rules)
     order = [*ARRIVAL, "pos"]
     # Bad rows first: a batch whose table is committed is not looked at again.
-    set_apart(bad).write.mode("overwrite").json(
-        f"{sink.run.quarantine(spec.name)}/{sink.writer}/query={query}/batch={batch_id}"
-    )
+    if not bad.isEmpty():
+        set_apart(bad).write.mode("overwrite").json(
+            f"{sink.run.quarantine(spec.name)}/{sink.writer}/query={query}/batch={batch_id}"
+        )
     table.upsert(
         conform_payload(good, spec, "company_id", *order).withColumnRenamed("company_id", TENANT),
         seq=order,
