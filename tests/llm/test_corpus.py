@@ -316,6 +316,24 @@ def test_short_copies_count_as_whole_texts(llm, frame):
     assert set(got) <= {1, 2, 3, 4, 5} and got.get(2, (0, 0, 0))[1] in (0, 61)
 
 
+def test_chunk_dedup_gives_every_row_and_what_is_left(llm, frame, tmp_path):
+    texts = {(i, t) for i, t in enumerate(corpus(5))} | {(900, None), (901, ""), (None, "x" * 300), (None, "of one's own"), (902, "x" * 300)}
+    docs = frame(sorted(texts, key=str))
+    counts = {(r.doc_id, r.n_repeated, r.n_removed) for r in chunk_dedup.summary(docs).collect()}
+    left = defaultdict(list)
+    for r in chunk_dedup.dedup(docs).collect():
+        left[r.doc_id].append(r)
+    assert sorted(map(str, left)) == sorted({str(i) for i, _ in texts}) and sum(map(len, left.values())) == len(texts)
+    for i, t in texts:
+        data = (t or "").encode()
+        gone = lambda r: [k for s in r.spans for k in range(s.start, s.end)]
+        assert any(r.n_bytes == len(data) and bytes(b for k, b in enumerate(data) if k not in set(gone(r))) == bytes(r.kept) and len(gone(r)) == r.n_removed for r in left[i])
+    assert {(r.doc_id, r.n_repeated, r.n_removed) for rows in left.values() for r in rows if r.n_repeated} == counts and counts
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op7_chunk_dedup"](llm, str(tmp_path))
+    assert got.count() == len(texts) and {"n_bytes", "kept_sha256"} <= set(got.columns)
+
+
 # The pipeline
 
 

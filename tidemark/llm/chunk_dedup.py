@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.shared import lanes, slices, texts
+from tidemark.llm.shared import slices, texts
 
 #: A cut needs ``CUT_BITS`` zero bits: a chunk has 16 to 256 bytes, about 48 on average. A shared passage loses the chunks at
 #: its ends, so of passages of 51 words (about 330 bytes) some 2 % keep less than ``MIN_RUN`` bytes of whole chunks, of 60 words
@@ -117,9 +117,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = chunks(docs)  # made twice: cheaper than to store or shuffle them once more
     first = F.min(F.struct("doc_id", "tag", "start"))
     many = rows.groupBy("d0", "d1").agg(F.count("*").alias("times"), first.alias("first")).where("times > 1")
-    many = many.drop("times").repartition(lanes(docs.sparkSession))  # so the join can split a chunk that many texts share
+    # Joined by another expression than it was grouped by, so that the join shuffles both sides and can split a chunk that many
+    # texts share.
+    many = many.select(F.col("d0").bitwiseXOR(F.lit(1)).alias("e0"), F.col("d1").alias("e1"), "first")
     found = (
-        rows.join(many, ["d0", "d1"])
+        rows.join(many, (F.col("d0").bitwiseXOR(F.lit(1)) == F.col("e0")) & (F.col("d1") == F.col("e1")))
         .select("doc_id", "tag", "start", "piece",
                 (~F.struct("doc_id", "tag", "start").eqNullSafe(F.col("first"))).alias("after"))
         .groupBy("doc_id", "tag", "start", "piece").agg(F.max("after").alias("after"))
@@ -142,11 +144,52 @@ def summary(docs: DataFrame) -> DataFrame:
     ``n_repeated`` counts the bytes of all repeated runs, ``n_removed`` and ``n_spans`` those that dedup removes.
     Documents without repeated runs have no row.
     """
-    size = F.col("size").cast("long")
-    return (
-        repeated_spans(docs).groupBy("doc_id", "tag").agg(
-            F.sum(F.when(~F.col("later"), size).otherwise(0)).alias("n_repeated"),
-            F.sum(F.when(F.col("later"), size).otherwise(0)).alias("n_removed"),
-            F.sum(F.when(F.col("later"), 1).otherwise(0)).cast("long").alias("n_spans"),
-        ).select("doc_id", "n_repeated", "n_removed", "n_spans")
+    return _per_text(docs).select("doc_id", "n_repeated", "n_removed", "n_spans")
+
+
+def _per_text(docs: DataFrame) -> DataFrame:
+    """The counts of :func:`summary` by ``doc_id, tag``, and the removed ``spans`` in order: as many as a text has at most."""
+    size, removed = F.col("size").cast("long"), F.when(F.col("later"), F.struct("start", "size"))
+    return repeated_spans(docs).groupBy("doc_id", "tag").agg(
+        F.sum(F.when(~F.col("later"), size).otherwise(0)).alias("n_repeated"),
+        F.sum(F.when(F.col("later"), size).otherwise(0)).alias("n_removed"),
+        F.sum(F.when(F.col("later"), 1).otherwise(0)).cast("long").alias("n_spans"),
+        F.array_sort(F.collect_list(removed)).alias("spans"),
     )
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_repeated, n_removed, spans, kept``: every row, with the byte spans dedup removes and the bytes that stay.
+
+    NULL and empty texts lose nothing, nor do rows that come twice with one ``doc_id`` and text lose it to each other.
+    """
+    source = texts(docs)
+    kind = source.schema["doc_id"].dataType.simpleString()
+
+    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            tags = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tags, pa.int64())], ["doc_id", "text", "tag"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sizes, kept, spans = [], [], []
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                data = text.encode("utf-8", "surrogatepass")
+                gone = [(s["start"], s["start"] + s["size"]) for s in found or []]
+                edges = [0, *(x for s in gone for x in s), len(data)]
+                sizes.append(len(data))
+                spans.append([{"start": a, "end": b} for a, b in gone])
+                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
+            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), batch.column("n_repeated"), batch.column("n_removed"), pa.array(spans, span), pa.array(kept, pa.binary())],
+                ["doc_id", "n_bytes", "n_repeated", "n_removed", "spans", "kept"],
+            )
+
+    rows = source.mapInArrow(tagged, f"doc_id {kind}, text string, tag long").alias("t")
+    joined = rows.join(_per_text(docs).alias("f"), F.expr("t.doc_id <=> f.doc_id AND t.tag = f.tag"), "left")
+    none = F.lit(0).cast("long")
+    return joined.select(
+        "t.doc_id", "t.text", F.coalesce("n_repeated", none).alias("n_repeated"), F.coalesce("n_removed", none).alias("n_removed"), "spans"
+    ).mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_repeated long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")

@@ -80,8 +80,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that share content-defined chunks, with what dedup removes from them."""
-    return chunk_dedup.summary(table(sf_dir, "documents", spark))
+    """Every document with its bytes in chunks that stand elsewhere too, what dedup removes of them, and what is left."""
+    found = chunk_dedup.dedup(table(sf_dir, "documents", spark))
+    return found.select(
+        "doc_id", "n_repeated", "n_removed", F.size("spans").cast("long").alias("n_spans"), "n_bytes", F.sha2("kept", 256).alias("kept_sha256"),
+    )
 
 
 @query
