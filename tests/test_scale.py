@@ -180,3 +180,22 @@ def test_text_feeds_of_wide_tables_are_planned_quickly(spark):
     for rows in (conform_source(good, OPPORTUNITIES), conform_payload(pushed, OPPORTUNITIES)):
         plan(collapse(rows, OPPORTUNITIES.keys, ["Name"], last=OPPORTUNITIES.update_columns))
     assert time.time() - start < 20
+
+
+def test_fixed_batches_are_not_packed_and_wide_rows_compile(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from tidemark.operators.conform import reasons_of
+    from tidemark.sinks import VersionedTable
+    from tidemark.specs import OPPORTUNITIES
+
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    kept = []
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda self, *a: kept.append(1) or self)
+    table = VersionedTable(spark, f"{tmp_path}/t", OPPORTUNITIES, 2)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000" and issubclass(type(spark.range(0)), DataFrame)
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), (None, "z", 3)], "SalesforceId string, Name string, n int")
+    table.upsert(rows, seq=["n"], fixed=True)
+    assert not kept and [(r.SalesforceId, r.Name) for r in table.read().collect()] == [("a", "y")] and table.keyless().count() == 1
+    tests = {"none": F.lit(None).cast("boolean"), "one": F.col("n") == 1, "odd": F.col("n") % 2 == 1}
+    assert {r.n: r.reasons for r in rows.select("n", reasons_of(tests).alias("reasons")).collect()} == {1: ["one", "odd"], 2: [], 3: ["odd"]}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions import instant_sql, safe_parse_date_sql
 from tidemark.specs import TableSpec
@@ -112,14 +113,21 @@ def type_rules(df: DataFrame, spec: TableSpec, fields: str | None = None) -> dic
     return rules
 
 
+def reasons_of(tests: Mapping[str, Column]) -> Column:
+    """The names of the tests a row meets, in their order. Named only where some test is met: the list is not compiled, the tests are."""
+    none = F.array().cast("array<string>")
+    if not tests:
+        return none
+    named = F.array_compact(F.array(*[F.when(test, F.lit(reason)) for reason, test in tests.items()]))
+    return F.when(reduce(lambda a, b: a | b, tests.values()), named).otherwise(none)
+
+
 def split_valid(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad rows with ``reasons``: every rule they break, in rule order.
 
     Nothing is dropped: the two parts together are the input.
     """
-    tests = ", ".join(f"CASE WHEN {test} THEN '{reason}' END" for reason, test in rules.items())
-    broken = F.expr(f"array_compact(array({tests}))" if rules else "CAST(array() AS array<string>)")
-    judged = df.withColumn("reasons", broken)
+    judged = df.withColumn("reasons", reasons_of({reason: F.expr(test) for reason, test in rules.items()}))
     good = judged.filter(F.size("reasons") == 0).drop("reasons")
     bad = judged.filter(F.size("reasons") > 0)
     return good, bad

@@ -20,7 +20,7 @@ from tidemark.sinks import VersionedTable
 from tidemark.sources import judged_extract, only_referencing
 from tidemark.sources.extract import LANDING, feed_instant
 from tidemark.specs import FEEDS, SYNC_LOG, TENANT, TableSpec
-from tidemark.workspace import PLACE, scratch, staged
+from tidemark.workspace import PLACE, compiled, scratch, staged
 
 
 @dataclass
@@ -195,6 +195,9 @@ class SyncRun:
     root: str
     buckets: int = 64
 
+    def __post_init__(self) -> None:
+        compiled(self.spark)
+
     def table(self, spec: TableSpec) -> VersionedTable:
         """A stored table. Feeds are kept with their tenant, whether pulled or pushed."""
         spec = spec.with_tenant() if spec.name in FEEDS else spec
@@ -249,7 +252,7 @@ def run_feed(
         judged = staged(judge(spec, source, marks, overlap=overlap), f"feed-{spec.name}", place=True)
         batch, good, bad = extract_batch(spec, judged, related=related)
         rows, order = batch_rows(spec, good, read_order(source, seq))
-        run.table(spec).upsert(rows, seq=order)
+        run.table(spec).upsert(rows, seq=order, fixed=True)
         set_apart(bad).write.mode("overwrite").json(f"{run.quarantine(spec.name)}/run={stamp(run_ts)}")
         stats = staged(extract_stats(batch, spec.ts_col), "stats")
         report = kept_report(run, spec.name, run_ts, sync_report(spec.name, stats, marks))

@@ -22,6 +22,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.merge import any_null, merge
 from tidemark.specs import TableSpec
+from tidemark.workspace import compiled
 
 BUCKET = "bucket"
 ACTION = "__action"
@@ -58,6 +59,7 @@ class VersionedTable:
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        compiled(spark)
         known = self.pointer()
         self.bucket_count = known.bucket_count or buckets
         if known.keys is not None and (known.keys, known.columns) != (list(spec.keys), list(spec.columns)):
@@ -209,16 +211,20 @@ class VersionedTable:
         present: str | None = None,
         applied: tuple[str, int] | None = None,
         whole: bool = False,
+        fixed: bool = False,
     ) -> int:
         """Merge a batch and return the version. ``applied=(writer, batch)`` makes a replay a no-op.
 
         Only the numbers of the touched buckets (at most ``buckets``) reach the
         driver. ``whole`` is for a batch known to touch most of the table: all
         buckets are rewritten. Rows without a key are set apart in ``<path>/keyless``.
+        ``fixed`` is for a batch that reads the same however often it is read (a stage of a run): it is not kept beside it,
+        as packing wide rows costs more than reading their keys twice.
         A batch that loses its version to another writer is merged into that one.
         """
         keep = [c for c in (*(seq or ()), present) if c]
-        batch = self._typed(source, *keep).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = self._typed(source, *keep)
+        batch = batch if fixed else batch.persist(StorageLevel.MEMORY_AND_DISK)
         options = dict(
             update=self.spec.update_columns, seq=seq, event_col=event_col, present=present,
             null_safe=self.spec.null_safe, null_keys=False,
@@ -236,7 +242,8 @@ class VersionedTable:
                     if attempt + 1 == RETRIES:
                         raise
         finally:
-            batch.unpersist()
+            if not fixed:
+                batch.unpersist()
 
     def _upsert(
         self, batch: DataFrame, old: Pointer, applied: tuple[str, int] | None, options: dict, whole: bool, name: str

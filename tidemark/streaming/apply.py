@@ -130,6 +130,7 @@ def apply_route(sink: PushSink, route: str, records: DataFrame, query: str, batc
         seq=order,
         present="present" if sink.present_only else None,
         applied=(writer, batch_id),
+        fixed=True,  # the parsed bodies are kept
     )
 
 

@@ -10,6 +10,7 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 #: Column with a row's place in a stage: the task that wrote it, then its row.
 PLACE = "__place"
 
@@ -27,6 +28,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def compiled(spark: SparkSession) -> None:
+    """Let Spark split up generated code that the JVM would not compile (methods over 8,000 bytes), as wide rows make it.
+
+    What the session says itself stands.
+    """
+    if spark.conf.get(METHOD_LIMIT) == "65535":
+        spark.conf.set(METHOD_LIMIT, "8000")
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete the stages made within, however the block ends. What is returned from it must not read them."""
