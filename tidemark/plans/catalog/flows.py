@@ -291,7 +291,9 @@ def stream_feed(t: Tables) -> DataFrame:
         F.col("l_returnflag").alias("StageName"), F.concat(F.translate(F.col("l_shipdate").cast("string"), " ", "T"), F.lit("Z")).alias("LastModifiedDate"),
     ))
     for landing in (2, 0, 1):
-        t.lineitem.where(F.col("l_linenumber") % 3 == landing).select(line.alias("value")).write.mode("append").text(f"{root}/landed")
+        # A landing is a bounded number of files, as a batch is: with files of fixed size a run would take more batches the
+        # larger the feed is, each of them over a table that is larger too.
+        t.lineitem.where(F.col("l_linenumber") % 3 == landing).select(line.alias("value")).coalesce(12).write.mode("append").text(f"{root}/landed")
         rows = read_landed(t.spark, f"{root}/landed", spec, "json", stream=True, maxFilesPerTrigger="4")
         start_feed_stream(run, spec, rows, lambda: companies(t), f"{root}/checkpoint", writer="hourly", run_ts=RUN_TS).awaitTermination()
     marks = watermarks(run.table(SYNC_LOG).read(), spec.log_key).select("CompanyId", F.col("last_sync").alias("watermark"))

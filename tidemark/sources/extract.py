@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import instant, to_millis
+from tidemark.operators.conform import reasons_of
 from tidemark.specs import TENANT, TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -171,8 +172,7 @@ def judged_extract(
         "missing_tenant": F.col(tenant).isNull(),
         "unknown_tenant": F.col(tenant).isNotNull() & ~known,
     }
-    reasons = F.array_compact(F.array(*[F.when(test, F.lit(reason)) for reason, test in tests.items()]))
     return (
         joined.filter(at.isNull() | ~known | new)
-        .withColumns({"reasons": reasons, "placed": at.isNotNull() & known}).drop("__tenant", "__last_sync")
+        .withColumns({"reasons": reasons_of(tests), "placed": at.isNotNull() & known}).drop("__tenant", "__last_sync")
     )

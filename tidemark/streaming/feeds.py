@@ -54,7 +54,7 @@ def apply_landed(
         judged = staged(judge(spec, rows, everything), f"landed-{spec.name}", place=True)
         batch, good, bad = extract_batch(spec, judged, related=related() if related else None)
         target, order = batch_rows(spec, good, read_order(rows))
-        run.table(spec).upsert(target, seq=order, event_col=event_column(spec), applied=applied)
+        run.table(spec).upsert(target, seq=order, event_col=event_column(spec), applied=applied, fixed=True)
         set_apart(bad).write.mode("overwrite").json(f"{run.quarantine(spec.name)}/run={name}")
         stats = staged(extract_stats(batch, spec.ts_col), "stats")
         sync_report(spec.name, stats, marks).write.mode("overwrite").parquet(f"{run.root}/reports/{spec.name}/run={name}")
