@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import to_millis
 from tidemark.operators import assemble_metadata, custom_attribute_rows, custom_value_rows, fields_with_values, merge
-from tidemark.operators.conform import CORRUPT
+from tidemark.operators.conform import CORRUPT, reasons_of
 from tidemark.operators.sizing import measured
 from tidemark.plans.sync import SyncRun, kept_report, log_updates, set_apart, stamp, sync_report, watermarks
 from tidemark.sources.records import AT, OBJECT, Landed, field_values, read_wide, wide_records
@@ -62,11 +62,10 @@ def judge_records(records: DataFrame, marks: DataFrame) -> DataFrame:
         "missing_tenant": F.col(TENANT).isNull(),
         "unknown_tenant": F.col(TENANT).isNotNull() & listed & ~known,
     }
-    reasons = F.array_compact(F.array(*[F.when(test, F.lit(reason)) for reason, test in tests.items()]))
     new = F.col("last_sync").isNull() | (F.col(AT) > to_millis(F.col("last_sync")))
     return (
         joined.where(F.col(AT).isNull() | ~known | new)
-        .withColumns({"reasons": reasons, "placed": F.col(AT).isNotNull() & known}).drop("__known", "last_sync")
+        .withColumns({"reasons": reasons_of(tests), "placed": F.col(AT).isNotNull() & known}).drop("__known", "last_sync")
     )
 
 
@@ -231,7 +230,7 @@ def run_custom_fields(
         run.table(CUSTOM_ATTRIBUTES).upsert(new.attributes)
         values = run.table(CUSTOM_VALUES)
         rows = emptying_only(values.read(), new.values) if clear_nulls else new.values
-        values.upsert(rows, seq=[AT, PLACE])
+        values.upsert(rows, seq=[AT, PLACE], fixed=True)
         set_apart(new.quarantine).write.mode("overwrite").json(f"{run.quarantine(name)}/run={stamp(run_ts)}")
         report = kept_report(run, name, run_ts, new.report)
         log.upsert(new.sync_log)
