@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -334,6 +335,31 @@ def test_chunk_dedup_gives_every_row_and_what_is_left(llm, frame, tmp_path):
     assert got.count() == len(texts) and {"n_bytes", "kept_sha256"} <= set(got.columns)
 
 
+def test_chunks_tell_what_their_text_holds_before(frame):
+    rng = random.Random(10)
+    passage = " ".join(f"w{rng.randint(0, 999)}" for _ in range(60))
+    texts = [passage, f"{passage} {passage} {passage}", f"{passage} {passage}", "", None]
+    held = defaultdict(set)
+    for r in chunk_dedup.chunks(frame(texts)).orderBy("doc_id", "start").collect():
+        assert bool(r.piece & 2) == ((r.d0, r.d1) in held[r.doc_id])
+        held[r.doc_id].add((r.d0, r.d1))
+    found = {r.doc_id: (r.n_repeated, r.n_removed) for r in chunk_dedup.summary(frame(texts)).collect()}
+    assert found[0][1] == 0 < found[1][1] < found[1][0]  # the first text stays, as do the first chunks across the ends of copies
+
+
+def test_chunk_dedup_shuffles_packed_texts_and_runs_once(llm, frame):
+    long = "ab" * (5 << 20)
+    docs = frame([long, long, "c" + long, "short"])
+    out = chunk_dedup.dedup(docs)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^\n]*)", text)
+    assert not any("later#" in s for s in shuffles) and len(re.findall(r"Window \[", text)) == 1
+    assert not re.search(r"text#[^\n]*\n[^\n]*Exchange", text) and "packed#" in text
+    got = {r.doc_id: r for r in out.selectExpr("doc_id", "n_bytes", "n_removed", "octet_length(kept) AS left").collect()}
+    assert [got[i].n_bytes for i in range(4)] == [len(long), len(long), len(long) + 1, 5]
+    assert got[1].left == 0 and all(r.left == r.n_bytes - r.n_removed for r in got.values())
+
+
 # The pipeline
 
 

@@ -22,6 +22,8 @@ from tidemark.llm.shared import slices, texts
 #: under 1 %, of 80 words none.
 CUT_BITS, SHORTEST, LONGEST, WINDOW = 5, 16, 256, 32
 MIN_RUN = 100
+#: Bytes of unpacked texts that a batch of results holds, but for a single long one.
+UNPACKED = 8 << 20
 
 
 def _gear() -> np.ndarray:
@@ -75,9 +77,18 @@ def cuts(texts_: list[bytes]) -> list[list[int]]:
     return out
 
 
+def _again(text: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """1 where a text holds a chunk that it holds before too; chunks come text by text, in order."""
+    order = np.lexsort((codes[:, 1], codes[:, 0], text))  # stable: of equal chunks the first comes first
+    t, c = text[order], codes[order]
+    again = np.zeros(len(order), np.int32)
+    again[order[1:]] = (t[1:] == t[:-1]) & (c[1:] == c[:-1]).all(axis=1)
+    return again
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """``doc_id, tag, start, piece, d0, d1``: a row per chunk; ``tag`` tells texts under one ``doc_id`` apart, ``piece`` is twice
-    the size, plus one for the last chunk of its text."""
+    """``doc_id, tag, start, piece, d0, d1``: a row per chunk; ``tag`` tells texts under one ``doc_id`` apart, ``piece`` is four
+    times the size, plus two for a chunk that its text holds before too, plus one for the last of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
@@ -92,11 +103,12 @@ def chunks(docs: DataFrame) -> DataFrame:
             last = np.zeros(len(starts), np.int32)
             last[np.cumsum([c for c in counts if c], dtype=np.int64) - 1] = 1
             tags = np.array([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in whole], np.int64)
+            again = _again(np.repeat(np.arange(len(whole)), counts), codes)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(np.repeat(np.arange(len(whole)), counts))),
                     pa.array(np.repeat(tags, counts)),
-                    pa.array(starts), pa.array(2 * (stops - starts) + last),
+                    pa.array(starts), pa.array(4 * (stops - starts) + 2 * again + last),
                     pa.array(np.ascontiguousarray(codes[:, 0])), pa.array(np.ascontiguousarray(codes[:, 1])),
                 ],
                 ["doc_id", "tag", "start", "piece", "d0", "d1"],
@@ -115,7 +127,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     count as copies of each other and give their runs once; rows without ``doc_id`` are ordered before all others.
     """
     rows = chunks(docs)  # made twice: cheaper than to store or shuffle them once more
-    first = F.min(F.struct("doc_id", "tag", "start"))
+    first = F.min(F.struct("doc_id", "tag"))  # within a text, `piece` tells which chunk is the first
     many = rows.groupBy("d0", "d1").agg(F.count("*").alias("times"), first.alias("first")).where("times > 1")
     # Joined by another expression than it was grouped by, so that the join shuffles both sides and can split a chunk that many
     # texts share.
@@ -123,13 +135,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = (
         rows.join(many, (F.col("d0").bitwiseXOR(F.lit(1)) == F.col("e0")) & (F.col("d1") == F.col("e1")))
         .select("doc_id", "tag", "start", "piece",
-                (~F.struct("doc_id", "tag", "start").eqNullSafe(F.col("first"))).alias("after"))
-        .groupBy("doc_id", "tag", "start", "piece").agg(F.max("after").alias("after"))
-        .withColumn("size", F.shiftright("piece", 1))
+                (F.col("piece").bitwiseAND(2) > 0).alias("again"), (~F.struct("doc_id", "tag").eqNullSafe(F.col("first"))).alias("after"))
+        .groupBy("doc_id", "tag", "start", "piece").agg(F.max(F.col("after") | F.col("again")).alias("after"))
+        .withColumn("size", F.shiftright("piece", 2))
     )
-    both = found.withColumn("later", F.explode(F.when(F.col("after"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
-    before = Window.partitionBy("doc_id", "tag", "later").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    runs = both.withColumn("run", F.col("start") - F.coalesce(F.sum("size").over(before), F.lit(0)))
+    # Both kinds of run from one window, doubled only after its shuffle.
+    before = Window.partitionBy("doc_id", "tag").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = {"run": F.col("size"), "run_later": F.when(F.col("after"), F.col("size"))}
+    runs = found.withColumns({name: F.col("start") - F.coalesce(F.sum(size).over(before), F.lit(0)) for name, size in sizes.items()})
+    kinds = F.when(F.col("after"), F.expr("array(struct(false AS later, run), struct(true AS later, run_later AS run))"))
+    runs = runs.select("doc_id", "tag", "start", "size", "piece", F.inline(kinds.otherwise(F.expr("array(struct(false AS later, run))"))))
     return (
         runs.groupBy("doc_id", "tag", "later", "run")
         .agg(F.min("start").alias("start"), F.sum("size").cast("int").alias("size"), F.max(F.col("piece") % 2).alias("ends"))
@@ -166,30 +181,43 @@ def dedup(docs: DataFrame) -> DataFrame:
     source = texts(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
 
-    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=1)
         for batch in slices(batches):
-            tags = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tags, pa.int64())], ["doc_id", "text", "tag"])
+            whole = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+            tags = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in whole]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array(tags, pa.int64()), pa.array([len(t) for t in whole], pa.int64()),
+                    pa.array([codec.compress(t, asbytes=True) for t in whole], pa.binary()),
+                ],
+                ["doc_id", "tag", "n_bytes", "packed"],
+            )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in slices(batches):
-            sizes, kept, spans = [], [], []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
+            start, held, spans, kept = 0, 0, [], []
+            for i, (size, small, found) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n_bytes", "packed", "spans")))):
+                data = codec.decompress(small, size, asbytes=True) if size else b""
                 gone = [(s["start"], s["start"] + s["size"]) for s in found or []]
                 edges = [0, *(x for s in gone for x in s), len(data)]
-                sizes.append(len(data))
                 spans.append([{"start": a, "end": b} for a, b in gone])
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), batch.column("n_repeated"), batch.column("n_removed"), pa.array(spans, span), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "n_repeated", "n_removed", "spans", "kept"],
-            )
-
-    rows = source.mapInArrow(tagged, f"doc_id {kind}, text string, tag long").alias("t")
+                held += len(kept[-1])
+                if held >= UNPACKED or i + 1 == batch.num_rows:  # texts may have been packed a thousandfold
+                    rows = batch.slice(start, len(kept))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(rows.column(c) for c in ("doc_id", "n_bytes", "n_repeated", "n_removed")), pa.array(spans, span), pa.array(kept, pa.binary())],
+                        ["doc_id", "n_bytes", "n_repeated", "n_removed", "spans", "kept"],
+                    )
+                    start, held, spans, kept = i + 1, 0, [], []
+
+    # Every text meets its spans: a shuffle of the whole table, packed for it.
+    rows = source.mapInArrow(packed, f"doc_id {kind}, tag long, n_bytes long, packed binary").alias("t")
     joined = rows.join(_per_text(docs).alias("f"), F.expr("t.doc_id <=> f.doc_id AND t.tag = f.tag"), "left")
     none = F.lit(0).cast("long")
     return joined.select(
-        "t.doc_id", "t.text", F.coalesce("n_repeated", none).alias("n_repeated"), F.coalesce("n_removed", none).alias("n_removed"), "spans"
+        "t.doc_id", "t.n_bytes", "t.packed", F.coalesce("n_repeated", none).alias("n_repeated"), F.coalesce("n_removed", none).alias("n_removed"), "spans"
     ).mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_repeated long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
