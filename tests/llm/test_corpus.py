@@ -181,6 +181,27 @@ def test_repeated_bytes_equal_brute_force(llm, frame, monkeypatch, group):
     assert run_index.dedup(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("group", [500, 1])
+def test_passages_of_over_fifty_words_are_reported(llm, frame, monkeypatch, tmp_path, group):
+    monkeypatch.setattr(run_index, "GROUP", group)
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    passages = [prose(rng.randint(51, 70)) for _ in range(60)]
+    planted = [f"{prose(rng.randint(0, 150))} {p} {prose(rng.randint(0, 150))}" for p in passages for _ in range(2)]
+    texts = planted + [prose(rng.randint(0, 300)) for _ in range(40)] + [passages[0][:300], passages[0][:300], "", None]
+    docs = frame(texts)
+    got = {r.doc_id: r for r in run_index.dedup(docs).collect()}
+    for i, (d, mask) in enumerate(covered(texts, run_index.SHORT)):
+        found = {k for s in got[i].repeated for k in range(s.start, s.end)}
+        assert found <= set(np.flatnonzero(mask)) and {k for s in got[i].spans for k in range(s.start, s.end)} <= found
+    assert sum(bool(got[i].repeated) for i in range(len(planted))) >= 0.9 * len(planted)
+    assert not any(got[i].repeated for i in range(len(planted), len(planted) + 40))
+    assert all([tuple(s) for s in got[i].repeated] == [(0, 300)] and not got[i].spans for i in (len(planted) + 40, len(planted) + 41))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    counts = {r.doc_id: r.n_repeated for r in QUERIES["op4_run_index"](llm, str(tmp_path)).collect()}
+    assert counts == {i: sum(s.end - s.start for s in r.repeated) for i, r in got.items()}
+
+
 def test_repeated_bytes_on_the_given_table(llm, tables):
     docs = tables("documents").select("doc_id", "text").collect()
     want = {}

@@ -51,11 +51,12 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of each document without the 400-byte strings that stand elsewhere too."""
+    """What is left of each document without the 400-byte strings that stand elsewhere too; how much stands there in shorter ones."""
     found = run_index.dedup(table(sf_dir, "documents", spark))
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.aggregate("repeated", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_repeated"),
     )
 
 

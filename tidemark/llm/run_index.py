@@ -12,6 +12,9 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it also starts any
    between two of them the longest match shrinks by one per byte. Where it reaches ``LENGTH``, the window is repeated.
 4. An anchor with more than ``GROUP`` different stretches does not have to fit into one task: its windows are compared by
    digest, first in blocks of ``STEP`` windows, then one by one where blocks differ at an end.
+5. The same stretches show shorter passages too: strings of ``SHORT`` bytes that stand elsewhere are reported, never removed.
+   They are found where both places select one anchor, as all strings of ``LENGTH`` bytes do and nearly all shorter passages.
+   A text of ``SHORT`` to ``LENGTH`` bytes is one stretch, whose ``more`` windows after the first are negative.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.shared import lanes, slices, stored, texts
 
 LENGTH, GRAM = 400, 32
+#: Bytes of the strings that are reported.
+SHORT = 250
 SPAN = LENGTH - GRAM + 1
 #: Different stretches of one anchor that are indexed together, bytes of an index, windows of a block.
 GROUP, INDEX_BYTES, STEP = 200, 1 << 17, 16
@@ -53,6 +58,10 @@ def stretches(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
     part = 1 << 19
     windows = len(data) - LENGTH + 1
     held = None
+    if windows < 1 and len(data) >= SHORT:
+        h = _grams(np.frombuffer(data, np.uint8))
+        place = len(h) - 1 - int(np.argmin(h[::-1]))
+        yield tuple(np.array([x]) for x in (0, windows - 1, place, h[place].view(np.int64)))
     for at in range(0, max(windows, 0), part):
         piece = np.frombuffer(data, np.uint8, min(part, windows - at) + LENGTH - 1, at)
         h = _grams(piece)
@@ -188,9 +197,9 @@ class RunIndex:
             best = np.maximum(best, value)
         return best
 
-    def repeated(self, length: int) -> list[np.ndarray]:
-        """Per text, the places where a string of ``length`` bytes starts that also starts elsewhere."""
-        hit = np.flatnonzero(self.matching_statistics() >= length)
+    def repeated(self, length: int, best: np.ndarray | None = None) -> list[np.ndarray]:
+        """Per text, the places where a string of ``length`` bytes starts that also starts elsewhere; ``best``: the statistics."""
+        hit = np.flatnonzero((self.matching_statistics() if best is None else best) >= length)
         cuts = np.searchsorted(hit, self.starts)
         return [hit[a:b] - s for a, b, s in zip(cuts, cuts[1:], self.starts)]
 
@@ -202,14 +211,34 @@ def _runs(places: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(places[np.concatenate([[0], cut + 1])].tolist(), places[np.concatenate([cut, [len(places) - 1]])].tolist()))
 
 
+def _joined(parts: list[tuple]) -> list[tuple]:
+    """Parts of one text that overlap as one, so that no byte is in an index twice and matches itself."""
+    out: list[tuple] = []
+    for k0, k1, first, data in sorted(parts, key=lambda p: p[:3]):
+        inside = out[-1][2] + len(out[-1][3]) - first if out and out[-1][:2] == (k0, k1) else -1
+        if inside >= 0:
+            out[-1] = (*out[-1][:3], out[-1][3] + data[inside:])
+        else:
+            out.append((k0, k1, first, data))
+    return out
+
+
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeated windows among the stretches of a stream sorted by anchor; several anchors share an index."""
     waiting: list[tuple] = []
     size, last = 0, None
 
     def marks() -> pa.RecordBatch:
-        found = RunIndex([w[3] for w in waiting]).repeated(LENGTH) if waiting else []
-        rows = [(k0, k1, first + a, first + b) for (k0, k1, first, _), hit in zip(waiting, found) for a, b in _runs(hit)]
+        rows: list[tuple] = []
+        if waiting:
+            parts = _joined(waiting)
+            index = RunIndex([p[3] for p in parts])
+            best = index.matching_statistics()
+            for (k0, k1, first, _), long, short in zip(parts, index.repeated(LENGTH, best), index.repeated(SHORT, best)):
+                if len(short):
+                    removed = _runs(long)
+                    rows += [(k0, k1, first + a, first + b, LENGTH) for a, b in removed]
+                    rows += [(k0, k1, first + a, first + b, SHORT) for a, b in _runs(short) if (a, b + SHORT - LENGTH) not in removed]
         return _records(rows, MARKS)
 
     for batch in batches:
@@ -223,7 +252,7 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield marks()
 
 
-MARKS = "k0 long, k1 long, a int, b int"
+MARKS = "k0 long, k1 long, a int, b int, size short"
 
 
 # Anchors with many stretches --------------------------------------------------
@@ -238,10 +267,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, rows=256):
         rows = []
         for k0, k1, first, place, anchor, data in zip(*(batch.column(c).to_pylist() for c in ("k0", "k1", "first", "place", "anchor", "bytes"))):
-            for a, b in _cut(len(data) - LENGTH, place):
+            for size, a, b in ((n, *ab) for n in (LENGTH, SHORT) for ab in _cut(len(data) - n, place)):
                 far = place - (place - a) // STEP * STEP
-                core = data[far:far - STEP + 1 + LENGTH]
-                rows.append((k0, k1, first, a, b, anchor, far - place, *_key(core), *_key(data[a:b + LENGTH])))
+                core = data[far:far - STEP + 1 + size]
+                rows.append((k0, k1, first, a, b, size, anchor, far - place, *_key(core), *_key(data[a:b + size])))
         yield _records(rows, BLOCKS)
 
 
@@ -259,14 +288,14 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of the windows of undecided blocks."""
     for batch in slices(batches, rows=256):
         yield _records([
-            (k0, k1, first + i, anchor, *_key(data[i:i + LENGTH]))
+            (k0, k1, first + i, cut["size"], anchor, *_key(data[i:i + cut["size"]]))
             for k0, k1, first, anchor, data, cuts in zip(*(batch.column(c).to_pylist() for c in ("k0", "k1", "first", "anchor", "bytes", "cuts")))
             for cut in cuts for i in range(cut["a"], cut["b"] + 1)
         ], WINDOWS)
 
 
-BLOCKS = "k0 long, k1 long, first int, a int, b int, anchor long, block int, c0 long, c1 long, w0 long, w1 long"
-WINDOWS = "k0 long, k1 long, a int, anchor long, w0 long, w1 long"
+BLOCKS = "k0 long, k1 long, first int, a int, b int, size short, anchor long, block int, c0 long, c1 long, w0 long, w1 long"
+WINDOWS = "k0 long, k1 long, a int, size short, anchor long, w0 long, w1 long"
 
 
 def _records(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -293,19 +322,24 @@ def _by_digest(many: DataFrame) -> DataFrame:
     A block equal to another is repeated as a whole. A window of any other can only be repeated if the core of its block
     occurs in a block that differs; the windows of these blocks, and of one block of each kind, are compared.
     """
-    core, whole = ["anchor", "block", "c0", "c1"], ["anchor", "block", "w0", "w1"]
+    core, whole = ["anchor", "size", "block", "c0", "c1"], ["anchor", "size", "block", "w0", "w1"]
     blocks = stored(_one_of_each(many.mapInArrow(_blocks, BLOCKS), whole, ["k0", "k1", "first", "a"]), "blocks")
-    settled = blocks.where("times > 1").select("k0", "k1", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
+    settled = blocks.where("times > 1").select("k0", "k1", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"), "size")
     standing = blocks.where("stands")
     shared = standing.groupBy(*core).agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
     open_ = (
         standing.join(_dealt(shared), core, "left_semi").groupBy("k0", "k1", "first")
-        .agg(F.collect_list(F.struct("a", "b")).alias("cuts"))
+        .agg(F.collect_list(F.struct("a", "b", "size")).alias("cuts"))
     )
     windows = many.join(_dealt(open_), ["k0", "k1", "first"]).select("k0", "k1", "first", "anchor", "bytes", "cuts").mapInArrow(_windows, WINDOWS)
     windows = stored(windows, "windows")
-    twice = windows.groupBy("anchor", "w0", "w1").agg(F.count("*").alias("times")).where("times > 1").drop("times")
-    single = windows.join(_dealt(twice), ["anchor", "w0", "w1"], "left_semi").select("k0", "k1", "a", F.col("a").alias("b"))
+    # stretches of one text can overlap by a short window, which then comes twice from one place
+    at = F.xxhash64("k0", "k1", "a")
+    twice = (
+        windows.groupBy("anchor", "size", "w0", "w1").agg(F.count("*").alias("times"), F.min(at).alias("least"), F.max(at).alias("most"))
+        .where((F.col("times") > 1) & ((F.col("size") == LENGTH) | (F.col("least") != F.col("most")))).drop("times", "least", "most")
+    )
+    single = windows.join(_dealt(twice), ["anchor", "size", "w0", "w1"], "left_semi").select("k0", "k1", "a", F.col("a").alias("b"), "size")
     return settled.unionByName(single)
 
 
@@ -338,9 +372,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """``k0, k1, marks``: per text (by digest) with repeated windows, the runs ``a`` to ``b`` of their starts."""
+    """``k0, k1, marks``: per text (by digest) with repeated strings of ``size`` bytes, the runs ``a`` to ``b`` of their starts."""
     spark = docs.sparkSession
-    long = texts(docs).where(F.octet_length("text") >= LENGTH)
+    long = texts(docs).where(F.octet_length("text") >= SHORT)
     rows = stored(long.select("text").mapInArrow(_anchors, ANCHORS), "anchors")
     kind, place = ["anchor", "whole", "more", "place"], ["k0", "k1", "first"]
     classes = rows.groupBy(*kind).agg(F.count("*").alias("times"), F.min(F.struct(*place)).alias("least"))
@@ -348,7 +382,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     classes = classes.join(per_anchor.drop("all"), "anchor")
     state = rows.join(_dealt(classes), kind).withColumn("stands", F.struct(*place) == F.col("least")).drop("least", "whole")
     state = stored(state, "stretches")
-    settled = state.where("times > 1").select("k0", "k1", F.col("first").alias("a"), (F.col("first") + F.col("more")).cast("int").alias("b"))
+    size = F.when(F.col("more") < 0, SHORT).otherwise(LENGTH).cast("short")
+    settled = state.where("times > 1").select(
+        "k0", "k1", F.col("first").alias("a"), (F.col("first") + F.col("more") + LENGTH - size).cast("int").alias("b"), size.alias("size"),
+    )
     # one stretch of each kind, so nothing here grows with a group of copies; copies of a text give it once
     found = (
         state.where("kinds > 1 AND stands").select(*place, "more", "place", "anchor", (F.col("kinds") > GROUP).alias("many")).distinct()
@@ -363,14 +400,16 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .select("anchor", "k0", "k1", "first", "bytes").mapInArrow(_indexed, MARKS)
     )
     marks = settled.unionByName(few).unionByName(_by_digest(parts.where("many")))
-    return marks.distinct().groupBy("k0", "k1").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("marks"))
+    return marks.distinct().groupBy("k0", "k1").agg(F.sort_array(F.collect_list(F.struct("a", "b", "size"))).alias("marks"))
 
 
-def removed_spans(marks: list[dict]) -> list[tuple[int, int]]:
-    """Maximal byte runs covered by windows that start in the sorted runs ``a`` to ``b``."""
+def covered_spans(marks: list[dict], least: int) -> list[tuple[int, int]]:
+    """Maximal byte runs covered by strings of ``least`` bytes or more that start in the sorted runs ``a`` to ``b``."""
     out: list[list[int]] = []
     for m in marks:
-        a, b = m["a"], m["b"] + LENGTH
+        if m["size"] < least:
+            continue
+        a, b = m["a"], m["b"] + m["size"]
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -379,7 +418,8 @@ def removed_spans(marks: list[dict]) -> list[tuple[int, int]]:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept``: the removed byte spans of every row, and the bytes that stay.
+    """``doc_id, n_bytes, spans, kept, repeated``: the removed byte spans of every row, the bytes that stay, and all spans of
+    strings of ``SHORT`` bytes that were found elsewhere too, removed or not.
 
     NULL and empty texts, and texts shorter than a window, lose nothing. Repeated rows are copies of each other, and rows
     without ``doc_id`` are documents like any other. An empty table gives an empty result.
@@ -392,16 +432,17 @@ def dedup(docs: DataFrame) -> DataFrame:
             rows = []
             for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
-                spans = removed_spans(marks or [])
+                spans, repeated = (covered_spans(marks or [], least) for least in (LENGTH, SHORT))
                 edges = [0, *(x for s in spans for x in s), len(data)]
-                rows.append((len(data), [{"start": a, "end": b} for a, b in spans], b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))))
-            kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-            columns = list(zip(*rows)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(columns, kinds))], ["doc_id", "n_bytes", "spans", "kept"])
+                rows.append((len(data), [{"start": a, "end": b} for a, b in spans], b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])), [{"start": a, "end": b} for a, b in repeated]))
+            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            kinds = [pa.int64(), span, pa.binary(), span]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(columns, kinds))], ["doc_id", "n_bytes", "spans", "kept", "repeated"])
 
-    none = F.lit(None).cast("array<struct<a: int, b: int>>").alias("marks")
+    none = F.lit(None).cast("array<struct<a: int, b: int, size: smallint>>").alias("marks")
     marks = stored(repeated_windows(docs), "marks").repartition(lanes(docs.sparkSession))
-    long = _keyed(source.where(F.octet_length("text") >= LENGTH)).join(marks, ["k0", "k1"], "left").select("doc_id", "text", "marks")
-    short = source.where(F.octet_length("text") < LENGTH).select("doc_id", "text", none)
-    schema = f"doc_id {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    long = _keyed(source.where(F.octet_length("text") >= SHORT)).join(marks, ["k0", "k1"], "left").select("doc_id", "text", "marks")
+    short = source.where(F.octet_length("text") < SHORT).select("doc_id", "text", none)
+    schema = f"doc_id {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary, repeated array<struct<start: long, end: long>>"
     return long.unionByName(short).mapInArrow(run, schema)
