@@ -11,7 +11,7 @@ from tidemark.operators import merge
 from tidemark.plans import SyncRun, run_custom_fields, run_feed, sync
 from tidemark.plans.sync import check_log
 from tidemark.plans.together import FeedSource, sync_all
-from tidemark.sinks import VersionedTable, shared_folder
+from tidemark.sinks import VersionedTable, shared_folder, versioned
 from tidemark.sources import read_landed
 from tidemark.specs import (
     ACCOUNTS,
@@ -650,3 +650,18 @@ def test_actions_are_counted_by_the_write_itself(spark, tmp_path, monkeypatch):
     t.upsert(numbers(spark, 0, 0, "c"))
     t.upsert(spark.createDataFrame([(5, "old", 1), (7, "new", 99), (500, "x", 1)], SPEC.schema), seq=["at"], event_col="at")
     assert rows(t.actions().fillna(-1)) == [(1, -1, -1), (2, 30, 10), (3, 0, 0), (4, 1, 1)]
+
+
+@pytest.mark.parametrize("seq", [None, ["at"]])
+def test_tasks_of_a_write_follow_its_rows(spark, tmp_path, monkeypatch, seq):
+    monkeypatch.setattr(versioned, "TASK_ROWS", 100)
+    t = table(spark, tmp_path)
+    most = lambda: max(r.n for r in t.read().groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect())
+    t.overwrite(numbers(spark, 0, 4000, "a"))
+    assert most() < 200
+    t.upsert(numbers(spark, 3000, 8000, "b"), seq=seq)
+    assert most() < 200 and t.read().count() == 8000 and t.read().where("v = 'b'").count() == 5000
+    assert t.pointer().actions == {"inserted": 4000, "updated": 1000}
+    for rows_, tasks in ((0, None), (100, None), (101, 2), (10**6, 10**4)):
+        n = t._tasks(rows_)
+        assert n == tasks if rows_ < 101 else n >= tasks and (n % t.bucket_count == 0 or t.bucket_count % n == 0)

@@ -80,6 +80,7 @@ def merge(
     present: str | None = None,
     null_keys: bool = True,
     action: str | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` and return the new table, with the target's columns.
 
@@ -95,6 +96,8 @@ def merge(
     - ``present`` names an array column with the columns each row carries;
       a match then keeps the target's value where no row carries the column.
     - ``action`` adds a column ``insert`` / ``update`` / ``keep``.
+    - ``tasks`` joins in that many tasks by the hash of the key, whatever the
+      session says; not with ``null_safe``. A collapsed batch is shuffled again.
     """
     if event_col and present:
         raise ValueError("event order needs whole rows: it cannot be combined with sparse ones")
@@ -137,6 +140,8 @@ def merge(
         t = t.withColumn(
             APART, F.when(any_null(keys), F.to_json(F.struct(*columns))).otherwise(F.lit(""))
         )
+    if tasks and not null_safe:
+        t, s = t.repartition(tasks, *group), s.repartition(tasks, *group)
     equal = "<=>" if null_safe else "="
     on = " AND ".join(f"t.`{k}` {equal} s.`{k}`" for k in group)
     joined = t.alias("t").join(s.alias("s"), F.expr(on), "full_outer")

@@ -27,6 +27,9 @@ from tidemark.workspace import compiled
 BUCKET = "bucket"
 ACTION = "__action"
 RETRIES = 5
+#: Rows of both sides that one task merges or writes. It sorts them by key and then by bucket, some 700 bytes for each of a
+#: wide row; without a bound a task would hold its share of the table by ``spark.sql.shuffle.partitions``.
+TASK_ROWS = 1 << 17
 
 
 class VersionTaken(RuntimeError):
@@ -50,11 +53,11 @@ class Pointer:
 class VersionedTable:
     """One table, any number of readers. A writer that loses a race applies its batch to the new version.
 
-    ``buckets`` is fixed when the table is created: aim at about 1 GB per bucket,
-    and at a multiple of ``spark.sql.shuffle.partitions``. Buckets are the
-    remainders of the hash Spark itself shuffles the merge key by, so then each
-    bucket comes out of the merge join in one task and is written without another
-    shuffle.
+    ``buckets`` is fixed when the table is created: aim at about 1 GB per bucket.
+    Buckets are the remainders of the hash Spark itself shuffles the merge key by.
+    The tasks of a write follow its rows, in a number that divides that of the
+    buckets or is a multiple of it, so no bucket is cut between tasks it shares
+    with others, and none needs another shuffle.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64):
@@ -190,7 +193,8 @@ class VersionedTable:
         """Replace the whole table by rows with unique keys."""
         old = self.pointer()
         base = Pointer(old.version, {}, old.applied, taken=old.taken)
-        return self._write(self._by_key(self._typed(rows)), base, applied)
+        typed = self._typed(rows)
+        return self._write(self._by_key(typed, self._tasks(typed.count())), base, applied)
 
     def _typed(self, rows: DataFrame, *keep: str) -> DataFrame:
         given = rows.columns
@@ -199,8 +203,17 @@ class VersionedTable:
         ]
         return rows.selectExpr(*columns, *[f"`{k}`" for k in dict.fromkeys(keep) if k not in self.spec.columns])
 
-    def _by_key(self, rows: DataFrame) -> DataFrame:
-        return rows.repartition(*self.spec.keys)
+    def _by_key(self, rows: DataFrame, tasks: int | None) -> DataFrame:
+        return rows.repartition(tasks, *self.spec.keys) if tasks else rows.repartition(*self.spec.keys)
+
+    def _tasks(self, rows: int) -> int | None:
+        """How many tasks take so many rows; None where one could take all, as the planner packs them."""
+        least, buckets = -(-rows // TASK_ROWS), self.bucket_count
+        if least < 2:
+            return None
+        if least >= buckets:
+            return -(-least // buckets) * buckets
+        return next(n for n in range(least, buckets + 1) if buckets % n == 0)
 
     def upsert(
         self,
@@ -250,7 +263,7 @@ class VersionedTable:
     ) -> int:
         keyed = batch
         keyless = F.lit(False) if self.spec.null_safe else any_null(self.spec.keys)
-        found = batch.select(self._bucket(), keyless.alias("keyless")).distinct().collect()
+        found = batch.select(self._bucket(), keyless.alias("keyless")).groupBy(BUCKET, "keyless").count().collect()
         if any(r.keyless for r in found):
             batch.filter(keyless).write.mode("overwrite").parquet(f"{self.path}/keyless/{name}")
             keyed = batch.filter(~keyless)
@@ -258,7 +271,7 @@ class VersionedTable:
         if not touched:
             return self._write(keyed.select(*self.spec.columns), old, applied, {"inserted": 0, "updated": 0})
         buckets = old.buckets if whole else {b: w for b, w in old.buckets.items() if b in touched}
-        return self._merge_into(buckets, keyed, old, applied, options)
+        return self._merge_into(buckets, keyed, sum(r["count"] for r in found if not r.keyless), old, applied, options)
 
     def keyless(self) -> DataFrame:
         """Rows set apart because a key column was NULL."""
@@ -271,13 +284,16 @@ class VersionedTable:
         self,
         buckets: dict[int, str],
         batch: DataFrame,
+        size: int,
         old: Pointer,
         applied: tuple[str, int] | None,
         options: dict,
     ) -> int:
-        rows = merge(self._read(buckets), batch, self.spec.keys, action=ACTION, **options)
+        target = self._read(buckets)
+        tasks = self._tasks(size + (target.count() if buckets else 0))  # of the target, file footers are read
+        rows = merge(target, batch, self.spec.keys, action=ACTION, tasks=tasks, **options)
         # A null-safe join shuffles by other expressions than the bare keys.
-        rows = self._by_key(rows) if self.spec.null_safe else rows
+        rows = self._by_key(rows, tasks) if self.spec.null_safe else rows
         # Counted on the way to the files: the target is not read a second time.
         actions = Observation()
         rows = rows.observe(
