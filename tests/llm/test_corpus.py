@@ -212,6 +212,22 @@ def test_repeated_bytes_on_the_given_table(llm, tables):
     assert got == want
 
 
+def test_digests_and_classes_need_no_python_and_no_sorted_rows(llm, frame):
+    texts = [*corpus(3), "a\0b" * 200, "é" * 250, "e\u0301" * 250]
+    keyed = run_index._keyed(run_index.texts(frame(texts)))
+    got = {(r.k0, r.k1): r.text for r in keyed.collect()}
+    assert sorted(got.values()) == sorted({t or "" for t in texts})
+    for (k0, k1), text in got.items():
+        d = hashlib.md5(text.encode()).digest()
+        assert (k0, k1) == tuple(int.from_bytes(d[i:i + 8], "big", signed=True) for i in (0, 8))
+    place = ["k0", "k1", "doc_id"]
+    classes = run_index._classes(keyed, ["text"], place)
+    rows = run_index._one_of_each(keyed, classes, ["text"], place)
+    assert sorted(r.text for r in rows.where("stands").select("text").collect()) == sorted({t or "" for t in texts})
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_matching_statistics_equal_brute_force():
     rng = random.Random(7)
     for _ in range(60):

@@ -96,9 +96,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
     for batch in slices(batches, size=1 << 20):
         found: list[list[np.ndarray]] = []
-        for text in batch.column(0).to_pylist():
+        for text, k0, k1 in zip(*(c.to_pylist() for c in batch.columns)):
             data = text.encode("utf-8", "surrogatepass")
-            k0, k1 = _key(data)
             for first, last, place, h in stretches(data):
                 whole = np.array([digest(data[a:b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())], np.uint64)
                 n = len(first)
@@ -310,10 +309,15 @@ def _dealt(keys: DataFrame) -> DataFrame:
     return keys.repartition(lanes(keys.sparkSession))
 
 
-def _one_of_each(rows: DataFrame, kind: list[str], place: list[str]) -> DataFrame:
-    """``rows`` with ``times``, how often their kind occurs, and ``stands``, true for one row of each kind."""
-    classes = rows.groupBy(*kind).agg(F.count("*").alias("times"), F.min(F.struct(*place)).alias("least"))
-    return rows.join(_dealt(classes), kind).withColumn("stands", F.struct(*place) == F.col("least")).drop("least")
+def _classes(rows: DataFrame, kind: list[str], place: list[str]) -> DataFrame:
+    """``times``, how often each kind occurs, and ``least`` of the digests of its places; a number, so that it is aggregated
+    by hash and no task sorts its rows for it."""
+    return rows.groupBy(*kind).agg(F.count("*").alias("times"), F.min(F.xxhash64(*place)).alias("least"))
+
+
+def _one_of_each(rows: DataFrame, classes: DataFrame, kind: list[str], place: list[str]) -> DataFrame:
+    """``rows`` with what their class has, and ``stands``, true for one row of each kind."""
+    return rows.join(_dealt(classes), kind).withColumn("stands", F.xxhash64(*place) == F.col("least")).drop("least")
 
 
 def _by_digest(many: DataFrame) -> DataFrame:
@@ -323,7 +327,8 @@ def _by_digest(many: DataFrame) -> DataFrame:
     occurs in a block that differs; the windows of these blocks, and of one block of each kind, are compared.
     """
     core, whole = ["anchor", "size", "block", "c0", "c1"], ["anchor", "size", "block", "w0", "w1"]
-    blocks = stored(_one_of_each(many.mapInArrow(_blocks, BLOCKS), whole, ["k0", "k1", "first", "a"]), "blocks")
+    place, cut = ["k0", "k1", "first", "a"], many.mapInArrow(_blocks, BLOCKS)
+    blocks = stored(_one_of_each(cut, _classes(cut, whole, place), whole, place), "blocks")
     settled = blocks.where("times > 1").select("k0", "k1", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"), "size")
     standing = blocks.where("stands")
     shared = standing.groupBy(*core).agg(F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
@@ -360,28 +365,21 @@ def _stretch_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, k0, k1`` of texts long enough to hold a window."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            keys = [_key(t.encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))], ["doc_id", "text", "k0", "k1"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, text string, k0 long, k1 long")
+    """``docs`` with ``k0, k1``, the digest of their text; made by Spark, so that a text need not go through Python for it."""
+    half = lambda at: F.conv(F.substring(F.md5("text"), at, 16), 16, -10).cast("long")
+    return docs.withColumns({"k0": half(1), "k1": half(17)})
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """``k0, k1, marks``: per text (by digest) with repeated strings of ``size`` bytes, the runs ``a`` to ``b`` of their starts."""
     spark = docs.sparkSession
-    long = texts(docs).where(F.octet_length("text") >= SHORT)
-    rows = stored(long.select("text").mapInArrow(_anchors, ANCHORS), "anchors")
+    long = _keyed(texts(docs).where(F.octet_length("text") >= SHORT))
+    rows = stored(long.select("text", "k0", "k1").mapInArrow(_anchors, ANCHORS), "anchors")
     kind, place = ["anchor", "whole", "more", "place"], ["k0", "k1", "first"]
-    classes = rows.groupBy(*kind).agg(F.count("*").alias("times"), F.min(F.struct(*place)).alias("least"))
+    classes = _classes(rows, kind, place)
     per_anchor = classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("times").alias("all")).where(F.col("all") > 1)
     classes = classes.join(per_anchor.drop("all"), "anchor")
-    state = rows.join(_dealt(classes), kind).withColumn("stands", F.struct(*place) == F.col("least")).drop("least", "whole")
-    state = stored(state, "stretches")
+    state = stored(_one_of_each(rows, classes, kind, place).drop("whole"), "stretches")
     size = F.when(F.col("more") < 0, SHORT).otherwise(LENGTH).cast("short")
     settled = state.where("times > 1").select(
         "k0", "k1", F.col("first").alias("a"), (F.col("first") + F.col("more") + LENGTH - size).cast("int").alias("b"), size.alias("size"),
@@ -392,7 +390,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .groupBy("k0", "k1").agg(F.collect_list(F.struct("first", "more", "place", "anchor", "many")).alias("found"))
     )
     parts = stored(
-        _keyed(long).join(_dealt(found), ["k0", "k1"]).select("text", "k0", "k1", "found")
+        long.join(_dealt(found), ["k0", "k1"]).select("text", "k0", "k1", "found")
         .mapInArrow(_stretch_bytes, PARTS).dropDuplicates(["k0", "k1", "first"]), "parts"
     )
     few = (
