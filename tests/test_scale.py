@@ -199,3 +199,37 @@ def test_fixed_batches_are_not_packed_and_wide_rows_compile(spark, tmp_path, mon
     assert not kept and [(r.SalesforceId, r.Name) for r in table.read().collect()] == [("a", "y")] and table.keyless().count() == 1
     tests = {"none": F.lit(None).cast("boolean"), "one": F.col("n") == 1, "odd": F.col("n") % 2 == 1}
     assert {r.n: r.reasons for r in rows.select("n", reasons_of(tests).alias("reasons")).collect()} == {1: ["one", "odd"], 2: [], 3: ["odd"]}
+
+
+def test_pushed_bodies_are_staged_and_not_kept_in_memory(spark, tmp_path, monkeypatch):
+    import json
+    import os
+
+    from tidemark.plans.sync import SyncRun
+    from tidemark.specs import ACCOUNTS
+    from tidemark.streaming import PushSink, apply, apply_pushed
+
+    kept, stages = [], []
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda self, *a: kept.append(self.columns) or self)
+    monkeypatch.setattr(apply, "staged", raising=False, value=lambda *a, f=getattr(apply, "staged", None), **b: (df := f(*a, **b), stages.append((df.columns, df.collect(), df.inputFiles())))[0])
+    sink = PushSink(SyncRun(spark, str(tmp_path), 2), "push", run_ts=datetime(2024, 2, 1))
+    at = datetime(2024, 1, 1)
+    record = {"ObjectType": "Account", "Id": "a", "Name": "x"}
+    rows = [("accounts", "json", json.dumps([record, {"ObjectType": "Case", "Id": "b"}]), "c", at, 1, None, 5),
+            ("accounts", "json", json.dumps([{"Id": "t"}]), None, at, 2, None, 6), ("leads", "json", "{}", "c", at, 3, None, 7)]
+    bodies = spark.createDataFrame(
+        rows, "object_type string, content_type string, body string, company_id string, received_at timestamp_ntz, seq bigint, void void, n int"
+    )
+    apply_pushed(sink, bodies, 0)
+    assert not [c for c in kept if "records" in c]
+    (columns, staged, files), = stages
+    assert "body" not in columns and {r.seq for r in staged if r.row} == {2}
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)  # deleted with the run
+    assert [(r[ACCOUNTS.keys[0]], r.Name) for r in sink.run.table(ACCOUNTS).read().collect()] == [("a", "x")]
+    outcomes = spark.read.parquet(sink.outcomes())
+    assert {r.seq: r.status for r in outcomes.collect()} == {1: "accepted", 2: "rejected_tenant", 3: "rejected_empty"}
+    (apart,), (other,) = (spark.read.json(sink.run.quarantine(q), recursiveFileLookup=True).collect() for q in ("tenantless", "pushed"))
+    assert apart.reasons == ["missing_tenant"] and other.reasons == ["type_mismatch"]
+    row = json.loads(apart.row)
+    assert (json.loads(row["body"]), row["n"], row["seq"]) == ([{"Id": "t"}], 6, 2) and "company_id" not in row
+    assert json.loads(other.row)["mismatched"][0]["fields"]["Id"] == "b"

@@ -271,7 +271,11 @@ def event_column(spec: TableSpec) -> str | None:
     return next((c for c in spec.columns if spec.source_of(c) == spec.ts_col and c in spec.dates), None)
 
 
+def row_text(columns: Sequence[str]) -> Column:
+    """A bad row as JSON text, without what a run added to it."""
+    return F.to_json(F.struct(*[c for c in columns if c not in ("reasons", PLACE, LANDING)]))
+
+
 def set_apart(bad: DataFrame) -> DataFrame:
     """Bad rows as stored for replay: reasons, and the row as JSON text."""
-    body = [c for c in bad.columns if c not in ("reasons", PLACE, LANDING)]
-    return bad.select("reasons", F.to_json(F.struct(*body)).alias("row"))
+    return bad.select("reasons", row_text(bad.columns).alias("row"))

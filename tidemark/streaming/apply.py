@@ -9,7 +9,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators import (
     conform_payload,
@@ -19,13 +18,16 @@ from tidemark.operators import (
     split_valid,
     type_rules,
 )
-from tidemark.plans.sync import SyncRun, instant_literal, set_apart
+from tidemark.plans.sync import SyncRun, instant_literal, row_text, set_apart
 from tidemark.sinks import VersionedTable
 from tidemark.sources import PUSH_SCHEMA, parse_bodies
 from tidemark.specs import FEEDS, OPPORTUNITIES, ROUTES, SYNC_LOG, TENANT
+from tidemark.workspace import scratch, staged
 
 # A body's place in the order of arrival.
 ARRIVAL = ("received_at", "seq")
+#: Bytes of a row group of parsed bodies: maps unfold to many times their size, and every route reads them.
+STAGE_GROUP = 32 << 20
 
 
 def read_bodies(spark: SparkSession, path: str, fmt: str = "json", **options: str) -> DataFrame:
@@ -67,8 +69,12 @@ def apply_pushed(sink: PushSink, bodies: DataFrame, batch_id: int) -> None:
     """Apply one batch of bodies. Each write is a no-op or an exact repetition when replayed."""
     run, query = sink.run, query_of(bodies)
     place = f"query={query}/batch={batch_id}"
-    parsed = parse_bodies(bodies).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with scratch(run.spark):
+        # Written once, not kept in memory: packing its columns took more heap than Spark accounts for. A body that becomes records
+        # is not read again.
+        apart = F.when(F.col("status") == "rejected_tenant", row_text(bodies.columns)).alias("row")
+        kept = parse_bodies(bodies).select("route", "object_type", "status", "records", "mismatched", "company_id", *ARRIVAL, apart)
+        parsed = staged(kept, "pushed", group=STAGE_GROUP)
         records = route_records(parsed, "company_id", *ARRIVAL)
         # One pass tells what there is to write; at most as many routes as exist reach the driver.
         known = F.when(F.col("route").isin(list(ROUTES)) & (F.size("records") > 0), F.col("route"))
@@ -83,8 +89,8 @@ def apply_pushed(sink: PushSink, bodies: DataFrame, batch_id: int) -> None:
             f"{sink.outcomes()}/{place}"
         )
         if tenantless:
-            rows = parsed.filter("status = 'rejected_tenant'").select(F.array(F.lit("missing_tenant")).alias("reasons"), *bodies.columns)
-            set_apart(rows).write.mode("overwrite").json(f"{run.quarantine('tenantless')}/{sink.writer}/{place}")
+            rows = parsed.filter("status = 'rejected_tenant'").select(F.array(F.lit("missing_tenant")).alias("reasons"), "row")
+            rows.write.mode("overwrite").json(f"{run.quarantine('tenantless')}/{sink.writer}/{place}")
         if mismatched:
             rows = parsed.filter("size(mismatched) > 0").select(
                 F.array(F.lit("type_mismatch")).alias("reasons"), "route", "company_id", *ARRIVAL, "mismatched"
@@ -101,8 +107,6 @@ def apply_pushed(sink: PushSink, bodies: DataFrame, batch_id: int) -> None:
             ),
             applied=(f"{sink.writer}/{query}", batch_id),
         )
-    finally:
-        parsed.unpersist()
 
 
 def apply_route(sink: PushSink, route: str, records: DataFrame, query: str, batch_id: int) -> None:
@@ -130,7 +134,7 @@ def apply_route(sink: PushSink, route: str, records: DataFrame, query: str, batc
         seq=order,
         present="present" if sink.present_only else None,
         applied=(writer, batch_id),
-        fixed=True,  # the parsed bodies are kept
+        fixed=True,  # the parsed bodies are a stage
     )
 
 

@@ -54,15 +54,16 @@ def removed(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def staged(df: DataFrame, purpose: str, *, place: bool = False) -> DataFrame:
+def staged(df: DataFrame, purpose: str, *, place: bool = False, group: int | None = None) -> DataFrame:
     """The rows written once to the shared folder and read back: fixed content of known size, for any number of readers.
 
-    ``place`` adds the column ``__place``, by which rows stand in the order they were read in.
+    ``place`` adds the column ``__place``, by which rows stand in the order they were read in. ``group`` bounds the bytes
+    of a row group, which a task that writes or reads the stage holds.
     """
     path = shared_folder(df.sparkSession, purpose)
     if (stages := _OPEN.get()) is not None:
         stages.append(path)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", str(group)) if group else df.write).parquet(path)
     rows = df.sparkSession.read.schema(df.schema).parquet(path)
     return rows.select("*", _place().alias(PLACE)) if place else rows
 
